@@ -36,7 +36,7 @@ def date_from_parts(parts: Column, strict: bool = True) -> Column:
     if strict:
         value = F.make_date(y.cast("int"), m.cast("int"), d.cast("int"))
     else:
-        value = F.try_to_date(F.concat_ws("-", y, m, d), F.lit("y-M-d"))
+        value = F.try_to_date(F.concat_ws("-", y, m, d), "y-M-d")
     return F.when(present, value)
 
 
@@ -48,7 +48,7 @@ def iso_date_string(parts: Column) -> Column:
     """
     y, m, d = parts["year"], parts["month"], parts["day"]
     usable = (F.coalesce(y, F.lit(0)) != 0) & (F.coalesce(m, F.lit(0)) != 0) & (F.coalesce(d, F.lit(0)) != 0)
-    text = F.date_format(F.try_to_date(F.concat_ws("-", y, m, d), F.lit("y-M-d")), "yyyy-MM-dd")
+    text = F.date_format(F.try_to_date(F.concat_ws("-", y, m, d), "y-M-d"), "yyyy-MM-dd")
     return F.when(usable, text)
 
 

@@ -13,10 +13,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import scores
+from ..operators import quality, scores, validate
 from ..session import scratch_path
+from ..sources import fixtures, landing
 from ..sources import parquet as parquet_io
-from .models import Models
+from ..streaming import topics
+from .models import Models, raw_documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -107,6 +109,93 @@ def q_mart_parquet_roundtrip(spark, sf_dir):
     return parquet_io.read_parquet(spark, path)
 
 
+# Landed JSON is written once per (session, folder, kind) and reused.
+_LANDED: dict[tuple[str, str, str], str] = {}
+
+
+def _landed(spark: SparkSession, sf_dir: str, kind: str) -> str:
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), kind)
+    if key not in _LANDED:
+        root = scratch_path(spark, f"landed-{kind}-{uuid.uuid4().hex}")
+        if kind == "clean":
+            landing.land_json(raw_documents(spark, sf_dir), root)
+        else:
+            fixtures.land_text(fixtures.build_dirty_documents_text(spark, sf_dir), root)
+        _LANDED[key] = root
+    return _LANDED[key]
+
+
+def _dirty_entries(spark, sf_dir):
+    docs = landing.read_landed_variant(spark, _landed(spark, sf_dir, "dirty"))
+    return docs, validate.variant_entries(docs)
+
+
+def q_raw_document_check(spark, sf_dir):
+    docs = landing.read_landed_variant(spark, _landed(spark, sf_dir, "clean"))
+    return validate.raw_envelope_check(docs).select("doc_id", "user_id", "n_lists", "n_entries", "passed")
+
+
+def q_raw_document_size(spark, sf_dir):
+    docs = landing.read_landed_variant(spark, _landed(spark, sf_dir, "clean"))
+    return validate.raw_envelope_check(docs).select("doc_id", "n_bytes", "passed")
+
+
+def q_raw_json_roundtrip(spark, sf_dir):
+    """Landed JSON read back with the fixed schema, through the whole model chain."""
+    m = Models(landing.read_landed(spark, _landed(spark, sf_dir, "clean"), run_id=fixtures.FIXTURE_RUN_ID))
+    return scores.count_scores_from_facts(m.fact, m.users, m.media)
+
+
+def q_fact_anime_validated(spark, sf_dir):
+    _, ents = _dirty_entries(spark, sf_dir)
+    return validate.validated_fact(ents)[0]
+
+
+def q_dimension_media_validated(spark, sf_dir):
+    from ..operators.models import latest_per_key
+    from ..schemas import MEDIA_COLUMNS
+    _, ents = _dirty_entries(spark, sf_dir)
+    checked = validate.checked_media(ents).where(~F.col("doc_fault") & (F.size("errors") == 0))
+    media = latest_per_key(checked, "id", ["run_id", "doc_id", "entry_id"], MEDIA_COLUMNS[1:])
+    return flat_media(media.select(*MEDIA_COLUMNS))
+
+
+def q_dimension_user_validated(spark, sf_dir):
+    from ..operators.models import latest_per_key
+    from ..schemas import USER_COLUMNS
+    docs, _ = _dirty_entries(spark, sf_dir)
+    good, _ = validate.split_valid(validate.checked_users(docs), ["run_id", "doc_id"] + USER_COLUMNS)
+    return latest_per_key(good, "id", ["run_id", "doc_id"], USER_COLUMNS[1:]).select(*USER_COLUMNS)
+
+
+def q_quarantined_entries(spark, sf_dir):
+    _, ents = _dirty_entries(spark, sf_dir)
+    return validate.quarantine_summary({
+        "fact_anime": validate.validated_fact(ents)[1],
+        "dimension_media": validate.validated_media(ents)[1],
+    })
+
+
+def q_quality_report(spark, sf_dir):
+    return quality.quality_report(quality.standard_checks(_models(spark, sf_dir)))
+
+
+def q_topic_events(spark, sf_dir):
+    return topics.topic_events(raw_documents(spark, sf_dir))
+
+
+def q_topic_counts(spark, sf_dir):
+    return topics.topic_counts(topics.topic_events(raw_documents(spark, sf_dir)))
+
+
+def q_topic_replay(spark, sf_dir):
+    log = scratch_path(spark, f"topic-log-{uuid.uuid4().hex}")
+    topics.write_topic_log(topics.topic_events(raw_documents(spark, sf_dir)), log)
+    out = scratch_path(spark, f"topic-replay-{uuid.uuid4().hex}")
+    delivered = topics.replay_topic_log(spark, log, out + "/data", out + "/checkpoint")
+    return topics.replay_counts(delivered)
+
+
 QUERIES: dict[str, Query] = {
     "fact_anime": q_fact_anime,
     "dimension_media": q_dimension_media,
@@ -124,4 +213,15 @@ QUERIES: dict[str, Query] = {
     "count_scores_by_top_tag_sql": q_top_tag_sql,
     "score_count_total": q_score_count_total,
     "mart_parquet_roundtrip": q_mart_parquet_roundtrip,
+    "raw_document_check": q_raw_document_check,
+    "raw_document_size": q_raw_document_size,
+    "raw_json_roundtrip": q_raw_json_roundtrip,
+    "fact_anime_validated": q_fact_anime_validated,
+    "dimension_media_validated": q_dimension_media_validated,
+    "dimension_user_validated": q_dimension_user_validated,
+    "quarantined_entries": q_quarantined_entries,
+    "quality_report": q_quality_report,
+    "topic_events": q_topic_events,
+    "topic_counts": q_topic_counts,
+    "topic_replay": q_topic_replay,
 }

@@ -115,17 +115,52 @@ SELECT score, COUNT(DISTINCT media_id) AS count FROM mart
 WHERE score > 0.0 GROUP BY score ORDER BY count DESC, score DESC
 """)
 
-STATEMENTS: dict[str, str] = {
-    "fact_anime": with_bridge("SELECT * FROM fact"),
-    "dimension_media": with_bridge("""
+def _checks(rows: list[tuple[str, str, str | None, str, str]]) -> str:
+    """Quality-report rows: (model, check, column, relation, failures expression)."""
+    parts = []
+    for model, check, column, rel, failures in rows:
+        col = "NULL" if column is None else f"'{column}'"
+        parts.append(f"SELECT '{model}' AS model, '{check}' AS check_name, CAST({col} AS VARCHAR) AS column_name, "
+                     f"CAST({failures} AS BIGINT) AS failures, CAST(COUNT(*) AS BIGINT) AS rows, "
+                     f"({failures}) = 0 AS passed FROM {rel}")
+    return with_bridge("\nUNION ALL\n".join(parts))
+
+
+QUALITY_REPORT = _checks([
+    ("stg_media", "not_null", "data", "dim_user", "0"),
+    ("stg_user", "not_null", "data", "dim_user", "0"),
+    ("fact_anime", "non_empty", None, "fact", "CASE WHEN COUNT(*) = 0 THEN 1 ELSE 0 END"),
+    ("fact_anime", "not_null", "id", "fact", "COUNT(*) - COUNT(id)"),
+    ("fact_anime", "not_null", "user_id", "fact", "COUNT(*) - COUNT(user_id)"),
+    ("fact_anime", "not_null", "media_id", "fact", "COUNT(*) - COUNT(media_id)"),
+    ("fact_anime", "unique", "id", "fact", "COUNT(id) - COUNT(DISTINCT id)"),
+    ("dimension_user", "non_empty", None, "dim_user", "CASE WHEN COUNT(*) = 0 THEN 1 ELSE 0 END"),
+    ("dimension_user", "not_null", "id", "dim_user", "COUNT(*) - COUNT(id)"),
+    ("dimension_user", "not_null", "name", "dim_user", "COUNT(*) - COUNT(name)"),
+    ("dimension_user", "unique", "id", "dim_user", "COUNT(id) - COUNT(DISTINCT id)"),
+    ("dimension_media", "non_empty", None, "dim_media", "CASE WHEN COUNT(*) = 0 THEN 1 ELSE 0 END"),
+    ("dimension_media", "not_null", "id", "dim_media", "COUNT(*) - COUNT(id)"),
+    ("dimension_media", "unique", "id", "dim_media", "COUNT(id) - COUNT(DISTINCT id)"),
+    ("anime_scores", "non_empty", None, "mart", "CASE WHEN COUNT(*) = 0 THEN 1 ELSE 0 END"),
+    ("anime_scores", "not_null", "user_id", "mart", "COUNT(*) - COUNT(user_id)"),
+    ("anime_scores", "not_null", "media_id", "mart", "COUNT(*) - COUNT(media_id)"),
+])
+
+# Dirty-rule rows (entry id % 97): 1 fractional score, 2 missing progress, 4 impossible date.
+FLAT_MEDIA_SELECT = """
 SELECT id, array_to_string(genres, '|') AS genres, description, cover_image, type,
        array_to_string(list_transform(tag_names, lambda t: 'item:' || t || ':' || CAST(tag_rank AS VARCHAR)), '|') AS tags,
-       episodes, format, season, season_year, start_date, end_date,
+       episodes, format, season, season_year, {start_date} AS start_date, {end_date} AS end_date,
        array_to_string(synonyms, '|') AS synonyms,
        english_title AS title_english, native_title AS title_native, romaji_title AS title_romaji,
        source, banner_image, site_url, status
-FROM dim_media
-"""),
+FROM {relation}
+"""
+
+STATEMENTS: dict[str, str] = {
+    "fact_anime": with_bridge("SELECT * FROM fact"),
+    "dimension_media": with_bridge(FLAT_MEDIA_SELECT.format(
+        start_date="start_date", end_date="end_date", relation="dim_media")),
     "dimension_user": with_bridge("SELECT * FROM dim_user"),
     "media_unnested": with_bridge("SELECT * FROM media_unnested"),
     "anime_scores": with_bridge("SELECT * FROM mart"),
@@ -150,4 +185,42 @@ SELECT CAST(SUM(count) AS BIGINT) AS total FROM (
   SELECT score, COUNT(DISTINCT media_id) AS count FROM mart WHERE score > 0.0 GROUP BY score) s
 """),
     "mart_parquet_roundtrip": with_bridge("SELECT * FROM mart"),
+    "raw_document_check": with_bridge("""
+SELECT user_id * 1048576 AS doc_id, user_id, COUNT(DISTINCT watch_status) AS n_lists,
+       COUNT(*) AS n_entries, true AS passed
+FROM entries GROUP BY user_id
+"""),
+    "raw_json_roundtrip": COUNT_SCORES,
+    "fact_anime_validated": with_bridge("""
+SELECT id, user_id, media_id, average_score, mean_score, popularity, trending, favourites,
+       CASE WHEN id % 97 = 3 THEN NULL ELSE progress END AS progress, episodes, score, watch_status,
+       CASE WHEN id % 97 = 5 THEN NULL ELSE strftime(started_at, '%Y-%m-%d') END AS started_at,
+       strftime(completed_at, '%Y-%m-%d') AS completed_at, stats, rankings
+FROM fact WHERE id % 97 NOT IN (1, 2, 4)
+"""),
+    "dimension_media_validated": with_bridge(FLAT_MEDIA_SELECT.format(
+        start_date="strftime(start_date, '%Y-%m-%d')", end_date="CAST(NULL AS VARCHAR)",
+        relation="(SELECT * FROM all_media WHERE id IN (SELECT media_id FROM entries WHERE id % 97 <> 4)) v")),
+    "dimension_user_validated": with_bridge("SELECT * FROM dim_user"),
+    "quarantined_entries": with_bridge("""
+SELECT 'fact_anime' AS model,
+       CASE id % 97 WHEN 1 THEN 'score:not_int' WHEN 2 THEN 'progress:missing'
+            ELSE 'startedAt:invalid_date' END AS reason,
+       COUNT(*) AS rows
+FROM entries WHERE id % 97 IN (1, 2, 4) GROUP BY 2
+UNION ALL
+SELECT 'dimension_media' AS model, 'startedAt:invalid_date' AS reason, COUNT(*) AS rows
+FROM entries WHERE id % 97 = 4
+"""),
+    "quality_report": QUALITY_REPORT,
+    "topic_counts": with_bridge("""
+SELECT 'raw_user' AS topic, COUNT(DISTINCT user_id) AS events FROM entries
+UNION ALL
+SELECT 'raw_media' AS topic, COUNT(*) AS events FROM entries
+"""),
+    "topic_replay": with_bridge("""
+SELECT 'raw_user' AS topic, COUNT(DISTINCT user_id) AS events, COUNT(DISTINCT user_id) AS decoded FROM entries
+UNION ALL
+SELECT 'raw_media' AS topic, COUNT(*) AS events, COUNT(*) AS decoded FROM entries
+"""),
 }

@@ -182,3 +182,81 @@ def nest_documents(entries: DataFrame, users: DataFrame, max_entries: int = DEFA
         F.struct(F.struct(F.col("lists")).alias("MediaListCollection"),
                  F.col("user").alias("User")).cast(schemas.DATA).alias("data"),
     )
+
+
+# ---------------------------------------------------------------- dirty variant
+# The dirty rules are chosen by ``entry id % 97`` (FIXTURES.md section 4):
+#   1 score n + 0.5         2 key "progress" missing     3 "progress": null
+#   4 startedAt 2023-02-30  5 startedAt month 0          6 score as text "n"
+#   7 coverImage with "large" only
+DIRTY_MODULUS = 97
+
+
+def dirty_entry_json(entries: DataFrame) -> DataFrame:
+    """``(user_id, entry_id, status, entry)`` with ``entry`` a VARIANT carrying the dirty rules."""
+    r = F.col("entry_id") % DIRTY_MODULUS
+    e = F.col("entry")
+    score_text = (F.when(r == 1, (e["score"] + F.lit(0.5)).cast("string"))
+                  .when(r == 6, F.concat(F.lit('"'), e["score"].cast("int").cast("string"), F.lit('"')))
+                  .otherwise(e["score"].cast("string")))
+    progress = (F.when(r == 2, F.lit(None).cast("variant"))
+                .when(r == 3, F.parse_json(F.lit("null")))
+                .otherwise(F.parse_json(e["progress"].cast("string"))))
+    started = (F.when(r == 4, F.struct(F.lit(2023).cast("long").alias("year"), F.lit(2).cast("long").alias("month"),
+                                       F.lit(30).cast("long").alias("day")))
+               .when(r == 5, e["startedAt"].withField("month", F.lit(0).cast("long")))
+               .otherwise(e["startedAt"]))
+    media = e["media"]
+    cover = F.when(r == 7, F.struct(F.lit(None).cast("string").alias("extraLarge"),
+                                    media["coverImage"]["extraLarge"].alias("large"))).otherwise(media["coverImage"])
+    media = (media.withField("coverImage", cover)
+             .withField("stats", F.parse_json(media["stats"]))
+             .withField("rankings", F.parse_json(media["rankings"])))
+    entry = F.struct(e["id"].alias("id"), progress.alias("progress"), F.parse_json(score_text).alias("score"),
+                     e["status"].alias("status"), e["mediaId"].alias("mediaId"), e["userId"].alias("userId"),
+                     started.alias("startedAt"), e["completedAt"].alias("completedAt"), media.alias("media"))
+    js = F.to_json(entry, {"ignoreNullFields": "false"})
+    js = F.when(r == 2, F.regexp_replace(js, '"progress":null,', "")).otherwise(js)
+    js = F.when(r == 7, F.regexp_replace(js, r'"coverImage":\{"extraLarge":null,', '"coverImage":{')).otherwise(js)
+    return entries.select("user_id", "entry_id", "status", F.parse_json(js).alias("entry"))
+
+
+def user_json(customer: DataFrame) -> DataFrame:
+    """``(user_id, user)`` as VARIANT; the avatar has only a ``large`` key."""
+    key = F.col("c_custkey")
+    user = F.struct(
+        key.alias("id"), F.col("c_name").alias("name"),
+        F.struct(F.concat(F.lit("img/"), key.cast("string")).alias("large")).alias("avatar"),
+        F.col("c_mktsegment").alias("bannerImage"),
+        F.concat(F.lit("user/"), key.cast("string")).alias("siteUrl"),
+        F.to_json(F.struct(F.col("c_nationkey").alias("nation"))).alias("statistics"),
+    )
+    js = F.to_json(user.withField("statistics", F.parse_json(user["statistics"])), {"ignoreNullFields": "false"})
+    return customer.select(key.alias("user_id"), F.parse_json(js).alias("user"))
+
+
+def build_dirty_documents_text(spark: SparkSession, sf_dir: str, max_entries: int = DEFAULT_MAX_ENTRIES,
+                               run_id: str = FIXTURE_RUN_ID) -> DataFrame:
+    """``(run_id, value)``: one JSON document per line, with the dirty rules applied."""
+    facts = entry_facts(read_table(spark, sf_dir, "lineitem"), read_table(spark, sf_dir, "orders"))
+    entries = dirty_entry_json(entry_struct(facts, media_struct(read_table(spark, sf_dir, "part"))))
+    users = user_json(read_table(spark, sf_dir, "customer"))
+    sizes = entries.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_user"))
+    n_chunks = F.greatest(F.lit(1), F.ceil(F.col("n_user") / F.lit(max_entries))).cast("long")
+    chunked = entries.join(sizes, "user_id").withColumn("chunk", F.pmod(F.xxhash64("entry_id"), n_chunks))
+    lists = (chunked.groupBy("user_id", "chunk", "status")
+             .agg(F.collect_list("entry").alias("entries"))
+             .select("user_id", "chunk", F.struct(F.col("status").alias("name"), F.col("status").alias("status"),
+                                                  F.col("entries")).alias("list")))
+    docs = lists.groupBy("user_id", "chunk").agg(F.collect_list("list").alias("lists"))
+    doc = F.struct(
+        (F.shiftleft(F.col("user_id"), _CHUNK_BITS) + F.col("chunk")).alias("doc_id"),
+        F.struct(F.struct(F.col("lists")).alias("MediaListCollection"), F.col("user").alias("User")).alias("data"))
+    return docs.join(users, "user_id").select(F.lit(run_id).alias("run_id"),
+                                              F.to_json(doc, {"ignoreNullFields": "false"}).alias("value"))
+
+
+def land_text(docs_text: DataFrame, root: str) -> None:
+    """Land ``(run_id, value)`` JSON lines under run folders."""
+    (docs_text.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("run_id").text(root))
