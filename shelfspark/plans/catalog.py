@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import quality, scores, validate
+from ..operators import features, quality, scores, validate
 from ..session import scratch_path
 from ..sources import fixtures, landing
 from ..sources import parquet as parquet_io
@@ -196,6 +196,51 @@ def q_topic_replay(spark, sf_dir):
     return topics.replay_counts(delivered)
 
 
+def q_tag_genre_pairs(spark, sf_dir):
+    m = _models(spark, sf_dir)
+    return features.tag_genre_pairs(m.fact, m.users, m.media)
+
+
+def q_category_index(spark, sf_dir):
+    indexed, _ = features.index_categories(q_tag_genre_pairs(spark, sf_dir))
+    return features.category_index(indexed)
+
+
+def _genre_features(spark, sf_dir):
+    m = _models(spark, sf_dir)
+    return features.genre_features(m.fact, m.users, m.media)
+
+
+def q_scaled_features(spark, sf_dir):
+    f = _genre_features(spark, sf_dir)
+    return features.vector_columns(f.select("media_id", "score", "tag", "genre", "standardized"),
+                                   ["standardized"])
+
+
+def q_kmeans_cost(spark, sf_dir):
+    return features.kmeans_sweep(spark, _genre_features(spark, sf_dir))
+
+
+def q_kmeans_assign(spark, sf_dir):
+    return features.kmeans_assign(_genre_features(spark, sf_dir)).select(
+        "media_id", "score", "tag", "genre", F.col("prediction").cast("long").alias("prediction"))
+
+
+def q_cluster_profile(spark, sf_dir):
+    return features.cluster_profile(features.kmeans_assign(_genre_features(spark, sf_dir)))
+
+
+def q_kmeans_summary(spark, sf_dir):
+    feats = _genre_features(spark, sf_dir).persist()
+    try:
+        model = features.kmeans_fit(feats, features.CHOSEN_K)
+        sil = features.silhouette(model.transform(feats))
+        cost = float(model.summary.trainingCost)
+    finally:
+        feats.unpersist()
+    return spark.createDataFrame([(features.CHOSEN_K, cost, float(sil))], "k long, cost double, silhouette double")
+
+
 QUERIES: dict[str, Query] = {
     "fact_anime": q_fact_anime,
     "dimension_media": q_dimension_media,
@@ -224,4 +269,11 @@ QUERIES: dict[str, Query] = {
     "topic_events": q_topic_events,
     "topic_counts": q_topic_counts,
     "topic_replay": q_topic_replay,
+    "tag_genre_pairs": q_tag_genre_pairs,
+    "category_index": q_category_index,
+    "scaled_features": q_scaled_features,
+    "kmeans_assign": q_kmeans_assign,
+    "cluster_profile": q_cluster_profile,
+    "kmeans_summary": q_kmeans_summary,
+    "kmeans_cost": q_kmeans_cost,
 }

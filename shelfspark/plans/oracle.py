@@ -157,6 +157,15 @@ SELECT id, array_to_string(genres, '|') AS genres, description, cover_image, typ
 FROM {relation}
 """
 
+TAG_GENRE_PAIRS = """
+pairs AS (
+  SELECT DISTINCT t.media_id, t.score, t.tag, g.genre
+  FROM (SELECT media_id, score, tag FROM mart WHERE tag IS NOT NULL) t
+  JOIN (SELECT media_id, score, genre FROM mart WHERE genre IS NOT NULL) g
+  USING (media_id, score)
+)
+"""
+
 STATEMENTS: dict[str, str] = {
     "fact_anime": with_bridge("SELECT * FROM fact"),
     "dimension_media": with_bridge(FLAT_MEDIA_SELECT.format(
@@ -213,6 +222,16 @@ SELECT 'dimension_media' AS model, 'startedAt:invalid_date' AS reason, COUNT(*)
 FROM entries WHERE id % 97 = 4
 """),
     "quality_report": QUALITY_REPORT,
+    "tag_genre_pairs": "WITH " + BRIDGE.strip() + ",\n" + TAG_GENRE_PAIRS.strip() + "\nSELECT * FROM pairs",
+    "category_index": "WITH " + BRIDGE.strip() + ",\n" + TAG_GENRE_PAIRS.strip() + """,
+counts AS (
+  SELECT 'tag' AS column_name, tag AS value, COUNT(*) AS count FROM pairs GROUP BY tag
+  UNION ALL
+  SELECT 'genre' AS column_name, genre AS value, COUNT(*) AS count FROM pairs GROUP BY genre
+)
+SELECT column_name, value, count,
+       CAST(ROW_NUMBER() OVER (PARTITION BY column_name ORDER BY count DESC, value ASC) - 1 AS BIGINT) AS idx
+FROM counts""",
     "topic_counts": with_bridge("""
 SELECT 'raw_user' AS topic, COUNT(DISTINCT user_id) AS events FROM entries
 UNION ALL
