@@ -81,3 +81,17 @@ def create_view(df: DataFrame, name: str) -> DataFrame:
     """Register ``df`` as a (temporary) view and return the view scan."""
     df.createOrReplaceTempView(name)
     return df.sparkSession.table(name)
+
+
+def documents_from_text(lines: DataFrame, run_id_col: str = "run_id") -> DataFrame:
+    """Typed documents ``(run_id, doc_id, data)`` from JSON text lines ``(run_id?, value)``."""
+    parsed = F.from_json(F.col("value"), schemas.RAW_DOCUMENT)
+    run = F.col(run_id_col) if run_id_col in lines.columns else F.lit(None).cast("string")
+    return lines.select(run.alias("run_id"), parsed["doc_id"].alias("doc_id"), parsed["data"].alias("data"))
+
+
+def variant_documents_from_text(lines: DataFrame, run_id_col: str = "run_id") -> DataFrame:
+    """VARIANT documents ``(run_id, doc, n_bytes)`` from JSON text lines."""
+    run = F.col(run_id_col) if run_id_col in lines.columns else F.lit(None).cast("string")
+    return lines.select(run.alias("run_id"), F.parse_json("value").alias("doc"),
+                        F.octet_length("value").alias("n_bytes"))
