@@ -14,6 +14,19 @@ from ..sources import fixtures
 # Session setting naming a landed raw-document table (parquet folder) to use
 # instead of deriving documents from the driver tables on the fly.
 RAW_TABLE_CONF = "shelfspark.raw.table"
+# Session setting naming a folder of materialized model tables
+# (``<sf_dir>=<folder>``, written by ``Models.materialize``).
+MODELS_CONF = "shelfspark.models.path"
+MODEL_TABLES = ("fact_anime", "dimension_media", "dimension_user")
+
+
+def _conf_path(spark: SparkSession, key: str, sf_dir: str) -> str | None:
+    setting = spark.conf.get(key, "") or ""
+    if "=" in setting:
+        src, path = setting.split("=", 1)
+        if src.rstrip("/") == sf_dir.rstrip("/"):
+            return path
+    return None
 
 
 def raw_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,11 +36,9 @@ def raw_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     value ``<sf_dir>=<table path>``), read it; otherwise derive the documents
     from the driver tables in the same plan.
     """
-    setting = spark.conf.get(RAW_TABLE_CONF, "") or ""
-    if "=" in setting:
-        src, path = setting.split("=", 1)
-        if src.rstrip("/") == sf_dir.rstrip("/"):
-            return spark.read.parquet(path)
+    path = _conf_path(spark, RAW_TABLE_CONF, sf_dir)
+    if path:
+        return spark.read.parquet(path)
     return fixtures.build_documents(spark, sf_dir)
 
 
@@ -40,8 +51,26 @@ class Models:
 
     @classmethod
     def for_tables(cls, spark: SparkSession, sf_dir: str) -> "Models":
+        """Models for a driver-table folder: materialized tables if the session names them."""
+        path = _conf_path(spark, MODELS_CONF, sf_dir)
+        if path:
+            return MaterializedModels(spark, path, raw_documents(spark, sf_dir))
         return cls(raw_documents(spark, sf_dir))
 
+    def materialize(self, root: str) -> "MaterializedModels":
+        """Write fact and (deduplicated) dimension tables as parquet under ``root``.
+
+        The documents are exploded and validated once; every later query
+        scans flat columns (column pruning and filter pushdown reach the
+        files), and the written tables cut the lineage back to the documents.
+        """
+        from ..sources.parquet import write_parquet
+        spark = self.raw.sparkSession
+        write_parquet(self.fact, f"{root}/fact_anime")
+        write_parquet(self.media, f"{root}/dimension_media")
+        write_parquet(self.users, f"{root}/dimension_user")
+        return MaterializedModels(spark, root, self.raw)
+
     @cached_property
     def stg_media(self) -> DataFrame:
         return staging.stage_media(self.raw)
@@ -73,3 +102,24 @@ class Models:
     @cached_property
     def mart_wide(self) -> DataFrame:
         return mart_ops.anime_scores_wide(self.fact, self.users, self.media)
+
+
+class MaterializedModels(Models):
+    """Models whose fact and dimension tables are read from parquet."""
+
+    def __init__(self, spark: SparkSession, root: str, raw: DataFrame):
+        super().__init__(raw)
+        self.root = root.rstrip("/")
+        self._spark = spark
+
+    @cached_property
+    def fact(self) -> DataFrame:
+        return self._spark.read.parquet(f"{self.root}/fact_anime")
+
+    @cached_property
+    def media(self) -> DataFrame:
+        return self._spark.read.parquet(f"{self.root}/dimension_media")
+
+    @cached_property
+    def users(self) -> DataFrame:
+        return self._spark.read.parquet(f"{self.root}/dimension_user")

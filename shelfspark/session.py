@@ -18,6 +18,10 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.optimizer.nestedSchemaPruning.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # A raw-table row is a whole document (up to fixtures.DEFAULT_MAX_ENTRIES
+    # entries), so a vectorized batch's memory is rows x entries per row; 512
+    # rows keeps a batch bounded where the default 4096 can exhaust a task.
+    "spark.sql.parquet.columnarReaderBatchSize": "512",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
