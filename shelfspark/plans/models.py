@@ -17,6 +17,7 @@ RAW_TABLE_CONF = "shelfspark.raw.table"
 # Session setting naming a folder of materialized model tables
 # (``<sf_dir>=<folder>``, written by ``Models.materialize``).
 MODELS_CONF = "shelfspark.models.path"
+MODELS_DB_CONF = "shelfspark.models.database"
 MODEL_TABLES = ("fact_anime", "dimension_media", "dimension_user")
 
 
@@ -54,22 +55,39 @@ class Models:
         """Models for a driver-table folder: materialized tables if the session names them."""
         path = _conf_path(spark, MODELS_CONF, sf_dir)
         if path:
-            return MaterializedModels(spark, path, raw_documents(spark, sf_dir))
+            db = spark.conf.get(MODELS_DB_CONF, "") or None
+            return MaterializedModels(spark, path, raw_documents(spark, sf_dir), database=db)
         return cls(raw_documents(spark, sf_dir))
 
-    def materialize(self, root: str) -> "MaterializedModels":
+    def materialize(self, root: str, buckets: int | None = None,
+                    database: str | None = None) -> "MaterializedModels":
         """Write fact and (deduplicated) dimension tables as parquet under ``root``.
 
         The documents are exploded and validated once; every later query
         scans flat columns (column pruning and filter pushdown reach the
         files), and the written tables cut the lineage back to the documents.
+
+        With ``buckets`` (and a ``database`` in the session catalog), the fact
+        table is bucketed by ``user_id`` and the user table by ``id`` into the
+        same number of buckets, so the fact x user join is co-located and the
+        fact is never shuffled for it. The tables stay external at ``root``.
         """
         from ..sources.parquet import write_parquet
         spark = self.raw.sparkSession
-        write_parquet(self.fact, f"{root}/fact_anime")
+        if not buckets:
+            write_parquet(self.fact, f"{root}/fact_anime")
+            write_parquet(self.media, f"{root}/dimension_media")
+            write_parquet(self.users, f"{root}/dimension_user")
+            return MaterializedModels(spark, root, self.raw)
+        db = database or "shelfspark_models"
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}`")
+        for name, df, key in (("fact_anime", self.fact, "user_id"),
+                              ("dimension_user", self.users, "id")):
+            (df.write.mode("overwrite").format("parquet").option("path", f"{root}/{name}")
+             .bucketBy(buckets, key).sortBy(key).saveAsTable(f"`{db}`.`{name}`"))
         write_parquet(self.media, f"{root}/dimension_media")
-        write_parquet(self.users, f"{root}/dimension_user")
-        return MaterializedModels(spark, root, self.raw)
+        return MaterializedModels(spark, root, self.raw, database=db)
+
 
     @cached_property
     def stg_media(self) -> DataFrame:
@@ -107,14 +125,21 @@ class Models:
 class MaterializedModels(Models):
     """Models whose fact and dimension tables are read from parquet."""
 
-    def __init__(self, spark: SparkSession, root: str, raw: DataFrame):
+    def __init__(self, spark: SparkSession, root: str, raw: DataFrame, database: str | None = None):
         super().__init__(raw)
         self.root = root.rstrip("/")
         self._spark = spark
+        self.database = database
+
+    def _read(self, name: str) -> DataFrame:
+        # bucketed tables are read through the catalog so the bucket spec is known
+        if self.database and self._spark.catalog.tableExists(f"{self.database}.{name}"):
+            return self._spark.table(f"`{self.database}`.`{name}`")
+        return self._spark.read.parquet(f"{self.root}/{name}")
 
     @cached_property
     def fact(self) -> DataFrame:
-        return self._spark.read.parquet(f"{self.root}/fact_anime")
+        return self._read("fact_anime")
 
     @cached_property
     def media(self) -> DataFrame:
@@ -122,4 +147,4 @@ class MaterializedModels(Models):
 
     @cached_property
     def users(self) -> DataFrame:
-        return self._spark.read.parquet(f"{self.root}/dimension_user")
+        return self._read("dimension_user")

@@ -74,3 +74,32 @@ def test_raw_table_partition_pruning(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(run_id" in plan
     assert df.count() == 150
+
+
+def test_bucketed_models_colocate_user_join(spark, small_models):
+    from shelfspark.operators import scores
+    root = scratch_path(spark, f"models-{uuid.uuid4().hex}")
+    mm = small_models.materialize(root, buckets=4, database="test_models")
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = scores.count_scores_by_top_from_facts(mm.fact, mm.users, mm.media, "genre", 10)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        lines = plan.split("\n")
+        i = next(n for n, line in enumerate(lines) if "SortMergeJoin" in line and "LeftSemi" in line)
+        depth = len(lines[i]) - len(lines[i].lstrip(" :+-*"))
+        subtree = []
+        for line in lines[i + 1:]:
+            if len(line) - len(line.lstrip(" :+-*")) <= depth:
+                break
+            subtree.append(line)
+        # both sides of the user join are bucketed scans: no exchange below it
+        assert sum("Scan parquet" in line or "FileScan" in line for line in subtree) == 2
+        assert not any("Exchange" in line for line in subtree)
+        assert df.collect() == scores.count_scores_by_top(small_models.mart, "genre", 10).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
