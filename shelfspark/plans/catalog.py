@@ -168,6 +168,17 @@ def q_dimension_user_validated(spark, sf_dir):
     return latest_per_key(good, "id", ["run_id", "doc_id"], USER_COLUMNS[1:]).select(*USER_COLUMNS)
 
 
+def q_fact_anime_sql_dirty(spark, sf_dir):
+    """SQL mode on the dirty documents: every row kept, casts instead of checks."""
+    _, ents = _dirty_entries(spark, sf_dir)
+    return validate.sql_mode_fact(ents.where(~F.col("doc_fault")))
+
+
+def q_media_cover_sql_dirty(spark, sf_dir):
+    _, ents = _dirty_entries(spark, sf_dir)
+    return validate.sql_mode_media_cover(ents)
+
+
 def q_quarantined_entries(spark, sf_dir):
     _, ents = _dirty_entries(spark, sf_dir)
     return validate.quarantine_summary({
@@ -265,6 +276,8 @@ QUERIES: dict[str, Query] = {
     "dimension_media_validated": q_dimension_media_validated,
     "dimension_user_validated": q_dimension_user_validated,
     "quarantined_entries": q_quarantined_entries,
+    "fact_anime_sql_dirty": q_fact_anime_sql_dirty,
+    "media_cover_sql_dirty": q_media_cover_sql_dirty,
     "quality_report": q_quality_report,
     "topic_events": q_topic_events,
     "topic_counts": q_topic_counts,

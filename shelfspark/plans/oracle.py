@@ -220,6 +220,19 @@ FROM entries WHERE id % 97 IN (1, 2, 4) GROUP BY 2
 UNION ALL
 SELECT 'dimension_media' AS model, 'startedAt:invalid_date' AS reason, COUNT(*) AS rows
 FROM entries WHERE id % 97 = 4
+"""),
+    "fact_anime_sql_dirty": with_bridge("""
+SELECT id, user_id, media_id, average_score, mean_score, popularity, trending, favourites,
+       CASE WHEN id % 97 IN (2, 3) THEN NULL ELSE progress END AS progress, episodes,
+       CASE WHEN id % 97 = 1 THEN score + 0.5 ELSE score END AS score, watch_status,
+       CASE WHEN id % 97 IN (4, 5) THEN NULL ELSE started_at END AS started_at,
+       completed_at, stats, rankings
+FROM fact
+"""),
+    "media_cover_sql_dirty": with_bridge("""
+SELECT id AS entry_id, media_id,
+       CASE WHEN id % 97 = 7 THEN NULL ELSE 'cover/' || CAST(media_id AS VARCHAR) END AS cover_image
+FROM entries
 """),
     "quality_report": QUALITY_REPORT,
     "tag_genre_pairs": "WITH " + BRIDGE.strip() + ",\n" + TAG_GENRE_PAIRS.strip() + "\nSELECT * FROM pairs",
