@@ -61,6 +61,28 @@ def read_kafka(spark: SparkSession, bootstrap_servers: str,
             .load().select("topic", F.col("value").cast("string").alias("value")))
 
 
+def stream_documents_to_topic_log(spark: SparkSession, landed_root: str, log_root: str,
+                                  checkpoint: str, available_now: bool = True):
+    """Fan landed documents out to the topic log as a stream.
+
+    New run folders landed under ``landed_root`` are picked up incrementally;
+    the checkpoint records which files were produced, so a restart neither
+    loses nor repeats events. ``available_now`` drains what is there and stops.
+    Returns the started query.
+    """
+    from pyspark.sql.types import StringType, StructField, StructType
+
+    from ..schemas import RAW_DOCUMENT
+    schema = StructType(RAW_DOCUMENT.fields + [StructField("run_id", StringType(), True)])
+    docs = (spark.readStream.schema(schema)
+            .option("maxFilesPerTrigger", 64).json(landed_root))
+    writer = (topic_events(docs).writeStream.format("text")
+              .option("path", log_root).option("checkpointLocation", checkpoint)
+              .partitionBy("topic").outputMode("append"))
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
+    return writer.start()
+
+
 def decode(events: DataFrame) -> DataFrame:
     """Parse each value as JSON; undecodable values get ``decoded`` NULL."""
     return events.select("topic", "value", F.try_parse_json("value").alias("decoded"))
