@@ -125,9 +125,9 @@ def _landed(spark: SparkSession, sf_dir: str, kind: str) -> str:
     return _LANDED[key]
 
 
-def _dirty_entries(spark, sf_dir):
+def _dirty_entries(spark, sf_dir, keys=validate.RECORD_KEYS):
     docs = landing.read_landed_variant(spark, _landed(spark, sf_dir, "dirty"))
-    return docs, validate.variant_entries(docs)
+    return docs, validate.variant_entries(docs, keys)
 
 
 def q_raw_document_check(spark, sf_dir):
@@ -147,14 +147,14 @@ def q_raw_json_roundtrip(spark, sf_dir):
 
 
 def q_fact_anime_validated(spark, sf_dir):
-    _, ents = _dirty_entries(spark, sf_dir)
+    _, ents = _dirty_entries(spark, sf_dir, validate.FACT_KEYS)
     return validate.validated_fact(ents)[0]
 
 
 def q_dimension_media_validated(spark, sf_dir):
     from ..operators.models import latest_per_key
     from ..schemas import MEDIA_COLUMNS
-    _, ents = _dirty_entries(spark, sf_dir)
+    _, ents = _dirty_entries(spark, sf_dir, validate.MEDIA_KEYS)
     checked = validate.checked_media(ents).where(~F.col("doc_fault") & (F.size("errors") == 0))
     media = latest_per_key(checked, "id", ["run_id", "doc_id", "entry_id"], MEDIA_COLUMNS[1:])
     return flat_media(media.select(*MEDIA_COLUMNS))
@@ -170,12 +170,12 @@ def q_dimension_user_validated(spark, sf_dir):
 
 def q_fact_anime_sql_dirty(spark, sf_dir):
     """SQL mode on the dirty documents: every row kept, casts instead of checks."""
-    _, ents = _dirty_entries(spark, sf_dir)
+    _, ents = _dirty_entries(spark, sf_dir, validate.FACT_KEYS)
     return validate.sql_mode_fact(ents.where(~F.col("doc_fault")))
 
 
 def q_media_cover_sql_dirty(spark, sf_dir):
-    _, ents = _dirty_entries(spark, sf_dir)
+    _, ents = _dirty_entries(spark, sf_dir, validate.MEDIA_KEYS)
     return validate.sql_mode_media_cover(ents)
 
 
