@@ -28,7 +28,10 @@ def main(argv=None) -> None:
     spark = build_session()
     if args.command == "land":
         from .sources import fixtures, landing
-        landing.land_json(fixtures.build_documents(spark, args.tables), args.out)
+        from .session import scratch_path
+        import uuid
+        staging = scratch_path(spark, f"entry-facts-{uuid.uuid4().hex}")
+        landing.land_json(fixtures.build_documents(spark, args.tables, staging_path=staging), args.out)
         print(json.dumps({"landed": args.out}))
     elif args.command == "build":
         from .plans.jobs import build

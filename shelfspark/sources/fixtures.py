@@ -38,9 +38,12 @@ def entry_facts(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
          .groupBy("o_custkey", "l_partkey")
          .agg(F.max("l_quantity").alias("max_qty"),
               F.count(F.lit(1)).alias("n_lines"),
-              F.max("o_orderstatus").alias("max_status"),
+              # order status codes are single letters: the max code point is the
+              # lexical max, and keeps the aggregate hash-based (fixed-width buffer)
+              F.max(F.ascii("o_orderstatus")).alias("max_status_code"),
               F.min("o_orderdate").alias("first_order"),
               F.max("l_shipdate").alias("last_ship")))
+    g = g.withColumn("max_status", F.chr("max_status_code"))
     entry_id = F.col("o_custkey") * ENTRY_ID_FACTOR + F.col("l_partkey")
     status = (F.when(F.col("max_status") == "F", F.lit(STATUS_BY_ORDER_STATUS["F"]))
               .when(F.col("max_status") == "O", F.lit(STATUS_BY_ORDER_STATUS["O"]))
@@ -151,9 +154,18 @@ def entry_struct(facts: DataFrame, media: DataFrame) -> DataFrame:
 
 
 def build_documents(spark: SparkSession, sf_dir: str, max_entries: int = DEFAULT_MAX_ENTRIES,
-                    run_id: str = FIXTURE_RUN_ID) -> DataFrame:
-    """Documents ``(run_id, doc_id, data)`` derived from the driver tables."""
+                    run_id: str = FIXTURE_RUN_ID, staging_path: str | None = None) -> DataFrame:
+    """Documents ``(run_id, doc_id, data)`` derived from the driver tables.
+
+    ``staging_path`` (a folder in the shared checkpoint area) writes the entry
+    facts once and reads them back: the nesting step uses them twice (per-user
+    sizes and the entries themselves), and without the written table Spark
+    plans the ``lineitem`` x ``orders`` join and aggregate twice.
+    """
     facts = entry_facts(read_table(spark, sf_dir, "lineitem"), read_table(spark, sf_dir, "orders"))
+    if staging_path:
+        facts.write.mode("overwrite").parquet(staging_path)
+        facts = spark.read.parquet(staging_path)
     entries = entry_struct(facts, media_struct(read_table(spark, sf_dir, "part")))
     return nest_documents(entries, user_struct(read_table(spark, sf_dir, "customer")), max_entries, run_id)
 
