@@ -31,3 +31,17 @@ def explode_entries(stg_media: DataFrame) -> DataFrame:
     """
     nested = F.filter(F.col("data.lists.entries"), lambda a: a.isNotNull())
     return stg_media.select(*_keys(stg_media), F.explode(F.flatten(nested)).alias("entry"))
+
+
+def latest_runs(raw: DataFrame) -> DataFrame:
+    """Keep, per user, only the documents of that user's latest run.
+
+    Equal to the reference's overwrite-per-run when one run is read. The
+    per-user latest run is a map-side-combined aggregate (one row per user);
+    the documents are semi-joined with it, so no document is reordered or
+    collected per user.
+    """
+    uid = F.col("data.User.id")
+    latest = raw.groupBy(uid.alias("_uid")).agg(F.max("run_id").alias("_run"))
+    cond = uid.eqNullSafe(latest["_uid"]) & (raw["run_id"] == latest["_run"])
+    return raw.join(latest, cond, "left_semi")

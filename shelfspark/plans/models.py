@@ -46,8 +46,10 @@ def raw_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 class Models:
     """fact / dimension / mart DataFrames over one raw-document DataFrame."""
 
-    def __init__(self, raw: DataFrame, strict_dates: bool = True):
-        self.raw = raw
+    def __init__(self, raw: DataFrame, strict_dates: bool = True, latest_run_only: bool = False):
+        # ``latest_run_only``: when several landed runs are read together, each
+        # user's latest run wins (the single-run case is unaffected).
+        self.raw = staging.latest_runs(raw) if latest_run_only else raw
         self.strict_dates = strict_dates
 
     @classmethod

@@ -79,3 +79,15 @@ def test_snake_case():
     assert snake_case("averageScore") == "average_score"
     assert snake_case("siteURL") == "site_u_r_l"
     assert snake_case("id") == "id"
+
+
+def test_latest_run_wins(spark):
+    from pyspark.sql import functions as F
+    lines = text_frame(spark, VALID)
+    old = landing.documents_from_text(lines).withColumn("run_id", F.lit("2024-01-01"))
+    changed = variant(**{entry_path("score"): 9})
+    new = landing.documents_from_text(text_frame(spark, changed)).withColumn("run_id", F.lit("2024-02-01"))
+    both = old.unionByName(new)
+    assert Models(both).fact.count() == 2  # both runs read: duplicate entry ids
+    latest = Models(both, latest_run_only=True).fact.collect()
+    assert len(latest) == 1 and latest[0].score == 9.0
