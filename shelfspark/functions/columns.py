@@ -64,10 +64,6 @@ def lockstep_unnest(arrays: dict[str, Column]) -> Column:
     NULL arrays count as empty, so a row whose arrays are all empty/NULL yields
     no rows. Use as ``df.select(..., lockstep_unnest({...}))`` (a generator).
     """
-    zipped = F.arrays_zip(*[F.coalesce(c, empty_array_like(c)).alias(n) for n, c in arrays.items()])
-    return F.inline(zipped)
-
-
-def empty_array_like(c: Column) -> Column:
     # ``array()`` is array<void>; coalesce widens it to the other branch's type.
-    return F.array()
+    zipped = F.arrays_zip(*[F.coalesce(c, F.array()).alias(n) for n, c in arrays.items()])
+    return F.inline(zipped)
