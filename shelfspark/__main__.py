@@ -22,7 +22,7 @@ def main(argv=None) -> None:
     r = sub.add_parser("replay", help="drain a topic log from the start (bounded)")
     r.add_argument("--log", required=True)
     r.add_argument("--out", required=True)
-    r.add_argument("--topics", nargs="*", default=None)
+    r.add_argument("--topics", nargs="*", default=None, help="extra topics, added to raw_user and raw_media")
     args = ap.parse_args(argv)
 
     spark = build_session()
@@ -38,7 +38,7 @@ def main(argv=None) -> None:
         print(json.dumps(build(spark, args.landed, args.run_id, args.out, buckets=args.buckets)))
     else:
         from .streaming import topics
-        names = tuple(args.topics) if args.topics else topics.DEFAULT_TOPICS
+        names = topics.DEFAULT_TOPICS + tuple(t for t in (args.topics or []) if t not in topics.DEFAULT_TOPICS)
         delivered = topics.replay_topic_log(spark, args.log, f"{args.out}/data", f"{args.out}/checkpoint", names)
         for row in topics.replay_counts(delivered).collect():  # one row per topic
             print(json.dumps(row.asDict()))

@@ -91,3 +91,19 @@ def test_latest_run_wins(spark):
     assert Models(both).fact.count() == 2  # both runs read: duplicate entry ids
     latest = Models(both, latest_run_only=True).fact.collect()
     assert len(latest) == 1 and latest[0].score == 9.0
+
+
+def test_chunked_documents_give_same_results(spark, small_models):
+    """Users split over many bounded documents (as a very large list would be)."""
+    from shelfspark.operators import scores
+    from shelfspark.sources import fixtures
+    docs = fixtures.build_documents(spark, "/root/testdata/sf0.001", max_entries=10)
+    sizes = docs.selectExpr("size(flatten(data.MediaListCollection.lists.entries)) AS n")
+    assert docs.count() > small_models.raw.count()
+    assert sizes.agg({"n": "max"}).first()[0] <= 25  # hash chunks: bounded around max_entries
+    chunked = Models(docs)
+    assert chunked.fact.exceptAll(small_models.fact).count() == 0
+    assert chunked.fact.count() == small_models.fact.count()
+    assert chunked.users.count() == small_models.users.count()  # one row per user after dedupe
+    assert (scores.count_scores_by_top(chunked.mart, "tag", 20).collect()
+            == scores.count_scores_by_top(small_models.mart, "tag", 20).collect())
