@@ -179,6 +179,13 @@ def q_media_cover_sql_dirty(spark, sf_dir):
     return validate.sql_mode_media_cover(ents)
 
 
+def q_anime_scores_wide_validated(spark, sf_dir):
+    """The 27-column wide mart over the validated tables (the validated path's end)."""
+    from .models import ValidatedModels
+    docs = landing.read_landed_variant(spark, _landed(spark, sf_dir, "dirty"))
+    return ValidatedModels(docs).mart_wide
+
+
 def q_quarantined_entries(spark, sf_dir):
     _, ents = _dirty_entries(spark, sf_dir)
     return validate.quarantine_summary({
@@ -276,6 +283,7 @@ QUERIES: dict[str, Query] = {
     "dimension_media_validated": q_dimension_media_validated,
     "dimension_user_validated": q_dimension_user_validated,
     "quarantined_entries": q_quarantined_entries,
+    "anime_scores_wide_validated": q_anime_scores_wide_validated,
     "fact_anime_sql_dirty": q_fact_anime_sql_dirty,
     "media_cover_sql_dirty": q_media_cover_sql_dirty,
     "quality_report": q_quality_report,

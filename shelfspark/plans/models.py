@@ -150,3 +150,75 @@ class MaterializedModels(Models):
     @cached_property
     def users(self) -> DataFrame:
         return self._read("dimension_user")
+
+
+class ValidatedModels:
+    """Validated-mode model set over VARIANT documents ``(run_id, doc, …)``.
+
+    fact / media / users hold only rows that pass validation (dates as ISO
+    text); the rejected rows are in ``fact_quarantine`` / ``media_quarantine``
+    / ``user_quarantine``. Dimensions are de-duplicated like the SQL mode.
+    """
+
+    def __init__(self, docs: DataFrame):
+        self.docs = docs
+
+    @cached_property
+    def _entries(self) -> DataFrame:
+        from ..operators import validate
+        return validate.variant_entries(self.docs)
+
+    @cached_property
+    def _fact_split(self):
+        from ..operators import validate
+        return validate.validated_fact(self._entries)
+
+    @cached_property
+    def _media_split(self):
+        from ..operators import validate
+        from ..schemas import MEDIA_COLUMNS
+        return validate.split_valid(validate.checked_media(self._entries),
+                                    ["run_id", "doc_id", "entry_id"] + MEDIA_COLUMNS)
+
+    @cached_property
+    def _user_split(self):
+        from ..operators import validate
+        from ..schemas import USER_COLUMNS
+        return validate.split_valid(validate.checked_users(self.docs), ["run_id", "doc_id"] + USER_COLUMNS)
+
+    @property
+    def fact(self) -> DataFrame:
+        return self._fact_split[0]
+
+    @property
+    def fact_quarantine(self) -> DataFrame:
+        return self._fact_split[1]
+
+    @cached_property
+    def media(self) -> DataFrame:
+        from ..schemas import MEDIA_COLUMNS
+        good = self._media_split[0]
+        return model_ops.latest_per_key(good, "id", ["run_id", "doc_id", "entry_id"],
+                                        MEDIA_COLUMNS[1:]).select(*MEDIA_COLUMNS)
+
+    @property
+    def media_quarantine(self) -> DataFrame:
+        return self._media_split[1]
+
+    @cached_property
+    def users(self) -> DataFrame:
+        from ..schemas import USER_COLUMNS
+        good = self._user_split[0]
+        return model_ops.latest_per_key(good, "id", ["run_id", "doc_id"], USER_COLUMNS[1:]).select(*USER_COLUMNS)
+
+    @property
+    def user_quarantine(self) -> DataFrame:
+        return self._user_split[1]
+
+    @cached_property
+    def mart(self) -> DataFrame:
+        return mart_ops.anime_scores(self.fact, self.users, self.media)
+
+    @cached_property
+    def mart_wide(self) -> DataFrame:
+        return mart_ops.anime_scores_wide(self.fact, self.users, self.media)

@@ -233,6 +233,17 @@ FROM fact
 SELECT id AS entry_id, media_id,
        CASE WHEN id % 97 = 7 THEN NULL ELSE 'cover/' || CAST(media_id AS VARCHAR) END AS cover_image
 FROM entries
+"""),
+    "anime_scores_wide_validated": with_bridge("""
+SELECT f.media_id, f.user_id, CASE WHEN f.id % 97 = 3 THEN NULL ELSE f.progress END AS progress,
+       f.watch_status, f.score, f.average_score, f.mean_score, f.popularity, f.trending, f.favourites,
+       u.id AS id, u.name AS name, m.id AS id_1, m.english_title, m.native_title, m.romaji_title,
+       m.description, m.synonym, m.genre, m.tag, m.source, m.episodes, m.season, m.season_year,
+       strftime(m.start_date, '%Y-%m-%d') AS start_date, CAST(NULL AS VARCHAR) AS end_date, m.status
+FROM fact f
+JOIN dim_user u ON f.user_id = u.id
+JOIN media_unnested m ON f.media_id = m.id
+WHERE f.id % 97 NOT IN (1, 2, 4)
 """),
     "quality_report": QUALITY_REPORT,
     "tag_genre_pairs": "WITH " + BRIDGE.strip() + ",\n" + TAG_GENRE_PAIRS.strip() + "\nSELECT * FROM pairs",
