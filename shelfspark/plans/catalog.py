@@ -202,6 +202,12 @@ def q_topic_events(spark, sf_dir):
     return topics.topic_events(raw_documents(spark, sf_dir))
 
 
+def q_topic_event_ids(spark, sf_dir):
+    """Events decoded back: (topic, id) from each JSON payload."""
+    ev = topics.decode(topics.topic_events(raw_documents(spark, sf_dir)))
+    return ev.select("topic", F.try_variant_get("decoded", "$.id", "bigint").alias("id"))
+
+
 def q_topic_counts(spark, sf_dir):
     return topics.topic_counts(topics.topic_events(raw_documents(spark, sf_dir)))
 
@@ -288,6 +294,7 @@ QUERIES: dict[str, Query] = {
     "media_cover_sql_dirty": q_media_cover_sql_dirty,
     "quality_report": q_quality_report,
     "topic_events": q_topic_events,
+    "topic_event_ids": q_topic_event_ids,
     "topic_counts": q_topic_counts,
     "topic_replay": q_topic_replay,
     "tag_genre_pairs": q_tag_genre_pairs,

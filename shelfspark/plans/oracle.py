@@ -256,6 +256,11 @@ counts AS (
 SELECT column_name, value, count,
        CAST(ROW_NUMBER() OVER (PARTITION BY column_name ORDER BY count DESC, value ASC) - 1 AS BIGINT) AS idx
 FROM counts""",
+    "topic_event_ids": with_bridge("""
+SELECT 'raw_user' AS topic, id FROM dim_user
+UNION ALL
+SELECT 'raw_media' AS topic, id FROM entries
+"""),
     "topic_counts": with_bridge("""
 SELECT 'raw_user' AS topic, COUNT(DISTINCT user_id) AS events FROM entries
 UNION ALL
