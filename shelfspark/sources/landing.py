@@ -20,12 +20,18 @@ from pyspark.sql import functions as F
 from .. import schemas
 
 
-def land_json(docs: DataFrame, root: str) -> None:
+# A gzip part file is read by one task (gzip is not splittable), so the
+# number of documents per file is capped to keep every read task bounded.
+MAX_DOCUMENTS_PER_FILE = 20000
+
+
+def land_json(docs: DataFrame, root: str, compression: str = "gzip") -> None:
     """Write documents under their run folders; only the runs present are replaced."""
     (docs.select("run_id", "doc_id", "data").write
      .mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
-     .option("compression", "none")
+     .option("compression", compression)
+     .option("maxRecordsPerFile", MAX_DOCUMENTS_PER_FILE)
      .partitionBy("run_id")
      .json(root))
 
