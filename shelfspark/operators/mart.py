@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import lockstep_unnest
 from ..schemas import MART_COLUMNS
 
+# The mart's fact-side and media-side column lists, in order.
 STATS_COLUMNS = ["media_id", "user_id", "progress", "watch_status", "score",
                  "average_score", "mean_score", "popularity", "trending", "favourites"]
 

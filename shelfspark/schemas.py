@@ -90,6 +90,7 @@ RAW_DOCUMENT = _s(_f("doc_id", LONG), _f("data", DATA))
 # JSON members whose value is opaque JSON text.
 OPAQUE_JSON_FIELDS = ("stats", "rankings", "statistics")
 
+# Output column lists (names and order) of the four tables.
 FACT_COLUMNS = [
     "id", "user_id", "media_id", "average_score", "mean_score", "popularity",
     "trending", "favourites", "progress", "episodes", "score", "watch_status",
