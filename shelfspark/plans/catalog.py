@@ -126,8 +126,9 @@ def _landed(spark: SparkSession, sf_dir: str, kind: str) -> str:
 
 
 def _dirty_entries(spark, sf_dir, keys=validate.RECORD_KEYS):
-    docs = landing.read_landed_variant(spark, _landed(spark, sf_dir, "dirty"))
-    return docs, validate.variant_entries(docs, keys)
+    root = _landed(spark, sf_dir, "dirty")
+    docs = landing.read_landed_variant(spark, root)
+    return docs, validate.record_entries_from_text(landing.read_landed_text(spark, root), keys)
 
 
 def q_raw_document_check(spark, sf_dir):
@@ -182,8 +183,9 @@ def q_media_cover_sql_dirty(spark, sf_dir):
 def q_anime_scores_wide_validated(spark, sf_dir):
     """The 27-column wide mart over the validated tables (the validated path's end)."""
     from .models import ValidatedModels
-    docs = landing.read_landed_variant(spark, _landed(spark, sf_dir, "dirty"))
-    return ValidatedModels(docs).mart_wide
+    root = _landed(spark, sf_dir, "dirty")
+    return ValidatedModels(landing.read_landed_variant(spark, root),
+                           lines=landing.read_landed_text(spark, root)).mart_wide
 
 
 def q_quarantined_entries(spark, sf_dir):

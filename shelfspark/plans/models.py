@@ -160,12 +160,17 @@ class ValidatedModels:
     / ``user_quarantine``. Dimensions are de-duplicated like the SQL mode.
     """
 
-    def __init__(self, docs: DataFrame):
+    def __init__(self, docs: DataFrame, lines: DataFrame | None = None):
+        # ``lines``: the same documents as JSON text ``(run_id, value)``; when
+        # given, entries are parsed straight into records (faster).
         self.docs = docs
+        self.lines = lines
 
     @cached_property
     def _entries(self) -> DataFrame:
         from ..operators import validate
+        if self.lines is not None:
+            return validate.record_entries_from_text(self.lines)
         return validate.variant_entries(self.docs)
 
     @cached_property
