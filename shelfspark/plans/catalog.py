@@ -47,6 +47,12 @@ def q_dimension_media(spark, sf_dir):
     return flat_media(_models(spark, sf_dir).media)
 
 
+def q_dimension_media_fanout(spark, sf_dir):
+    """The media model without de-duplication: one row per entry, as the SQL model yields."""
+    from ..operators.models import dimension_media
+    return flat_media(dimension_media(_models(spark, sf_dir).entries, dedupe=False))
+
+
 def q_dimension_user(spark, sf_dir):
     return _models(spark, sf_dir).users
 
@@ -270,6 +276,7 @@ def q_kmeans_summary(spark, sf_dir):
 QUERIES: dict[str, Query] = {
     "fact_anime": q_fact_anime,
     "dimension_media": q_dimension_media,
+    "dimension_media_fanout": q_dimension_media_fanout,
     "dimension_user": q_dimension_user,
     "media_unnested": q_media_unnested,
     "anime_scores": q_anime_scores,

@@ -170,6 +170,9 @@ STATEMENTS: dict[str, str] = {
     "fact_anime": with_bridge("SELECT * FROM fact"),
     "dimension_media": with_bridge(FLAT_MEDIA_SELECT.format(
         start_date="start_date", end_date="end_date", relation="dim_media")),
+    "dimension_media_fanout": with_bridge(FLAT_MEDIA_SELECT.format(
+        start_date="start_date", end_date="end_date",
+        relation="(SELECT m.* FROM entries e JOIN all_media m ON e.media_id = m.id) v")),
     "dimension_user": with_bridge("SELECT * FROM dim_user"),
     "media_unnested": with_bridge("SELECT * FROM media_unnested"),
     "anime_scores": with_bridge("SELECT * FROM mart"),
