@@ -91,9 +91,10 @@ def preview(df: DataFrame, key: str = "id", n: int = 5,
 
 def standard_checks(models) -> list[tuple[DataFrame, TableChecks]]:
     """The declarative tests of the SQL models (not-null, unique) plus non-empty gates."""
+    presence = models.stg_presence()
     return [
-        (models.stg_media, TableChecks("stg_media", not_null=["data"])),
-        (models.stg_user, TableChecks("stg_user", not_null=["data"])),
+        (presence.select(F.col("media").alias("data")), TableChecks("stg_media", not_null=["data"])),
+        (presence.select(F.col("user").alias("data")), TableChecks("stg_user", not_null=["data"])),
         (models.fact, TableChecks("fact_anime", not_null=["id", "user_id", "media_id"],
                                   unique=["id"], non_empty=True)),
         (models.users, TableChecks("dimension_user", not_null=["id", "name"], unique=["id"],

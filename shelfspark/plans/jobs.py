@@ -37,6 +37,7 @@ def build(spark: SparkSession, landed_root: str, run_id: str, out_root: str,
     row_check = quality.check_table(raw, quality.TableChecks("raw_anilist", expected_rows=env.docs))
     # models, then the declarative checks on the written tables (blocking)
     models = Models(raw).materialize(f"{out_root}/models", buckets=buckets, database=database)
+    models.raw_path = raw_path
     report = quality.quality_report(quality.standard_checks(models)).unionByName(row_check)
     parquet.write_parquet(report, f"{out_root}/quality_report")
     report = parquet.read_parquet(spark, f"{out_root}/quality_report")

@@ -56,10 +56,28 @@ class Models:
     def for_tables(cls, spark: SparkSession, sf_dir: str) -> "Models":
         """Models for a driver-table folder: materialized tables if the session names them."""
         path = _conf_path(spark, MODELS_CONF, sf_dir)
+        raw_path = _conf_path(spark, RAW_TABLE_CONF, sf_dir)
         if path:
             db = spark.conf.get(MODELS_DB_CONF, "") or None
-            return MaterializedModels(spark, path, raw_documents(spark, sf_dir), database=db)
-        return cls(raw_documents(spark, sf_dir))
+            m = MaterializedModels(spark, path, raw_documents(spark, sf_dir), database=db)
+        else:
+            m = cls(raw_documents(spark, sf_dir))
+        m.raw_path = raw_path
+        return m
+
+    raw_path: str | None = None
+
+    def stg_presence(self) -> DataFrame:
+        """``(media, user)``: the staged members, for null checks.
+
+        With a known raw-table path the table is read narrowed to one leaf per
+        member (exact nullness, a tiny read); otherwise from ``raw``.
+        """
+        from ..sources import landing
+        src = (landing.read_raw_presence(self.raw.sparkSession, self.raw_path)
+               if self.raw_path else self.raw)
+        from pyspark.sql import functions as F
+        return src.select(F.col("data.MediaListCollection").alias("media"), F.col("data.User").alias("user"))
 
     def materialize(self, root: str, buckets: int | None = None,
                     database: str | None = None) -> "MaterializedModels":

@@ -74,6 +74,21 @@ def read_raw_table(spark: SparkSession, path: str, run_id: str | None = None) ->
     return df.select("run_id", "doc_id", "data")
 
 
+# One leaf under each top-level member: parquet rebuilds a struct's nullness
+# from any leaf's definition levels, so null tests on ``MediaListCollection``
+# and ``User`` read only these leaves instead of whole documents.
+PRESENCE_SCHEMA = ("doc_id bigint, data struct<MediaListCollection: struct<lists: array<struct<name: string>>>, "
+                   "User: struct<id: bigint>>, run_id string")
+
+
+def read_raw_presence(spark: SparkSession, path: str, run_id: str | None = None) -> DataFrame:
+    """``(run_id, doc_id, data)`` of the raw table, narrowed for presence checks."""
+    df = spark.read.schema(PRESENCE_SCHEMA).parquet(path)
+    if run_id is not None:
+        df = df.where(F.col("run_id") == run_id)
+    return df
+
+
 def save_table(df: DataFrame, schema_name: str, table: str) -> str:
     """Replace ``<schema_name>.<table>`` (the schema name is used verbatim)."""
     spark = df.sparkSession

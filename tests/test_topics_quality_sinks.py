@@ -119,3 +119,16 @@ def test_streaming_fan_out_then_replay(spark, small_models):
     q2 = topics.stream_documents_to_topic_log(spark, landed, log, log + "_ckpt")
     q2.awaitTermination()
     assert spark.read.text(log).count() == sum(counts.values())
+
+
+def test_stg_checks_read_one_leaf_of_raw_table(spark, small_models):
+    from shelfspark.plans.models import Models
+    path = scratch_path(spark, f"raw-{uuid.uuid4().hex}")
+    landing.write_raw_table(small_models.raw, path)
+    m = Models(landing.read_raw_table(spark, path))
+    m.raw_path = path
+    presence = m.stg_presence()
+    plan = presence._jdf.queryExecution().executedPlan().toString()
+    assert "entries" not in plan[plan.index("ReadSchema"):]  # whole documents are not read
+    rows = quality.quality_report(quality.standard_checks(m)).collect()
+    assert all(r.passed for r in rows) and len(rows) == 17
