@@ -205,7 +205,7 @@ DIRTY_MODULUS = 97
 
 
 def dirty_entry_json(entries: DataFrame) -> DataFrame:
-    """``(user_id, entry_id, status, entry)`` with ``entry`` a VARIANT carrying the dirty rules."""
+    """``(user_id, entry_id, status, entry)`` with ``entry`` the JSON text carrying the dirty rules."""
     r = F.col("entry_id") % DIRTY_MODULUS
     e = F.col("entry")
     score_text = (F.when(r == 1, (e["score"] + F.lit(0.5)).cast("string"))
@@ -230,11 +230,11 @@ def dirty_entry_json(entries: DataFrame) -> DataFrame:
     js = F.to_json(entry, {"ignoreNullFields": "false"})
     js = F.when(r == 2, F.regexp_replace(js, '"progress":null,', "")).otherwise(js)
     js = F.when(r == 7, F.regexp_replace(js, r'"coverImage":\{"extraLarge":null,', '"coverImage":{')).otherwise(js)
-    return entries.select("user_id", "entry_id", "status", F.parse_json(js).alias("entry"))
+    return entries.select("user_id", "entry_id", "status", js.alias("entry"))
 
 
 def user_json(customer: DataFrame) -> DataFrame:
-    """``(user_id, user)`` as VARIANT; the avatar has only a ``large`` key."""
+    """``(user_id, user)`` as JSON text; the avatar has only a ``large`` key."""
     key = F.col("c_custkey")
     user = F.struct(
         key.alias("id"), F.col("c_name").alias("name"),
@@ -244,7 +244,7 @@ def user_json(customer: DataFrame) -> DataFrame:
         F.to_json(F.struct(F.col("c_nationkey").alias("nation"))).alias("statistics"),
     )
     js = F.to_json(user.withField("statistics", F.parse_json(user["statistics"])), {"ignoreNullFields": "false"})
-    return customer.select(key.alias("user_id"), F.parse_json(js).alias("user"))
+    return customer.select(key.alias("user_id"), js.alias("user"))
 
 
 def build_dirty_documents_text(spark: SparkSession, sf_dir: str, max_entries: int = DEFAULT_MAX_ENTRIES,
@@ -256,16 +256,20 @@ def build_dirty_documents_text(spark: SparkSession, sf_dir: str, max_entries: in
     sizes = entries.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_user"))
     n_chunks = F.greatest(F.lit(1), F.ceil(F.col("n_user") / F.lit(max_entries))).cast("long")
     chunked = entries.join(sizes, "user_id").withColumn("chunk", F.pmod(F.xxhash64("entry_id"), n_chunks))
+    # The entry and user objects are already JSON text: the list and document
+    # text is spliced around them (no re-parse and re-render per entry).
+    head = F.to_json(F.struct(F.col("status").alias("name"), F.col("status").alias("status")))
+    list_text = F.concat(F.expr("substring(_head, 1, length(_head) - 1)"), F.lit(',"entries":['),
+                         F.array_join(F.col("entries"), ","), F.lit("]}"))
     lists = (chunked.groupBy("user_id", "chunk", "status")
              .agg(F.collect_list("entry").alias("entries"))
-             .select("user_id", "chunk", F.struct(F.col("status").alias("name"), F.col("status").alias("status"),
-                                                  F.col("entries")).alias("list")))
-    docs = lists.groupBy("user_id", "chunk").agg(F.collect_list("list").alias("lists"))
-    doc = F.struct(
-        (F.shiftleft(F.col("user_id"), _CHUNK_BITS) + F.col("chunk")).alias("doc_id"),
-        F.struct(F.struct(F.col("lists")).alias("MediaListCollection"), F.col("user").alias("User")).alias("data"))
-    return docs.join(users, "user_id").select(F.lit(run_id).alias("run_id"),
-                                              F.to_json(doc, {"ignoreNullFields": "false"}).alias("value"))
+             .withColumn("_head", head)
+             .select("user_id", "chunk", list_text.alias("list")))
+    docs = lists.groupBy("user_id", "chunk").agg(F.array_join(F.collect_list("list"), ",").alias("lists"))
+    doc_id = (F.shiftleft(F.col("user_id"), _CHUNK_BITS) + F.col("chunk")).cast("string")
+    value = F.concat(F.lit('{"doc_id":'), doc_id, F.lit(',"data":{"MediaListCollection":{"lists":['),
+                     F.col("lists"), F.lit(']},"User":'), F.col("user"), F.lit("}}"))
+    return docs.join(users, "user_id").select(F.lit(run_id).alias("run_id"), value.alias("value"))
 
 
 def land_text(docs_text: DataFrame, root: str) -> None:
