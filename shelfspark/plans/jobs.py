@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..operators import quality, validate
 from ..sources import landing, parquet
-from .models import Models
+from .models import Models, raw_table_reader
 
 
 class GateFailed(AssertionError):
@@ -36,8 +36,9 @@ def build(spark: SparkSession, landed_root: str, run_id: str, out_root: str,
     raw = landing.read_raw_table(spark, raw_path, run_id)
     row_check = quality.check_table(raw, quality.TableChecks("raw_anilist", expected_rows=env.docs))
     # models, then the declarative checks on the written tables (blocking)
-    models = Models(raw).materialize(f"{out_root}/models", buckets=buckets, database=database)
-    models.raw_path = raw_path
+    staged = Models(raw)
+    staged.raw_reader = raw_table_reader(spark, raw_path, run_id)
+    models = staged.materialize(f"{out_root}/models", buckets=buckets, database=database)
     report = quality.quality_report(quality.standard_checks(models)).unionByName(row_check)
     parquet.write_parquet(report, f"{out_root}/quality_report")
     report = parquet.read_parquet(spark, f"{out_root}/quality_report")

@@ -21,6 +21,12 @@ MODELS_DB_CONF = "shelfspark.models.database"
 MODEL_TABLES = ("fact_anime", "dimension_media", "dimension_user")
 
 
+def raw_table_reader(spark: SparkSession, path: str, run_id: str | None = None):
+    """``schema -> DataFrame`` reading the raw table at ``path`` with that schema."""
+    from ..sources import landing
+    return lambda schema: landing.read_raw_table(spark, path, run_id, schema=schema)
+
+
 def _conf_path(spark: SparkSession, key: str, sf_dir: str) -> str | None:
     setting = spark.conf.get(key, "") or ""
     if "=" in setting:
@@ -50,6 +56,7 @@ class Models:
         # ``latest_run_only``: when several landed runs are read together, each
         # user's latest run wins (the single-run case is unaffected).
         self.raw = staging.latest_runs(raw) if latest_run_only else raw
+        self._latest_run_only = latest_run_only
         self.strict_dates = strict_dates
 
     @classmethod
@@ -62,23 +69,38 @@ class Models:
             m = MaterializedModels(spark, path, raw_documents(spark, sf_dir), database=db)
         else:
             m = cls(raw_documents(spark, sf_dir))
-        m.raw_path = raw_path
+        if raw_path:
+            m.raw_reader = raw_table_reader(spark, raw_path)
         return m
 
-    raw_path: str | None = None
+    # ``raw_reader(schema)`` re-reads the same raw documents with a narrowed
+    # schema (same table, same run filter), when the raw table is known.
+    raw_reader = None
+
+    def _narrow(self, schema) -> DataFrame | None:
+        if self.raw_reader is None or self._latest_run_only:
+            return None
+        return self.raw_reader(schema)
 
     def stg_presence(self) -> DataFrame:
         """``(media, user)``: the staged members, for null checks.
 
-        With a known raw-table path the table is read narrowed to one leaf per
-        member (exact nullness, a tiny read); otherwise from ``raw``.
+        With a raw reader the table is read narrowed to one leaf per member
+        (exact nullness, a tiny read); otherwise from ``raw``.
         """
-        from ..sources import landing
-        src = (landing.read_raw_presence(self.raw.sparkSession, self.raw_path)
-               if self.raw_path else self.raw)
         from pyspark.sql import functions as F
+
+        from ..sources import landing
+        src = self._narrow(landing.PRESENCE_SCHEMA)
+        src = self.raw if src is None else src
         return src.select(F.col("data.MediaListCollection").alias("media"), F.col("data.User").alias("user"))
 
+    def narrow_fact(self) -> DataFrame:
+        """The fact table built from a raw read narrowed to the fact's leaves."""
+        from .. import schemas
+        src = self._narrow(schemas.FACT_RAW_SCHEMA)
+        return self.fact if src is None else Models(src, self.strict_dates).fact
+
     def materialize(self, root: str, buckets: int | None = None,
                     database: str | None = None) -> "MaterializedModels":
         """Write fact and (deduplicated) dimension tables as parquet under ``root``.
@@ -95,18 +117,22 @@ class Models:
         from ..sources.parquet import write_parquet
         spark = self.raw.sparkSession
         if not buckets:
-            write_parquet(self.fact, f"{root}/fact_anime")
+            write_parquet(self.narrow_fact(), f"{root}/fact_anime")
             write_parquet(self.media, f"{root}/dimension_media")
             write_parquet(self.users, f"{root}/dimension_user")
-            return MaterializedModels(spark, root, self.raw)
+            out = MaterializedModels(spark, root, self.raw)
+            out.raw_reader = self.raw_reader
+            return out
         db = database or "shelfspark_models"
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}`")
-        for name, df, key in (("fact_anime", self.fact, "user_id"),
+        for name, df, key in (("fact_anime", self.narrow_fact(), "user_id"),
                               ("dimension_user", self.users, "id")):
             (df.write.mode("overwrite").format("parquet").option("path", f"{root}/{name}")
              .bucketBy(buckets, key).sortBy(key).saveAsTable(f"`{db}`.`{name}`"))
         write_parquet(self.media, f"{root}/dimension_media")
-        return MaterializedModels(spark, root, self.raw, database=db)
+        out = MaterializedModels(spark, root, self.raw, database=db)
+        out.raw_reader = self.raw_reader
+        return out
 
 
     @cached_property

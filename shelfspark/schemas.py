@@ -114,3 +114,30 @@ MART_COLUMNS = [
 ]
 
 DATE = DateType()
+
+
+def _keep(struct: StructType, names: set[str]) -> StructType:
+    return StructType([f for f in struct.fields if f.name in names])
+
+
+# The entry and media members the fact model reads.
+FACT_ENTRY_FIELDS = {"id", "progress", "score", "status", "userId", "startedAt", "completedAt", "media"}
+FACT_MEDIA_FIELDS = {"id", "averageScore", "meanScore", "popularity", "trending", "favourites",
+                     "episodes", "stats", "rankings"}
+
+
+def raw_schema_for(entry_fields: set[str], media_fields: set[str]) -> StructType:
+    """The raw-document schema narrowed to some entry and media members.
+
+    Parquet reads only the leaves a read schema names, including inside the
+    ``array<array<struct>>`` of entries where column pruning cannot reach.
+    """
+    media = _keep(MEDIA, media_fields)
+    entry = StructType([f if f.name != "media" else StructField("media", media, True)
+                        for f in ENTRY.fields if f.name in entry_fields])
+    lists = ArrayType(StructType([StructField("entries", ArrayType(entry), True)]))
+    data = _s(_f("MediaListCollection", _s(_f("lists", lists))))
+    return _s(_f("doc_id", LONG), _f("data", data), _f("run_id", STR))
+
+
+FACT_RAW_SCHEMA = raw_schema_for(FACT_ENTRY_FIELDS, FACT_MEDIA_FIELDS)

@@ -67,8 +67,11 @@ def write_raw_table(raw: DataFrame, path: str) -> None:
      .partitionBy("run_id").parquet(path))
 
 
-def read_raw_table(spark: SparkSession, path: str, run_id: str | None = None) -> DataFrame:
-    df = spark.read.parquet(path)
+def read_raw_table(spark: SparkSession, path: str, run_id: str | None = None,
+                   schema=None) -> DataFrame:
+    """The raw table; ``schema`` narrows the read to the named leaves (must keep ``run_id``)."""
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    df = reader.parquet(path)
     if run_id is not None:
         df = df.where(F.col("run_id") == run_id)
     return df.select("run_id", "doc_id", "data")
@@ -83,10 +86,7 @@ PRESENCE_SCHEMA = ("doc_id bigint, data struct<MediaListCollection: struct<lists
 
 def read_raw_presence(spark: SparkSession, path: str, run_id: str | None = None) -> DataFrame:
     """``(run_id, doc_id, data)`` of the raw table, narrowed for presence checks."""
-    df = spark.read.schema(PRESENCE_SCHEMA).parquet(path)
-    if run_id is not None:
-        df = df.where(F.col("run_id") == run_id)
-    return df
+    return read_raw_table(spark, path, run_id, schema=PRESENCE_SCHEMA)
 
 
 def save_table(df: DataFrame, schema_name: str, table: str) -> str:

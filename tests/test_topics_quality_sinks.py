@@ -125,10 +125,24 @@ def test_stg_checks_read_one_leaf_of_raw_table(spark, small_models):
     from shelfspark.plans.models import Models
     path = scratch_path(spark, f"raw-{uuid.uuid4().hex}")
     landing.write_raw_table(small_models.raw, path)
+    from shelfspark.plans.models import raw_table_reader
     m = Models(landing.read_raw_table(spark, path))
-    m.raw_path = path
+    m.raw_reader = raw_table_reader(spark, path)
     presence = m.stg_presence()
     plan = presence._jdf.queryExecution().executedPlan().toString()
     assert "entries" not in plan[plan.index("ReadSchema"):]  # whole documents are not read
     rows = quality.quality_report(quality.standard_checks(m)).collect()
     assert all(r.passed for r in rows) and len(rows) == 17
+
+
+
+def test_narrow_fact_equals_full_fact(spark, small_models):
+    from shelfspark.plans.models import Models, raw_table_reader
+    path = scratch_path(spark, f"raw-{uuid.uuid4().hex}")
+    landing.write_raw_table(small_models.raw, path)
+    m = Models(landing.read_raw_table(spark, path))
+    m.raw_reader = raw_table_reader(spark, path)
+    narrow = m.narrow_fact()
+    plan = narrow._jdf.queryExecution().executedPlan().toString()
+    assert "genres" not in plan and "synonyms" not in plan  # arrays not read for the fact
+    assert narrow.exceptAll(m.fact).count() == 0 and m.fact.exceptAll(narrow).count() == 0
