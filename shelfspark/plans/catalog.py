@@ -217,7 +217,11 @@ def q_topic_event_ids(spark, sf_dir):
 
 
 def q_topic_counts(spark, sf_dir):
-    return topics.topic_counts(topics.topic_events(raw_documents(spark, sf_dir)))
+    """Events per topic; payloads are not needed, so a known raw table is read narrowed."""
+    from .. import schemas
+    narrow = _models(spark, sf_dir)._narrow(schemas.EVENT_COUNT_RAW_SCHEMA)
+    docs = raw_documents(spark, sf_dir) if narrow is None else narrow
+    return topics.topic_counts(topics.topic_events(docs))
 
 
 def q_topic_replay(spark, sf_dir):

@@ -126,7 +126,8 @@ FACT_MEDIA_FIELDS = {"id", "averageScore", "meanScore", "popularity", "trending"
                      "episodes", "stats", "rankings"}
 
 
-def raw_schema_for(entry_fields: set[str], media_fields: set[str]) -> StructType:
+def raw_schema_for(entry_fields: set[str], media_fields: set[str],
+                   user_fields: set[str] = frozenset()) -> StructType:
     """The raw-document schema narrowed to some entry and media members.
 
     Parquet reads only the leaves a read schema names, including inside the
@@ -136,8 +137,12 @@ def raw_schema_for(entry_fields: set[str], media_fields: set[str]) -> StructType
     entry = StructType([f if f.name != "media" else StructField("media", media, True)
                         for f in ENTRY.fields if f.name in entry_fields])
     lists = ArrayType(StructType([StructField("entries", ArrayType(entry), True)]))
-    data = _s(_f("MediaListCollection", _s(_f("lists", lists))))
-    return _s(_f("doc_id", LONG), _f("data", data), _f("run_id", STR))
+    members = [_f("MediaListCollection", _s(_f("lists", lists)))]
+    if user_fields:
+        members.append(_f("User", _keep(USER, set(user_fields))))
+    return _s(_f("doc_id", LONG), _f("data", _s(*members)), _f("run_id", STR))
 
 
 FACT_RAW_SCHEMA = raw_schema_for(FACT_ENTRY_FIELDS, FACT_MEDIA_FIELDS)
+# Counting fan-out events needs the document and entry structure only.
+EVENT_COUNT_RAW_SCHEMA = raw_schema_for({"id"}, set(), {"id"})

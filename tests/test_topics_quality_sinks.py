@@ -146,3 +146,15 @@ def test_narrow_fact_equals_full_fact(spark, small_models):
     plan = narrow._jdf.queryExecution().executedPlan().toString()
     assert "genres" not in plan and "synonyms" not in plan  # arrays not read for the fact
     assert narrow.exceptAll(m.fact).count() == 0 and m.fact.exceptAll(narrow).count() == 0
+
+
+
+def test_topic_counts_from_narrowed_read(spark, small_models):
+    from shelfspark import schemas
+    from shelfspark.plans.models import raw_table_reader
+    path = scratch_path(spark, f"raw-{uuid.uuid4().hex}")
+    landing.write_raw_table(small_models.raw, path)
+    narrow = raw_table_reader(spark, path)(schemas.EVENT_COUNT_RAW_SCHEMA)
+    a = sorted(topics.topic_counts(topics.topic_events(narrow)).collect())
+    b = sorted(topics.topic_counts(topics.topic_events(small_models.raw)).collect())
+    assert a == b
