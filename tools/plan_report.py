@@ -22,7 +22,7 @@ from shelfspark.sources import fixtures, landing  # noqa: E402
 
 HEADLINE = ["count_scores", "count_scores_by_top_genre", "count_scores_by_top_tag",
             "count_scores_by_top_genre_mart", "anime_scores", "quality_report",
-            "tag_genre_pairs", "fact_anime_validated"]
+            "tag_genre_pairs", "topic_counts", "fact_anime_validated"]
 
 OPS = ("Exchange", "BroadcastExchange", "BroadcastHashJoin", "SortMergeJoin", "ShuffledHashJoin",
        "HashAggregate", "SortAggregate", "ObjectHashAggregate", "WindowGroupLimit", "Window",
