@@ -4,16 +4,48 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfspark.llm import packing
+from shelfspark.llm import minhash_dedup, packing
 from shelfspark.llm.common import table
 
 
+def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"), width=4, percent=80)
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {f.__name__: f for f in (
+    op1_minhash_dedup,
     op2_best_fit_packing,
 )}
 
-STATEMENTS: dict[str, str] = {}
+# A word: a run of anything but the six ASCII white-space characters.
+_WORDS = "list_filter(string_split_regex({}, '[\\x20\\x09-\\x0D]+'), x -> x <> '')"
+
+STATEMENTS: dict[str, str] = {
+    "op1_minhash_dedup": f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, {_WORDS.format("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS ws
+  FROM documents),
+s AS (
+  SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(ws) - 2),
+      i -> ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] || ' ' || ws[i + 3])) END AS grams
+  FROM w),
+e AS (SELECT doc_id, unnest(grams) AS g FROM s),
+n AS (SELECT doc_id, CAST(len(grams) AS BIGINT) AS n_shingles FROM s),
+p AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS common
+  FROM e a JOIN e b USING (g) WHERE a.doc_id <> b.doc_id GROUP BY 1, 2),
+link AS (
+  SELECT x, y FROM p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y
+  WHERE 100 * common >= 80 * (nx.n_shingles + ny.n_shingles - common)),
+reach AS (
+  SELECT doc_id AS x, doc_id AS y FROM n
+  UNION
+  SELECT r.x, l.y FROM reach r JOIN link l ON l.x = r.y)
+SELECT n.doc_id, n.n_shingles, min(y) AS component_id, n.doc_id = min(y) AS kept
+FROM n JOIN reach ON reach.x = n.doc_id GROUP BY n.doc_id, n.n_shingles""",
+}

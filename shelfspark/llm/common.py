@@ -38,3 +38,18 @@ def free_name(df: DataFrame, base: str) -> str:
 def fold(id_column, folds: int):
     """crc32 of the id's decimal text modulo ``folds`` (a null id is fold 0 of the empty text)."""
     return F.crc32(F.coalesce(id_column.cast("string"), F.lit("")).cast("binary")) % folds
+
+
+def join_hot(big: DataFrame, small: DataFrame, keys: list[str], weight: str,
+             how: str = "inner") -> DataFrame:
+    """Join (inner or left) where few keys may hold much of ``big``; ``small`` has a key once.
+
+    ``weight`` is the number of rows of ``big`` that a key has. The 1,000 heaviest
+    keys are broadcast (a fixed bound), so their rows are not shuffled at all; any
+    other key has at most a thousandth of the rows.
+    """
+    heavy = stored(small.orderBy(F.desc(weight), *keys).limit(1000), "heavy-keys")
+    light = small.join(F.broadcast(heavy.select(*keys)), keys, "left_anti")
+    rest = big.join(F.broadcast(heavy.select(*keys)), keys, "left_anti")
+    return (big.join(F.broadcast(heavy), keys)
+            .unionByName(rest.join(light, keys, how)))
