@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfspark.llm import minhash_dedup, packing
+from shelfspark.llm import minhash_dedup, packing, quality_rules, warc
 from shelfspark.llm.common import table
 
 
@@ -16,13 +16,25 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archives = warc.write_archives(table(spark, sf_dir, "pages"))
+    return warc.read_archives(archives).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.filtered(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_minhash_dedup,
     op2_best_fit_packing,
+    op9_warc,
+    op10_quality_rules,
 )}
 
 # A word: a run of anything but the six ASCII white-space characters.
-_WORDS = "list_filter(string_split_regex({}, '[\\x20\\x09-\\x0D]+'), x -> x <> '')"
+_WORDS = "list_filter(string_split_regex({}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')"
 
 STATEMENTS: dict[str, str] = {
     "op1_minhash_dedup": f"""
@@ -32,7 +44,7 @@ WITH RECURSIVE w AS (
 s AS (
   SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')]
     ELSE list_distinct(list_transform(range(1, len(ws) - 2),
-      i -> ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] || ' ' || ws[i + 3])) END AS grams
+      lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] || ' ' || ws[i + 3])) END AS grams
   FROM w),
 e AS (SELECT doc_id, unnest(grams) AS g FROM s),
 n AS (SELECT doc_id, CAST(len(grams) AS BIGINT) AS n_shingles FROM s),
@@ -48,4 +60,15 @@ reach AS (
   SELECT r.x, l.y FROM reach r JOIN link l ON l.x = r.y)
 SELECT n.doc_id, n.n_shingles, min(y) AS component_id, n.doc_id = min(y) AS kept
 FROM n JOIN reach ON reach.x = n.doc_id GROUP BY n.doc_id, n.n_shingles""",
+    "op9_warc": """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+    sha1(encode(coalesce(html, ''))) AS payload_digest
+  FROM pages),
+c AS (
+  SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS chosen FROM p)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 1000 AND page_id <> chosen THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 1000 AND page_id <> chosen THEN chosen END AS refers_to
+FROM c""",
 }
