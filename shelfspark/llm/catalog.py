@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shelfspark.llm import minhash_dedup, packing, quality_rules, warc
-from shelfspark.llm.common import table
+from shelfspark.llm import langid, minhash_dedup, packing, quality_pu, quality_rules, warc
+from shelfspark.llm.common import fold, table
 
 
 def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,6 +17,22 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    dictionaries = langid.fit(docs.filter(fold(F.col("doc_id"), 4) != 2))
+    return langid.classify(docs, dictionaries).select(
+        "doc_id", (fold(F.col("doc_id"), 4) == 2).alias("held_out"),
+        F.col("lang_guess").alias("lang_pred"), "score", "margin", (F.col("lang") == langid.UNKNOWN).alias("rejected"))
+
+
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    learn = fold(F.col("doc_id"), 3) != 1
+    model = quality_pu.fit(docs.filter(learn), labels.filter(learn))
+    return quality_pu.score(docs, model).select(
+        "doc_id", (~learn).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     archives = warc.write_archives(table(spark, sf_dir, "pages"))
     return warc.read_archives(archives).select(
@@ -29,6 +46,8 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_minhash_dedup,
     op2_best_fit_packing,
+    op7_language_id,
+    op8_quality_classifier,
     op9_warc,
     op10_quality_rules,
 )}

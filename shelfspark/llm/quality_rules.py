@@ -37,8 +37,8 @@ SKETCH_K = 400
 RULES = {
     "symbol_ratio": ("n_symbols", "word_chars", 0.01, False, True),
     "word_length": ("word_chars", "n_words", 0.6, True, True),
-    "dup_line_ratio": ("n_dup_lines", "n_lines", 0.07, False, True),
-    "repeat_ratio": ("n_repeat_words", "n_words", 0.05, False, True),
+    "dup_line_ratio": ("n_dup_lines", "n_lines", 0.15, False, True),
+    "repeat_ratio": ("n_repeat_words", "n_words", 0.08, False, True),
 }
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines"]
