@@ -33,7 +33,9 @@ SAMPLE_DOCS = 200
 MIN_CHARS, MAX_CHARS = 200, 4000
 DICTIONARY_BYTES = 96 << 10
 CHUNK_BYTES = 4 << 10
-LEVEL = 3
+LEVEL = 12
+#: A text below this length is written three times: alone it would often be stored uncompressed.
+SHORT_BYTES = 256
 MIN_MARGIN = 0.02
 UNKNOWN = "und"
 #: Relative size differences of this order count as one unit of log odds.
@@ -76,6 +78,8 @@ class Classifier:
         if not text or not self.coders or not _LETTER.search(text):
             return UNKNOWN, 0.0, 0.0
         data = normal(text)
+        if len(data) < SHORT_BYTES:
+            data = b" ".join([data] * 3)
         chunks = [data[a:a + CHUNK_BYTES] for a in range(0, len(data), CHUNK_BYTES)] or [b""]
         sizes = sorted((sum(len(c.compress(x)) for x in chunks), lang) for lang, c in self.coders)
         best = sizes[0][0]
