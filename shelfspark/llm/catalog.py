@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfspark.llm import langid, minhash_dedup, packing, quality_pu, quality_rules, warc
+from shelfspark.llm import langid, minhash_dedup, packing, pii, quality_pu, quality_rules, toxicity, warc
 from shelfspark.llm.common import fold, table
 
 
@@ -17,6 +17,18 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    learn = fold(F.col("doc_id"), 5) != 0
+    model = toxicity.fit(docs.filter(learn), labels.filter(learn))
+    return toxicity.score(docs, model).select(
+        "doc_id", (~learn).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op4_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonymise(table(spark, sf_dir, "documents"))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     dictionaries = langid.fit(docs.filter(fold(F.col("doc_id"), 4) != 2))
@@ -46,6 +58,8 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_minhash_dedup,
     op2_best_fit_packing,
+    op3_toxicity,
+    op4_pii_pseudonyms,
     op7_language_id,
     op8_quality_classifier,
     op9_warc,

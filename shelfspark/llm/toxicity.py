@@ -227,8 +227,8 @@ def embed(table: np.ndarray, flat: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return words + grams / np.maximum(sizes - 1, 1)[:, None].astype(np.float32)
 
 
-def fit_texts(texts: list[str | None], labels: np.ndarray) -> Model:
-    """Train on texts with labels 0 or 1."""
+def fit_texts(texts: list[str | None], labels: np.ndarray, share: float | None = None) -> Model:
+    """Train on texts with labels 0 or 1. ``share``: of toxic texts where scores are for, if not as here."""
     if len(set(labels.tolist())) < 2:
         return Model(np.zeros((WORD_BUCKETS + GRAM_BUCKETS, EMBED), np.float32), None)
     rng = np.random.default_rng(SEED)
@@ -287,6 +287,8 @@ def fit_texts(texts: list[str | None], labels: np.ndarray) -> Model:
                 v += 0.001 * (grad * grad - v)
                 net.p[k] -= 0.01 * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
             _update(table, square, flat, starts, sizes, words, at, dx * mask[:, :, None], len(docs))
+    if share is not None:
+        net.p["bias"] = net.p["bias"] + np.float32(np.log(share / (1 - share)) - np.log(n[1] / n[0]))
     return Model(table, net)
 
 
@@ -322,12 +324,13 @@ def _update(table, square, flat, starts, sizes, words, at, dx, scale):
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """Fit from ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic) of the rows to learn from."""
     known = labels.filter("toxic in (0, 1)").select("doc_id", "toxic").dropDuplicates(["doc_id"])
+    share = known.agg(F.avg("toxic")).first()[0]
     picked = bounded_sample(known.join(docs.select("doc_id").distinct(), "doc_id", "left_semi"), "toxic", SAMPLE_DOCS)
     wanted = docs.sparkSession.createDataFrame(picked.select(["doc_id", "toxic"]))  # of bounded size
     got = docs.select("doc_id", "text").join(F.broadcast(wanted), "doc_id").toArrow()
     order = np.argsort(got["doc_id"].to_numpy(), kind="stable")
     texts = got["text"].to_pylist()
-    return fit_texts([texts[i] for i in order], got["toxic"].to_numpy()[order])
+    return fit_texts([texts[i] for i in order], got["toxic"].to_numpy()[order], share)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
