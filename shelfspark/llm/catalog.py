@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfspark.llm import langid, minhash_dedup, packing, pii, quality_pu, quality_rules, toxicity, warc
+from shelfspark.llm import html_extract, langid, minhash_dedup, packing, pii, quality_pu, quality_rules, toxicity, warc
 from shelfspark.llm.common import fold, table
 
 
@@ -29,6 +29,11 @@ def op4_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pseudonymise(table(spark, sf_dir, "documents"))
 
 
+def op5_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages")).withColumn(
+        "n_chars", F.length("text").cast("long"))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     dictionaries = langid.fit(docs.filter(fold(F.col("doc_id"), 4) != 2))
@@ -60,6 +65,7 @@ QUERIES = {f.__name__: f for f in (
     op2_best_fit_packing,
     op3_toxicity,
     op4_pii_pseudonyms,
+    op5_html_extract,
     op7_language_id,
     op8_quality_classifier,
     op9_warc,

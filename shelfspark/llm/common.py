@@ -53,3 +53,21 @@ def join_hot(big: DataFrame, small: DataFrame, keys: list[str], weight: str,
     rest = big.join(F.broadcast(heavy.select(*keys)), keys, "left_anti")
     return (big.join(F.broadcast(heavy), keys)
             .unionByName(rest.join(light, keys, how)))
+
+
+def likely_in(rows: DataFrame, ids: DataFrame, column: str) -> DataFrame:
+    """``rows`` whose ``column`` is probably among ``ids`` (same name), without a shuffle of ``rows``.
+
+    A bitmap of hashed ids is broadcast: 64 bits an id, 16 MB at most. No row of
+    ``ids`` is lost; a later join drops the few others.
+    """
+    bits = 1 << min(27, max(15, (64 * max(1, ids.count())).bit_length()))
+    at = F.pmod(F.xxhash64(column), F.lit(bits))
+    bucket, place, bitmap = (free_name(rows, x) for x in ("bucket", "place", "bitmap"))
+    seen = ids.groupBy(F.bitmap_bucket_number(at).alias(bucket)).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias(bitmap))
+    byte = f"cast(conv(hex(substring({bitmap}, cast({place} div 8 as int) + 1, 1)), 16, 10) as int)"
+    return (rows.withColumn(bucket, F.bitmap_bucket_number(at)).withColumn(place, F.bitmap_bit_position(at))
+            .join(F.broadcast(seen), bucket)
+            .filter(f"(shiftright({byte}, cast({place} % 8 as int)) & 1) = 1")
+            .drop(bucket, place, bitmap))

@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfspark.llm.common import join_hot, stored
+from shelfspark.llm.common import join_hot, likely_in, stored
 from shelfspark.llm.components import connected_components
 
 BINS = 80
@@ -278,8 +278,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
                      .filter("size > 1").select("key", F.col("m.id").alias("centre"),
                                                 F.col("m.n").alias("centre_n"), "size"), "buckets")
     members = stored(join_hot(rows, buckets, ["key"], "size"), "members")
-    texts = base.select(F.col("doc_id").alias("id"), "text").join(
-        members.select("id").distinct(), "id", "left_semi")
+    # whole texts are not shuffled: a bitmap of the members' ids picks them where they lie
+    texts = likely_in(base.select(F.col("doc_id").alias("id"), "text"), members.select("id").distinct(), "id")
     sets = stored(texts.mapInArrow(_sets(width), "id long, shingles array<long>"), "sets")
     star = (members.filter("id != centre")
             .filter(100 * F.least("n", "centre_n") >= percent * F.greatest("n", "centre_n"))
