@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from shelfspark.llm.sampling import bounded_sample
 
-SAMPLE_DOCS = 2500
+SAMPLE_DOCS = 2000
 TRAIN_WINDOWS = 24
 WINDOW = 32
 STRIDE = 24
@@ -58,6 +58,11 @@ def word_features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
     A word's first row is its own, the others are those of its character 3- to 5-grams.
     """
+    parts = [_word_features(words[a:a + 10_000]) for a in range(0, len(words), 10_000)] or [_word_features([])]
+    return np.concatenate([r for r, _ in parts]), np.concatenate([n for _, n in parts])
+
+
+def _word_features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     bare = [(w.strip(_EDGE) or w[:1])[:60] for w in words]
     own = np.fromiter((xxhash.xxh3_64_intdigest(b.encode("utf-8", "surrogatepass")) % WORD_BUCKETS for b in bare),
                       np.int64, len(bare))
@@ -76,7 +81,8 @@ def word_features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         rows.append(((h * _GRAM[0, 0]) >> np.uint64(40)).astype(np.int64) % GRAM_BUCKETS + WORD_BUCKETS)
         owners.append(word[at])
     owner = np.concatenate(owners)
-    return np.concatenate(rows)[np.argsort(owner, kind="stable")], np.bincount(owner, minlength=len(bare))
+    return (np.concatenate(rows)[np.argsort(owner, kind="stable")].astype(np.int32),
+            np.bincount(owner, minlength=len(bare)))
 
 
 def _sig(x):
@@ -232,14 +238,14 @@ def fit_texts(texts: list[str | None], labels: np.ndarray, share: float | None =
     if len(set(labels.tolist())) < 2:
         return Model(np.zeros((WORD_BUCKETS + GRAM_BUCKETS, EMBED), np.float32), None)
     rng = np.random.default_rng(SEED)
-    lists = [words_of(t) for t in texts]
-    vocabulary = {w: k + 1 for k, w in enumerate(sorted(set().union(*lists)))}
+    vocabulary: dict[str, int] = {}
+    lists = [np.array([vocabulary.setdefault(w, len(vocabulary) + 1) for w in words_of(t)], np.int32) for t in texts]
     flat, sizes = word_features(["", *vocabulary])  # row 0: no word
     starts = np.cumsum(sizes) - sizes
     # document frequencies of every feature by label -> log odds
     seen = np.zeros((2, WORD_BUCKETS + GRAM_BUCKETS))
     for words, y in zip(lists, labels):
-        ids = np.array([vocabulary[w] for w in set(words)], np.int64)
+        ids = np.unique(words)
         if len(ids):
             seen[int(y), np.unique(flat[_spans(starts[ids], sizes[ids])])] += 1
     n = np.bincount(labels.astype(int), minlength=2)
@@ -248,10 +254,11 @@ def fit_texts(texts: list[str | None], labels: np.ndarray, share: float | None =
     table = rng.normal(0, 0.05, (WORD_BUCKETS + GRAM_BUCKETS, EMBED)).astype(np.float32)
     table[:, 0] = np.clip(odds, -3, 5)
     net = Network(rng)
+    del vocabulary
     windows = []
     for words in lists:
         ids = np.zeros(max(WINDOW, len(words)), np.int32)
-        ids[:len(words)] = [vocabulary[w] for w in words]
+        ids[:len(words)] = words
         s = np.array(window_starts(len(words)))
         if len(s) > TRAIN_WINDOWS:
             s = s[np.linspace(0, len(s) - 1, TRAIN_WINDOWS).astype(int)]
