@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfspark.llm import html_extract, langid, minhash_dedup, packing, pii, quality_pu, quality_rules, toxicity, warc
+from shelfspark.llm import decontaminate, html_extract, langid, minhash_dedup, packing, pii, quality_pu, quality_rules, toxicity, warc
 from shelfspark.llm.common import fold, table
 
 
@@ -34,6 +34,10 @@ def op5_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_chars", F.length("text").cast("long"))
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     dictionaries = langid.fit(docs.filter(fold(F.col("doc_id"), 4) != 2))
@@ -66,6 +70,7 @@ QUERIES = {f.__name__: f for f in (
     op3_toxicity,
     op4_pii_pseudonyms,
     op5_html_extract,
+    op6_decontamination,
     op7_language_id,
     op8_quality_classifier,
     op9_warc,
