@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,19 +56,42 @@ def join_hot(big: DataFrame, small: DataFrame, keys: list[str], weight: str,
             .unionByName(rest.join(light, keys, how)))
 
 
-def likely_in(rows: DataFrame, ids: DataFrame, column: str) -> DataFrame:
-    """``rows`` whose ``column`` is probably among ``ids`` (same name), without a shuffle of ``rows``.
+def likely(rows: DataFrame, ids: DataFrame, column: str, flag: str) -> DataFrame:
+    """``rows`` with a boolean ``flag``: ``column`` is probably among ``ids`` (same name); no shuffle of ``rows``.
 
-    A bitmap of hashed ids is broadcast: 64 bits an id, 16 MB at most. No row of
-    ``ids`` is lost; a later join drops the few others.
+    A bitmap of hashed ids is broadcast: 64 bits an id, 16 MB at most. Every row
+    whose value is among ``ids`` is flagged, and few others; an exact join of the
+    flagged rows tells them apart.
     """
     bits = 1 << min(27, max(15, (64 * max(1, ids.count())).bit_length()))
     at = F.pmod(F.xxhash64(column), F.lit(bits))
     bucket, place, bitmap = (free_name(rows, x) for x in ("bucket", "place", "bitmap"))
     seen = ids.groupBy(F.bitmap_bucket_number(at).alias(bucket)).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias(bitmap))
-    byte = f"cast(conv(hex(substring({bitmap}, cast({place} div 8 as int) + 1, 1)), 16, 10) as int)"
+    byte = f"cast(conv(hex(substring(`{bitmap}`, cast(`{place}` div 8 as int) + 1, 1)), 16, 10) as int)"
     return (rows.withColumn(bucket, F.bitmap_bucket_number(at)).withColumn(place, F.bitmap_bit_position(at))
-            .join(F.broadcast(seen), bucket)
-            .filter(f"(shiftright({byte}, cast({place} % 8 as int)) & 1) = 1")
-            .drop(bucket, place, bitmap))
+            .join(F.broadcast(seen), bucket, "left")
+            .withColumn(flag, F.expr(f"coalesce((shiftright({byte}, cast(`{place}` % 8 as int)) & 1) = 1, false)"))
+            .select(*[f"`{c}`" for c in rows.columns], flag))
+
+
+def likely_in(rows: DataFrame, ids: DataFrame, column: str) -> DataFrame:
+    """The rows that ``likely`` flags."""
+    flag = free_name(rows, "flagged")
+    return likely(rows, ids, column, flag).filter(f"`{flag}`").drop(flag)
+
+
+class Shared:
+    """A broadcast of any object, by value: executors do not need this package to read it."""
+
+    def __init__(self, spark: SparkSession, value):
+        self._data = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+    @property
+    def value(self):
+        if "_value" not in self.__dict__:
+            self._value = cloudpickle.loads(self._data.value)
+        return self._value
+
+    def __getstate__(self):
+        return {"_data": self._data}

@@ -34,6 +34,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfspark.llm.common import Shared
+
 PASSAGE = 32
 STRIDE = 16
 MAX_SHARE = 0.01
@@ -213,7 +215,7 @@ def singular_vectors(docs: DataFrame, shared, rank: int = RANK) -> tuple[np.ndar
     space = shared.value
     rank = min(rank, space.size)
     random = np.linalg.qr(np.random.default_rng(SEED).normal(size=(space.size, rank)))[0]
-    drawn = docs.sparkSession.sparkContext.broadcast(random.astype(np.float32))
+    drawn = Shared(docs.sparkSession, random.astype(np.float32))
 
     def run(batches):
         space, g = shared.value, drawn.value
@@ -294,7 +296,7 @@ def leaks_in(space: Space, items: np.ndarray, owners: np.ndarray, direct: list[d
 
 def _spaces(docs: DataFrame, benchmark: DataFrame) -> Iterator:
     """For each block of items: a broadcast (space, item vectors, their items)."""
-    context = docs.sparkSession.sparkContext
+    spark = docs.sparkSession
     items = benchmark.filter("text is not null").select(F.col("item_id").cast("long"), "text")
     blocks = -(-items.count() // ITEMS_PER_BLOCK)
     for b in range(blocks):
@@ -303,8 +305,8 @@ def _spaces(docs: DataFrame, benchmark: DataFrame) -> Iterator:
         bench = Benchmark(list(zip(rows["item_id"].to_pylist(), rows["text"].to_pylist())))
         if not bench.items:
             continue
-        space = Space(bench, *frequencies(docs, context.broadcast(bench)))
-        space.latent = singular_vectors(docs, context.broadcast(space))[0].astype(np.float32)
+        space = Space(bench, *frequencies(docs, Shared(spark, bench)))
+        space.latent = singular_vectors(docs, Shared(spark, space))[0].astype(np.float32)
         parts = [(k, np.array(words[s:s + PASSAGE])) for k, (_, words, *_) in enumerate(bench.items)
                  for s in bench.item_starts(words)]
         starts, feature, weight, owner, _ = space.rows([w for _, w in parts], grid=False)
@@ -312,7 +314,7 @@ def _spaces(docs: DataFrame, benchmark: DataFrame) -> Iterator:
         q /= np.maximum(np.linalg.norm(q, axis=1, keepdims=True), 1e-12)
         direct = [dict(zip(feature[a:b].tolist(), weight[a:b].tolist()))
                   for a, b in zip(starts, np.append(starts[1:], len(feature)))]
-        yield context.broadcast((space, q, np.array([k for k, _ in parts])[owner], direct))
+        yield Shared(spark, (space, q, np.array([k for k, _ in parts])[owner], direct))
 
 
 LEAK = "doc_id long, item_id long, start long, cosine double, share double, answered boolean"

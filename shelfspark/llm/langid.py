@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfspark.llm.common import Shared
 from shelfspark.llm.sampling import bounded_sample
 
 SAMPLE_DOCS = 200
@@ -89,7 +90,7 @@ class Classifier:
 
 def classify(docs: DataFrame, dictionaries: dict[str, bytes], min_margin: float = MIN_MARGIN) -> DataFrame:
     """doc_id, lang (``und`` where rejected), lang_guess, margin, score of every document."""
-    shared = docs.sparkSession.sparkContext.broadcast(dictionaries)
+    shared = Shared(docs.sparkSession, dictionaries)
 
     def run(batches):
         classifier = Classifier(shared.value)

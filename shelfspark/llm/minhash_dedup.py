@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfspark.llm.common import join_hot, likely_in, stored
+from shelfspark.llm.common import Shared, free_name, join_hot, likely, likely_in, stored
 from shelfspark.llm.components import connected_components
 
 BINS = 80
@@ -244,7 +244,7 @@ def residual_pairs(nodes: DataFrame, percent: int) -> DataFrame:
               .groupBy(F.col("s").bitwiseAND(size - 1).alias("at")).count().toArrow())
     frequencies = np.zeros(size, np.int32)
     frequencies[counts["at"].to_numpy()] = np.minimum(counts["count"].to_numpy(), 2 ** 31 - 1)
-    shared = spark.sparkContext.broadcast(frequencies)  # 4 MB whatever the corpus
+    shared = Shared(spark, frequencies)  # 4 MB whatever the corpus
 
     def prefixes(batches):
         yield from _prefixes(shared.value, percent)(batches)
@@ -309,3 +309,23 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     return (join_hot(sig.select("doc_id", *fp), named, fp, "rows", "left")
             .select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),
                     F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept")))
+
+
+def deduplicated(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` with one document of each group of near-duplicates, the one with the smallest id.
+
+    Of rows that repeat id and text one stays; rows with a null id all stay.
+    Whole texts are shuffled only where an id is to go or repeats.
+    """
+    found = stored(near_duplicates(docs, width, percent), "near-duplicates")
+    gone = found.filter("not kept").select("doc_id").distinct()
+    twice = found.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id")
+    watched = stored(gone.unionByName(twice).distinct(), "watched-ids")
+    flag, drop = free_name(docs, "flagged"), free_name(docs, "gone")
+    rows = likely(docs, watched, "doc_id", flag)
+    suspects = rows.filter(F.col(flag)).drop(flag)
+    suspects = (suspects.join(gone.withColumn(drop, F.lit(True)), "doc_id", "left")
+                .filter(F.col(drop).isNull()).select(*docs.columns))
+    named = suspects.filter("doc_id is not null").dropDuplicates(["doc_id", "text"])
+    return (rows.filter(~F.col(flag)).drop(flag).select(*docs.columns)
+            .unionByName(named).unionByName(suspects.filter("doc_id is null")))

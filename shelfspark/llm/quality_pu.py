@@ -30,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfspark.llm.common import Shared
 from shelfspark.llm.quality_rules import SPACE, SYMBOLS, base_counts
 from shelfspark.llm.sampling import bounded_sample
 
@@ -201,7 +202,7 @@ def _featured(keep: list[str]):
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id and score (above 0.5: rather good) of every document."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = Shared(docs.sparkSession, model)
 
     def run(batches):
         for batch in batches:
@@ -210,3 +211,16 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(shared.value.scores(x))], ["doc_id", "score"])
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, score double")
+
+
+def accepted(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` whose score is at least ``threshold``; rows are judged where they lie."""
+    shared = Shared(docs.sparkSession, model)
+    at = docs.columns.index("text")
+
+    def run(batches):
+        for batch in batches:
+            texts = batch.column(at)
+            x = np.array([features(texts[i].as_py()) for i in range(len(texts))], float).reshape(-1, N_FEATURES)
+            yield batch.filter(pa.array(shared.value.scores(x) >= threshold))
+    return docs.mapInArrow(run, docs.schema)

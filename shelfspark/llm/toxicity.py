@@ -27,6 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfspark.llm.common import Shared
 from shelfspark.llm.sampling import bounded_sample
 
 SAMPLE_DOCS = 2000
@@ -342,7 +343,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id and score (0 to 1, above 0.5: rather toxic) of every document."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = Shared(docs.sparkSession, model)
 
     def run(batches):
         for batch in batches:
