@@ -35,6 +35,11 @@ END_ID = 0
 #: Distinct words whose ids a worker remembers; further words are encoded again when they come.
 CACHED_WORDS = 300_000
 
+#: Items are fed in runs of this size, the longest of a run first, so that the short ones fill up
+#: what the long ones leave; the open bins should hold a run.
+RUN = 4096
+OPEN_BINS = 8192
+
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PIECE_FIELDS = ["doc_id", "piece", "start", "length", "ids_crc32"]
 
@@ -168,8 +173,12 @@ def _pack(columns: list[str], capacity: int, open_bins: int, level: int) -> Call
         task = TaskContext.get().partitionId()
         bins = BestFit(capacity, open_bins)
         for batch in batches:
-            lengths = batch.column("length").to_pylist()
-            placed = [bins.place(n) for n in lengths]
+            lengths = batch.column("length").to_numpy()
+            placed = [None] * len(lengths)
+            for a in range(0, len(lengths), RUN):
+                run_of = lengths[a:a + RUN]
+                for k in np.argsort(-run_of, kind="stable").tolist():
+                    placed[a + k] = bins.place(int(run_of[k]))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(c) for c in columns]
                 + [pa.array([_bin_id(level, task, b) for b, _ in placed], pa.int64()),
@@ -186,7 +195,7 @@ def _pack(columns: list[str], capacity: int, open_bins: int, level: int) -> Call
     return run
 
 
-def pack(items: DataFrame, capacity: int = SEQUENCE_LENGTH, open_bins: int = 1024,
+def pack(items: DataFrame, capacity: int = SEQUENCE_LENGTH, open_bins: int = OPEN_BINS,
          items_per_task: int = 200_000) -> DataFrame:
     """Place ``items`` (a column ``length`` of 1 to ``capacity``, any others) into bins.
 
@@ -242,7 +251,7 @@ def pack(items: DataFrame, capacity: int = SEQUENCE_LENGTH, open_bins: int = 102
 
 def pack_documents(docs: DataFrame, tokenizer_path: str | None = None,
                    length: int = SEQUENCE_LENGTH, end_id: int = END_ID,
-                   open_bins: int = 1024, items_per_task: int = 200_000) -> DataFrame:
+                   open_bins: int = OPEN_BINS, items_per_task: int = 200_000) -> DataFrame:
     """Tokenize ``docs`` (doc_id, text), cut what is longer than ``length`` and pack the pieces."""
     cut = stored(pieces(docs, tokenizer_path, length, end_id), "pieces")
     return pack(cut, length, open_bins, items_per_task)
