@@ -20,11 +20,13 @@ from __future__ import annotations
 
 import os
 import re
+import unicodedata
 import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -85,8 +87,9 @@ class BestFit:
 
 
 # Characters that the tokenizer's normalizer does not take for white space but
-# str.split does, and the opening of its special tokens.
-_WHOLE = re.compile("[\x1c-\x1f]|<\\|")
+# str.split does, the opening of its special tokens, and the one letter that
+# str.lower treats by its place in the word.
+_WHOLE = re.compile("[\x1c-\x1f\u03a3]|<\\|")
 
 
 def load_tokenizer(path: str | None):
@@ -98,28 +101,59 @@ def load_tokenizer(path: str | None):
     return Tokenizer.from_file(path)
 
 
+#: The tokenizer's pre-tokens of a word in normal form (fixed values of its file).
+_PARTS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+_WORD_END = "</w>"
+
+
 class WordEncoder:
     """Token ids of texts as little-endian uint32 bytes.
 
     The tokenizer drops white space and no token spans it, so a text's ids are
-    its words' ids in order. Words seen before are looked up; new ones of a
-    block of texts go through the tokenizer in one call. Texts with characters
-    for which that does not hold are encoded whole.
+    its words' ids in order, and a word's are those of its pre-tokens. Words
+    seen before are looked up; the new pre-tokens of a block of texts go through
+    the tokenizer joined by blanks, and the tokens that end a word part them
+    again. Texts with characters for which that does not hold are encoded whole.
     """
 
     def __init__(self, path: str | None, cached: int = CACHED_WORDS):
         self.tokenizer = load_tokenizer(path)
         self.cached = cached
         self.known: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith(_WORD_END)]] = True
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [np.asarray(e.ids, "<u4").tobytes()
                 for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _encode_parts(self, parts: list[str]) -> None:
+        for a in range(0, len(parts), 200):
+            some = parts[a:a + 200]
+            data = self._encode([" ".join(some)])[0]
+            ends = (4 * np.flatnonzero(self.ends[np.frombuffer(data, "<u4")]) + 4).tolist()
+            if len(ends) == len(some) and ends[-1] == len(data):
+                self.parts.update(zip(some, [data[x:y] for x, y in zip([0, *ends], ends)]))
+            else:
+                self.parts.update(zip(some, self._encode(some)))
+
+    def _encode_words(self, words: list[str]) -> list[bytes]:
+        split = [_PARTS.findall((w if w.isascii() else unicodedata.normalize("NFC", w)).lower()) for w in words]
+        new = list(set().union(*split).difference(self.parts))
+        self._encode_parts(new)
+        look = self.parts.__getitem__
+        out = [b"".join(map(look, x)) for x in split]
+        if len(self.parts) > self.cached:
+            for x in new:
+                del self.parts[x]
+        return out
+
     def block(self, texts: list[str | None]) -> Iterator[bytes]:
         words = [None if t and _WHOLE.search(t) else (t or "").split() for t in texts]
         new = list(set().union(*(w for w in words if w)).difference(self.known))
-        self.known.update(zip(new, self._encode(new)))
+        self.known.update(zip(new, self._encode_words(new)))
         look = self.known.__getitem__
         for t, w in zip(texts, words):
             yield self._encode([t])[0] if w is None else b"".join(map(look, w))

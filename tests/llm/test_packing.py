@@ -62,3 +62,15 @@ def test_best_fit_closes_the_fullest():
     assert bins.place(3) == (1, 7)  # tightest: 3 free
     assert bins.place(2) == (0, 6)
     assert bins.still_open() == {0: 8}
+
+
+def test_words_are_encoded_as_in_context():
+    import random
+    rng = random.Random(5)
+    alphabet = "aAbBzZ'sStTéÉñß019,.!-_|#İıŒσςǅ²½Ⅳ\u0301\u00a0\u2003\u200b한글中文א 🙂\t\n"
+    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randrange(60))) for _ in range(800)]
+    coder = packing.WordEncoder(None, cached=300)
+    tokenizer = packing.load_tokenizer(None)
+    for a in range(0, len(texts), 50):
+        for t, got in zip(texts[a:a + 50], coder.block(texts[a:a + 50])):
+            assert np.frombuffer(got, "<u4").tolist() == tokenizer.encode(t, add_special_tokens=False).ids, repr(t)
