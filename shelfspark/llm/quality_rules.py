@@ -99,11 +99,11 @@ def sketches(rows: DataFrame) -> DataFrame:
         *[F.kll_sketch_agg_double(name, SKETCH_K).alias(name) for name in RULES])
 
 
-def _cutoffs(prefix: str):
+def _cutoffs() -> list:
     out = []
     for name, (_, _, least, low, high) in RULES.items():
-        q = F.kll_sketch_get_quantile_double
-        q1, q3 = q(f"{prefix}{name}", F.lit(0.25)), q(f"{prefix}{name}", F.lit(0.75))
+        # an empty sketch has no quantiles, and asking for one is an error
+        q1, q3 = (F.when(F.col("rows") > 0, F.kll_sketch_get_quantile_double(name, F.lit(x))) for x in (0.25, 0.75))
         wide = SPREAD * F.greatest(q3 - q1, F.lit(least))
         out += [(q1 - wide if low else F.lit(None).cast("double")).alias(f"{name}_low"),
                 (q3 + wide if high else F.lit(None).cast("double")).alias(f"{name}_high")]
@@ -115,9 +115,9 @@ def cutoffs(groups: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
     merged = [F.sum("rows").alias("rows"), *[F.kll_merge_agg_double(n).alias(n) for n in RULES]]
     limits = [f"{n}_{side}" for n in RULES for side in ("low", "high")]
     of_lang = groups.groupBy("lang").agg(*merged).select("lang", F.col("rows").alias("lang_rows"), *[
-        c.alias(f"lang_{n}") for c, n in zip(_cutoffs(""), limits)])
-    of_all = groups.agg(*merged).select(*[c.alias(f"all_{n}") for c, n in zip(_cutoffs(""), limits)])
-    own = groups.select("lang", "source", "rows", *_cutoffs(""))
+        c.alias(f"lang_{n}") for c, n in zip(_cutoffs(), limits)])
+    of_all = groups.agg(*merged).select(*[c.alias(f"all_{n}") for c, n in zip(_cutoffs(), limits)])
+    own = groups.select("lang", "source", "rows", *_cutoffs())
     levels = (own.alias("o").join(of_lang.alias("l"), F.col("o.lang").eqNullSafe(F.col("l.lang")), "left")
               .drop(F.col("l.lang")).join(F.broadcast(of_all)))  # one row
     pick = lambda n: (F.when(F.col("rows") >= min_group, F.col(n))

@@ -39,6 +39,8 @@ HIDDEN = 8
 WORD_BUCKETS = 1 << 16
 GRAM_BUCKETS = 1 << 15
 EPOCHS = 4
+#: Steps that a small sample is trained for, in more epochs.
+MIN_STEPS = 120
 BATCH = 128
 SEED = 3
 #: Words whose inputs a worker remembers.
@@ -267,7 +269,8 @@ def fit_texts(texts: list[str | None], labels: np.ndarray, share: float | None =
     adam = {k: [np.zeros_like(x), np.zeros_like(x)] for k, x in net.p.items()}
     square = np.full(len(table), 1e-2, np.float32)  # Adagrad, a rate per row of the table
     step = 0
-    for epoch in range(EPOCHS):
+    per_epoch = -(-len(lists) // BATCH)
+    for _ in range(max(EPOCHS, -(-MIN_STEPS // per_epoch))):
         order = rng.permutation(len(lists))
         for lo in range(0, len(order), BATCH):
             docs = order[lo:lo + BATCH]

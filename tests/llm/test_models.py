@@ -1,0 +1,135 @@
+"""Classifiers: held-out accuracy on small corpora, gradients, defined cases."""
+import random
+
+import numpy as np
+import pytest
+
+from shelfspark.llm import langid, quality_pu, toxicity
+
+SYLLABLES = {"en": "the ing and ion ent her tha ere", "de": "der ung sch ein ich ver gen ber",
+             "fr": "les eau que ent oir aux est ais"}
+
+
+def text(rng, lang, n, extra=()):
+    s = SYLLABLES[lang].split()
+    words = ["".join(rng.choice(s) for _ in range(rng.randrange(1, 4))) for _ in range(n)]
+    for w in extra:
+        words.insert(rng.randrange(len(words)), w)
+    return " ".join(words)
+
+
+def corpus(n, seed=1):
+    rng = random.Random(seed)
+    rows = []
+    for i in range(n):
+        lang = rng.choice(list(SYLLABLES))
+        toxic = rng.random() < 0.3
+        t = text(rng, lang, rng.choice([20, 60, 200]),
+                 ["grumpf" + rng.choice(["en", "ing", "le", "ox", "ier", "as"])] * 2 if toxic else ())
+        good = rng.random() < 0.75
+        if not good:
+            t = " ".join(w.upper() + "!!" for w in t.split()) if rng.random() < 0.5 else " ".join(
+                w + "###" for w in t.split())
+        rows.append((i, t, lang, int(good), int(toxic)))
+    return rows
+
+
+EDGE = [(9001, None, "en", None, None), (9002, "", None, None, None), (9003, " 12 !", "en", 1, 0),
+        (None, "the", "en", None, None), (9004, "x" * 200_000, "en", 1, 0), (0, "the and", "en", None, None)]
+SCHEMA = "doc_id long, text string, lang string, quality int, toxic int"
+
+
+@pytest.fixture(scope="module")
+def tables(spark):
+    rows = corpus(900)
+    docs = spark.createDataFrame([(i, t, lang, "x") for i, t, lang, *_ in rows + EDGE],
+                                 "doc_id long, text string, lang string, score string")
+    labels = spark.createDataFrame([(i, q, x) for i, _, _, q, x in rows if i < 600 and i % 3],
+                                   "doc_id long, quality int, toxic int")
+    return rows, docs, labels
+
+
+def test_language(spark, tables):
+    rows, docs, _ = tables
+    got = {r.doc_id: r for r in langid.classify(docs, langid.fit(docs.filter("doc_id < 600"))).collect()}
+    held = [(got[i].lang_guess, lang) for i, _, lang, *_ in rows if i >= 600]
+    assert np.mean([a == b for a, b in held]) > 0.97
+    for i in (9001, 9002, 9003):
+        assert (got[i].lang, got[i].lang_guess, got[i].score) == ("und", "und", 0.0)
+    assert all(0 <= r.score <= 1 for r in got.values())
+    assert langid.classify(docs.limit(0), {}).collect() == []
+    assert {r.lang for r in langid.classify(docs, langid.fit(docs.limit(0))).collect()} == {"und"}
+
+
+def test_quality(spark, tables):
+    rows, docs, labels = tables
+    model = quality_pu.fit(docs.filter("doc_id < 600"), labels)
+    got = {r.doc_id: r.score for r in quality_pu.score(docs, model).collect()}
+    assert np.mean([(got[i] >= 0.5) == (q == 1) for i, _, _, q, _ in rows if i >= 600]) > 0.95
+    assert 0.55 < model.prior < 0.95
+    kept = quality_pu.accepted(docs, model)
+    assert kept.columns == docs.columns and kept.count() == sum(
+        r.score >= 0.5 for r in quality_pu.score(docs, model).collect())
+    nothing = quality_pu.fit(docs.limit(0), labels)
+    assert {r.score for r in quality_pu.score(docs, nothing).collect()} == {0.5}
+    assert quality_pu.score(docs.limit(0), model).collect() == []
+
+
+def test_toxicity(spark, tables):
+    rows, docs, labels = tables
+    model = toxicity.fit(docs.filter("doc_id < 600"), labels)
+    got = {r.doc_id: r.score for r in toxicity.score(docs, model).collect()}
+    held = [(got[i], x) for i, _, _, _, x in rows if i >= 600]
+    a, b = (np.array([s for s, x in held if x == k]) for k in (1, 0))
+    assert (a[:, None] > b).mean() > 0.95
+    assert got[9001] == got[9002] and 0 <= got[9001] < 0.5
+    none = toxicity.fit(docs, labels.filter("toxic = 0"))
+    assert {r.score for r in toxicity.score(docs, none).collect()} == {0.0}
+    assert toxicity.score(docs.limit(0), model).collect() == []
+
+
+def test_every_word_is_in_a_window():
+    for n in range(0, 200):
+        starts = toxicity.window_starts(n)
+        covered = {s + k for s in starts for k in range(toxicity.WINDOW)}
+        assert set(range(n)) <= covered and (n <= toxicity.WINDOW or max(starts) + toxicity.WINDOW == n)
+
+
+def test_late_words_count():
+    """A toxic word at the far end of a long text changes its score."""
+    rows = corpus(400, seed=4)
+    model = toxicity.fit_texts([t for _, t, *_ in rows], np.array([x for *_, x in rows]))
+    long = text(random.Random(9), "en", 4000)
+    clean, bad = model.scores([long, long + " grumpfen grumpfox"])
+    assert bad > clean + 0.3
+
+
+def test_gradients():
+    rng = np.random.default_rng(0)
+    net = toxicity.Network(rng)
+    net.p = {k: v.astype(np.float64) for k, v in net.p.items()}
+    x = rng.normal(size=(5, 3, toxicity.EMBED))
+    mask = np.ones((5, 3))
+    mask[3:, 1] = 0
+    slope = rng.normal(size=3)
+
+    def loss():
+        return float((net.run(toxicity._gates(net, x), mask)[0] * slope).sum())
+    gates = toxicity._gates(net, x)
+    score, kept = net.run(gates, mask, keep=True)
+    grads, dx = net.gradients(slope, gates, mask, kept, x)
+    for k in net.p:
+        flat = net.p[k].reshape(-1)
+        for j in rng.integers(0, flat.size, 3):
+            old, e = flat[j], 1e-2
+            flat[j] = old + e
+            up = loss()
+            flat[j] = old - e
+            down = loss()
+            flat[j] = old
+            assert abs((up - down) / (2 * e) - grads[k].reshape(-1)[j]) < 2e-2 * (1 + abs(grads[k].reshape(-1)[j])), k
+    old = x[1, 2, 3]
+    x[1, 2, 3] = old + 1e-2
+    up = loss()
+    x[1, 2, 3] = old - 1e-2
+    assert abs((up - loss()) / 2e-2 - dx[1, 2, 3]) < 1e-2
