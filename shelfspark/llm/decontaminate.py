@@ -42,6 +42,7 @@ MAX_SHARE = 0.01
 #: Terms that a passage needs; items with fewer lend their most frequent words too.
 MIN_TERMS = 4
 RANK = 192
+PASSES = 1
 FEATURES = 1 << 14
 MIN_COSINE = 0.35
 #: Least cosine before the projection; of unrelated passages nearly all are below.
@@ -210,15 +211,12 @@ def frequencies(docs: DataFrame, shared) -> tuple[int, np.ndarray]:
 _BLOCK = 256
 
 
-def singular_vectors(docs: DataFrame, shared, rank: int = RANK) -> tuple[np.ndarray, np.ndarray]:
-    """Right singular vectors [features, rank] of all passages, and the singular values."""
-    space = shared.value
-    rank = min(rank, space.size)
-    random = np.linalg.qr(np.random.default_rng(SEED).normal(size=(space.size, rank)))[0]
-    drawn = Shared(docs.sparkSession, random.astype(np.float32))
+def _gram_times(docs: DataFrame, shared, matrix: np.ndarray) -> np.ndarray:
+    """A'(A matrix), each task adding up its share."""
+    factor = Shared(docs.sparkSession, matrix.astype(np.float32))
 
     def run(batches):
-        space, g = shared.value, drawn.value
+        space, g = shared.value, factor.value
         total = np.zeros((space.size, g.shape[1]))
         for texts in _read(batches, space.bench):
             starts, feature, weight, _, _ = space.rows(texts, overlap=False)
@@ -247,13 +245,27 @@ def singular_vectors(docs: DataFrame, shared, rank: int = RANK) -> tuple[np.ndar
                 [pa.array(list(sums), pa.int32()), pa.array([x.tobytes() for x in sums.values()])], ["block", "sums"])
     kind = "block int, sums binary"
     got = docs.select("text").mapInArrow(run, kind).repartition("block").mapInArrow(add, kind).toArrow()
-    y = np.zeros((space.size, rank))
+    y = np.zeros((shared.value.size, matrix.shape[1]))
     for b, data in zip(got["block"].to_pylist(), got["sums"].to_pylist()):
-        y[b:b + _BLOCK] = np.frombuffer(data).reshape(-1, rank)
+        y[b:b + _BLOCK] = np.frombuffer(data).reshape(-1, matrix.shape[1])
+    return y
+
+
+def singular_vectors(docs: DataFrame, shared, rank: int = RANK, passes: int = PASSES) -> tuple[np.ndarray, np.ndarray]:
+    """Right singular vectors [features, rank] of all passages, and the singular values.
+
+    Each pass over the texts multiplies by A'A once; further passes sharpen the leading vectors.
+    """
+    size = shared.value.size
+    g = np.linalg.qr(np.random.default_rng(SEED).normal(size=(size, min(rank, size))))[0]
+    for left in range(passes - 1, -1, -1):
+        y = _gram_times(docs, shared, g)
+        if left:
+            g = np.linalg.qr(y)[0]
     # Nystroem: C ~ Y (G'Y)^-1 Y' for C = A'A, with a small shift for stability
     shift = 1e-9 * max(1e-30, np.abs(y).max())
-    y += shift * random
-    inner = random.T @ y
+    y += shift * g
+    inner = g.T @ y
     w, e = np.linalg.eigh((inner + inner.T) / 2)
     half = (y @ e) / np.sqrt(np.maximum(w, shift))
     u, s, _ = np.linalg.svd(half, full_matrices=False)

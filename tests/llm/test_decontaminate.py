@@ -92,13 +92,13 @@ def test_singular_vectors(spark, tables):
     docs, items, _ = tables
     bench = d.Benchmark([(r.item_id, r.text) for r in items.collect() if r.text])
     space = d.Space(bench, *d.frequencies(docs, Shared(spark, bench)))
-    u, s = d.singular_vectors(docs, Shared(spark, space), rank=60)
+    u, s = d.singular_vectors(docs, Shared(spark, space), rank=60, passes=3)
     starts, feature, weight, _, _ = space.rows([bench.terms(r.text) for r in docs.collect()], overlap=False)
     a = np.zeros((len(starts), space.size))
     a[np.repeat(np.arange(len(starts)), np.diff(starts, append=len(feature))), feature] = weight
     exact = np.linalg.svd(a, compute_uv=False)
     assert abs(u.T @ u - np.eye(u.shape[1])).max() < 1e-6
-    assert abs(s[0] - exact[0]) < 0.1 * exact[0] and np.linalg.norm(a @ u[:, 0]) > 0.85 * exact[0]
+    assert abs(s[:10] - exact[:10]).max() < 0.1 * exact[0] and np.linalg.norm(a @ u[:, 0]) > 0.9 * exact[0]
 
 
 def test_empty_tables(spark, tables):
