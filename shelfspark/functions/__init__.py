@@ -1,7 +1,3 @@
-"""Column functions (plain Python functions returning ``Column``; all JVM-side)."""
+from .columns import date_from_parts, lockstep_unnest, snake_case
 
-from .columns import (date_from_parts, empty_array, image_url, iso_date_string,
-                      lockstep_unnest, snake_case, snake_case_columns)
-
-__all__ = ["date_from_parts", "empty_array", "image_url", "iso_date_string",
-           "lockstep_unnest", "snake_case", "snake_case_columns"]
+__all__ = ["date_from_parts", "lockstep_unnest", "snake_case"]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Fixed value: camelCase -> snake_case rule, "_" before every capital that is
@@ -16,15 +16,6 @@ def snake_case(name: str) -> str:
     return _CAMEL_BOUNDARY.sub("_", name).lower()
 
 
-def snake_case_columns(df: DataFrame) -> DataFrame:
-    """Rename every top-level column from camelCase to snake_case (metadata only)."""
-    return df.toDF(*[snake_case(c) for c in df.columns])
-
-
-def empty_array(element_type: str = "string") -> Column:
-    return F.array().cast(f"array<{element_type}>")
-
-
 def date_from_parts(parts: Column, strict: bool = True) -> Column:
     """Year/month/day struct -> DATE; NULL unless all three parts are present.
 
@@ -40,23 +31,6 @@ def date_from_parts(parts: Column, strict: bool = True) -> Column:
     return F.when(present, value)
 
 
-def iso_date_string(parts: Column) -> Column:
-    """Year/month/day struct -> 'YYYY-MM-DD' text; NULL if any part is missing or 0.
-
-    Impossible dates give NULL here; the validated mode flags them separately
-    (see ``operators.validate``) before this is used.
-    """
-    y, m, d = parts["year"], parts["month"], parts["day"]
-    usable = (F.coalesce(y, F.lit(0)) != 0) & (F.coalesce(m, F.lit(0)) != 0) & (F.coalesce(d, F.lit(0)) != 0)
-    text = F.date_format(F.try_to_date(F.concat_ws("-", y, m, d), "y-M-d"), "yyyy-MM-dd")
-    return F.when(usable, text)
-
-
-def image_url(image: Column) -> Column:
-    """Image struct -> URL: ``extraLarge`` when given, else ``large``."""
-    return F.coalesce(image["extraLarge"], image["large"])
-
-
 def lockstep_unnest(arrays: dict[str, Column]) -> Column:
     """Unnest several arrays side by side (i-th elements together).
 

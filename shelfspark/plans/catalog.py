@@ -139,7 +139,7 @@ def _dirty_entries(spark, sf_dir, keys=validate.RECORD_KEYS):
 
 def q_raw_document_check(spark, sf_dir):
     docs = landing.read_landed_variant(spark, _landed(spark, sf_dir, "clean"))
-    return validate.raw_envelope_check(docs).select("doc_id", "user_id", "n_lists", "n_entries", "passed")
+    return validate.user_envelope_check(validate.raw_envelope_check(docs))
 
 
 def q_raw_document_size(spark, sf_dir):
@@ -178,7 +178,12 @@ def q_dimension_user_validated(spark, sf_dir):
 def q_fact_anime_sql_dirty(spark, sf_dir):
     """SQL mode on the dirty documents: every row kept, casts instead of checks."""
     _, ents = _dirty_entries(spark, sf_dir, validate.FACT_KEYS)
-    return validate.sql_mode_fact(ents.where(~F.col("doc_fault")))
+    return validate.sql_mode_fact(ents)
+
+
+def q_fact_anime_sql_typed(spark, sf_dir):
+    """The same documents through the build job's reader and the fact model."""
+    return Models(landing.read_landed(spark, _landed(spark, sf_dir, "dirty")), strict_dates=False).fact
 
 
 def q_media_cover_sql_dirty(spark, sf_dir):
@@ -304,6 +309,7 @@ QUERIES: dict[str, Query] = {
     "quarantined_entries": q_quarantined_entries,
     "anime_scores_wide_validated": q_anime_scores_wide_validated,
     "fact_anime_sql_dirty": q_fact_anime_sql_dirty,
+    "fact_anime_sql_typed": q_fact_anime_sql_typed,
     "media_cover_sql_dirty": q_media_cover_sql_dirty,
     "quality_report": q_quality_report,
     "topic_events": q_topic_events,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +19,14 @@ RAW_TABLE_CONF = "shelfspark.raw.table"
 # (``<sf_dir>=<folder>``, written by ``Models.materialize``).
 MODELS_CONF = "shelfspark.models.path"
 MODELS_DB_CONF = "shelfspark.models.database"
+DEFAULT_DATABASE = "shelfspark_models"
+
+
+def bucketed_name(root: str, name: str) -> str:
+    """The catalog name of a bucketed table: one for each folder, so builds do not meet."""
+    return f"{name}_{hashlib.md5(root.rstrip('/').encode()).hexdigest()[:16]}"
+
+
 MODEL_TABLES = ("fact_anime", "dimension_media", "dimension_user")
 
 
@@ -123,12 +132,12 @@ class Models:
             out = MaterializedModels(spark, root, self.raw)
             out.raw_reader = self.raw_reader
             return out
-        db = database or "shelfspark_models"
+        db = database or DEFAULT_DATABASE
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}`")
         for name, df, key in (("fact_anime", self.narrow_fact(), "user_id"),
                               ("dimension_user", self.users, "id")):
             (df.write.mode("overwrite").format("parquet").option("path", f"{root}/{name}")
-             .bucketBy(buckets, key).sortBy(key).saveAsTable(f"`{db}`.`{name}`"))
+             .bucketBy(buckets, key).sortBy(key).saveAsTable(f"`{db}`.`{bucketed_name(root, name)}`"))
         write_parquet(self.media, f"{root}/dimension_media")
         out = MaterializedModels(spark, root, self.raw, database=db)
         out.raw_reader = self.raw_reader
@@ -179,8 +188,9 @@ class MaterializedModels(Models):
 
     def _read(self, name: str) -> DataFrame:
         # bucketed tables are read through the catalog so the bucket spec is known
-        if self.database and self._spark.catalog.tableExists(f"{self.database}.{name}"):
-            return self._spark.table(f"`{self.database}`.`{name}`")
+        table = bucketed_name(self.root, name)
+        if self.database and self._spark.catalog.tableExists(f"{self.database}.{table}"):
+            return self._spark.table(f"`{self.database}`.`{table}`")
         return self._spark.read.parquet(f"{self.root}/{name}")
 
     @cached_property

@@ -18,11 +18,11 @@ agg AS (
   GROUP BY o.o_custkey, l.l_partkey
 ),
 entries AS (
-  SELECT user_id * 1000000 + media_id AS id, user_id, media_id,
+  SELECT user_id * 4294967296 + media_id AS id, user_id, media_id,
          CAST(CAST(max_qty AS INTEGER) % 11 AS DOUBLE) AS score,
          n_lines AS progress,
          CASE max_status WHEN 'F' THEN 'COMPLETED' WHEN 'O' THEN 'CURRENT' ELSE 'PLANNING' END AS watch_status,
-         CASE WHEN (user_id * 1000000 + media_id) % 10 = 0 THEN NULL ELSE CAST(first_order AS DATE) END AS started_at,
+         CASE WHEN (user_id * 4294967296 + media_id) % 10 = 0 THEN NULL ELSE CAST(first_order AS DATE) END AS started_at,
          CASE WHEN max_status = 'F' THEN CAST(last_ship AS DATE) ELSE NULL END AS completed_at
   FROM agg
 ),
@@ -198,7 +198,7 @@ SELECT CAST(SUM(count) AS BIGINT) AS total FROM (
 """),
     "mart_parquet_roundtrip": with_bridge("SELECT * FROM mart"),
     "raw_document_check": with_bridge("""
-SELECT user_id * 1048576 AS doc_id, user_id, COUNT(DISTINCT watch_status) AS n_lists,
+SELECT user_id, COUNT(DISTINCT watch_status) AS n_lists,
        COUNT(*) AS n_entries, true AS passed
 FROM entries GROUP BY user_id
 """),
@@ -231,6 +231,14 @@ SELECT id, user_id, media_id, average_score, mean_score, popularity, trending, f
        CASE WHEN id % 97 IN (4, 5) THEN NULL ELSE started_at END AS started_at,
        completed_at, stats, rankings
 FROM fact
+"""),
+    "fact_anime_sql_typed": with_bridge("""
+SELECT id, user_id, media_id, average_score, mean_score, popularity, trending, favourites,
+       CASE WHEN id % 97 IN (2, 3) THEN NULL ELSE progress END AS progress, episodes,
+       CASE WHEN id % 97 = 1 THEN score + 0.5 ELSE score END AS score, watch_status,
+       CASE WHEN id % 97 IN (4, 5) THEN NULL ELSE started_at END AS started_at,
+       completed_at, stats, rankings
+FROM fact
 """),
     "media_cover_sql_dirty": with_bridge("""
 SELECT id AS entry_id, media_id,

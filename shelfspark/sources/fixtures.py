@@ -25,7 +25,7 @@ DEFAULT_MAX_ENTRIES = 500
 _CHUNK_BITS = 20  # doc_id = user_id << 20 | chunk
 
 # Fixed values of the bridge (FIXTURES.md section 3).
-ENTRY_ID_FACTOR = 1000000
+ENTRY_ID_SHIFT = 32  # entry id = customer key << 32 | part key, unique below 2^31 customers and 2^32 parts
 SEASONS = ("WINTER", "SPRING", "SUMMER", "FALL")  # by p_size % 4
 STATUS_BY_ORDER_STATUS = {"F": "COMPLETED", "O": "CURRENT"}  # anything else: PLANNING
 
@@ -38,15 +38,18 @@ def entry_facts(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
          .groupBy("o_custkey", "l_partkey")
          .agg(F.max("l_quantity").alias("max_qty"),
               F.count(F.lit(1)).alias("n_lines"),
-              # order status codes are single letters: the max code point is the
-              # lexical max, and keeps the aggregate hash-based (fixed-width buffer)
-              F.max(F.ascii("o_orderstatus")).alias("max_status_code"),
+              # which of the known statuses the lexically largest one is, as flags:
+              # a string maximum would need a sort, these keep the aggregate hash-based
+              F.bool_or(F.col("o_orderstatus") > "O").alias("above_o"),
+              F.bool_or(F.col("o_orderstatus") == "O").alias("has_o"),
+              F.bool_or(F.col("o_orderstatus") > "F").alias("above_f"),
+              F.bool_or(F.col("o_orderstatus") == "F").alias("has_f"),
               F.min("o_orderdate").alias("first_order"),
               F.max("l_shipdate").alias("last_ship")))
-    g = g.withColumn("max_status", F.chr("max_status_code"))
-    entry_id = F.col("o_custkey") * ENTRY_ID_FACTOR + F.col("l_partkey")
-    status = (F.when(F.col("max_status") == "F", F.lit(STATUS_BY_ORDER_STATUS["F"]))
-              .when(F.col("max_status") == "O", F.lit(STATUS_BY_ORDER_STATUS["O"]))
+    entry_id = F.shiftleft(F.col("o_custkey").cast("long"), ENTRY_ID_SHIFT) + F.col("l_partkey")
+    status = (F.when(F.col("above_o"), F.lit("PLANNING"))
+              .when(F.col("has_o"), F.lit(STATUS_BY_ORDER_STATUS["O"]))
+              .when(F.col("has_f") & ~F.col("above_f"), F.lit(STATUS_BY_ORDER_STATUS["F"]))
               .otherwise(F.lit("PLANNING")))
     return g.select(
         entry_id.alias("entry_id"),

@@ -1,8 +1,8 @@
 """Landing of raw documents and the warehouse tables built from them.
 
 * ``land_json``: run-scoped JSON sink, ``<root>/run_id=<id>/part-*.json``,
-  one document per line (JSON Lines is splittable, so reading parallelises
-  across files and blocks).
+  one document per line. Files are gzip, so a file is read by one task and the
+  documents per file are limited.
 * ``read_landed``: read-back with the fixed schema; a ``run_id`` filter is a
   partition filter, so other runs' folders are never listed or read.
 * ``read_landed_variant``: the same files as one VARIANT column per line, for
@@ -14,8 +14,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType, VariantType
 
 from .. import schemas
 
@@ -37,10 +38,8 @@ def land_json(docs: DataFrame, root: str, compression: str = "gzip") -> None:
 
 
 def read_landed(spark: SparkSession, root: str, run_id: str | None = None) -> DataFrame:
-    df = spark.read.schema(schemas.RAW_DOCUMENT).json(root)
-    if run_id is not None:
-        df = df.where(F.col("run_id") == run_id)
-    return df.select("run_id", "doc_id", "data")
+    """Typed documents. Numbers given as text, or with a fraction, are cast as SQL casts them."""
+    return documents_from_text(read_landed_text(spark, root, run_id))
 
 
 def read_landed_variant(spark: SparkSession, root: str, run_id: str | None = None) -> DataFrame:
@@ -50,7 +49,7 @@ def read_landed_variant(spark: SparkSession, root: str, run_id: str | None = Non
     does not combine with run partition folders in this Spark version).
     """
     return read_landed_text(spark, root, run_id).select(
-        "run_id", F.parse_json("value").alias("doc"), F.octet_length("value").alias("n_bytes"))
+        "run_id", F.try_parse_json("value").alias("doc"), F.octet_length("value").alias("n_bytes"))
 
 
 def read_landed_text(spark: SparkSession, root: str, run_id: str | None = None) -> DataFrame:
@@ -84,11 +83,6 @@ PRESENCE_SCHEMA = ("doc_id bigint, data struct<MediaListCollection: struct<lists
                    "User: struct<id: bigint>>, run_id string")
 
 
-def read_raw_presence(spark: SparkSession, path: str, run_id: str | None = None) -> DataFrame:
-    """``(run_id, doc_id, data)`` of the raw table, narrowed for presence checks."""
-    return read_raw_table(spark, path, run_id, schema=PRESENCE_SCHEMA)
-
-
 def save_table(df: DataFrame, schema_name: str, table: str) -> str:
     """Replace ``<schema_name>.<table>`` (the schema name is used verbatim)."""
     spark = df.sparkSession
@@ -106,13 +100,39 @@ def create_view(df: DataFrame, name: str) -> DataFrame:
 
 def documents_from_text(lines: DataFrame, run_id_col: str = "run_id") -> DataFrame:
     """Typed documents ``(run_id, doc_id, data)`` from JSON text lines ``(run_id?, value)``."""
-    parsed = F.from_json(F.col("value"), schemas.RAW_DOCUMENT)
     run = F.col(run_id_col) if run_id_col in lines.columns else F.lit(None).cast("string")
-    return lines.select(run.alias("run_id"), parsed["doc_id"].alias("doc_id"), parsed["data"].alias("data"))
+    parsed = lines.select(run.alias("run_id"), F.from_json("value", _loose(schemas.RAW_DOCUMENT)).alias("d"))
+    return parsed.select("run_id", _typed(F.col("d.doc_id"), schemas.RAW_DOCUMENT["doc_id"].dataType).alias("doc_id"),
+                         _typed(F.col("d.data"), schemas.DATA).alias("data"))
+
+
+def _loose(kind):
+    """``kind`` with every number read as VARIANT, which keeps text and fractions."""
+    if isinstance(kind, StructType):
+        return StructType([StructField(f.name, _loose(f.dataType)) for f in kind])
+    if isinstance(kind, ArrayType):
+        return ArrayType(_loose(kind.elementType))
+    return VariantType() if isinstance(kind, (LongType, DoubleType)) else kind
+
+
+def _typed(value: Column, kind) -> Column:
+    """The loosely read ``value`` as ``kind``: integers rounded half to even, text numbers cast."""
+    if isinstance(kind, StructType):
+        return F.when(value.isNotNull(), F.struct(*[_typed(value[f.name], f.dataType).alias(f.name) for f in kind]))
+    if isinstance(kind, ArrayType) and _loose(kind) != kind:
+        return F.transform(value, lambda x: _typed(x, kind.elementType))
+    if isinstance(kind, LongType):
+        whole = F.try_variant_get(value, "$", "bigint")
+        exact = F.try_variant_get(value, "$", "decimal(38,9)")
+        # a plain integer needs no decimal; 2.5 would be cut by the first cast
+        return F.when(F.schema_of_variant(value) == "BIGINT", whole).otherwise(F.bround(exact, 0).cast("long"))
+    if isinstance(kind, DoubleType):
+        return F.try_variant_get(value, "$", "double")
+    return value
 
 
 def variant_documents_from_text(lines: DataFrame, run_id_col: str = "run_id") -> DataFrame:
     """VARIANT documents ``(run_id, doc, n_bytes)`` from JSON text lines."""
     run = F.col(run_id_col) if run_id_col in lines.columns else F.lit(None).cast("string")
-    return lines.select(run.alias("run_id"), F.parse_json("value").alias("doc"),
+    return lines.select(run.alias("run_id"), F.try_parse_json("value").alias("doc"),
                         F.octet_length("value").alias("n_bytes"))

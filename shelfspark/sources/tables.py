@@ -4,10 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
-          "events", "documents", "embeddings", "pages", "benchmark", "labels",
-          "conversations")
-
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

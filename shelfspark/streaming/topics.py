@@ -1,7 +1,7 @@
 """Fan documents out to event topics and replay a topic log.
 
 Events are ``(topic STRING, value STRING)`` rows: one ``raw_user`` event per
-document (its ``User`` object) and one ``raw_media`` event per list entry,
+run and user (the ``User`` object) and one ``raw_media`` event per list entry,
 JSON-encoded. The same functions work on batch and streaming DataFrames, and
 the per-row ``topic`` column routes rows (no per-topic jobs).
 
@@ -27,9 +27,17 @@ _JSON_OPTS = {"ignoreNullFields": "false"}
 
 
 def topic_events(raw: DataFrame) -> DataFrame:
-    """``(topic, value)``: 1 user event per document + 1 media event per entry."""
-    users = raw.select(F.lit(RAW_USER_TOPIC).alias("topic"),
-                       F.to_json(F.col("data.User"), _JSON_OPTS).alias("value"))
+    """``(topic, value)``: 1 user event per run and user + 1 media event per entry.
+
+    A user's list may be spread over several documents that repeat the user
+    object; it is one event all the same. A document without a user id stands
+    for itself.
+    """
+    user_id = F.coalesce(F.col("data.User.id"), F.col("doc_id"))
+    users = (raw.select("run_id", user_id.alias("user_id"), F.col("data.User.id").isNull().alias("unnamed"),
+                        F.to_json(F.col("data.User"), _JSON_OPTS).alias("value"))
+             .dropDuplicates(["run_id", "user_id", "unnamed"])
+             .select(F.lit(RAW_USER_TOPIC).alias("topic"), "value"))
     entries = explode_entries(stage_media(raw)).select(
         F.lit(RAW_MEDIA_TOPIC).alias("topic"), F.to_json(F.col("entry"), _JSON_OPTS).alias("value"))
     return users.unionByName(entries)

@@ -87,3 +87,11 @@ def media_path(field):
 
 def text_frame(spark, *docs):
     return spark.createDataFrame([("t", json.dumps(d)) for d in docs], "run_id string, value string")
+
+
+def pairs_of_mart(mart):
+    """(media, score, tag, genre) of a mart: every tag of a media item and score with every genre."""
+    from pyspark.sql import functions as F
+    of = mart.groupBy("media_id", "score").agg(F.collect_set("tag").alias("tags"), F.collect_set("genre").alias("genres"))
+    return (of.select("media_id", "score", F.explode("tags").alias("tag"), "genres")
+            .select("media_id", "score", "tag", F.explode("genres").alias("genre")))
