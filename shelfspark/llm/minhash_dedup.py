@@ -45,7 +45,9 @@ ROWS = 4
 #: Edges of one centre that one task verifies; beyond it the centre's set is copied per salt.
 EDGES_PER_SALT = 4000
 #: Nodes of one prefix key that are compared at once.
-BLOCK = 4096
+BLOCK = 1024
+#: Rows of blocks for a task; each is compared with up to two blocks.
+BLOCK_ROWS_PER_TASK = 20_000
 #: Counters of shingle frequencies; hashed, so their number is fixed.
 FREQUENCY_BITS = 20
 
@@ -254,13 +256,17 @@ def residual_pairs(nodes: DataFrame, percent: int) -> DataFrame:
                                   F.max("component").alias("hi"))
             .filter("lo != hi").select("q", "size"))
     blocks = F.ceil(F.col("size") / BLOCK)
-    dealt = (join_hot(rows, stored(keys, "prefix-keys"), ["q"], "size")
+    stored_keys = stored(keys, "prefix-keys")
+    dealt = (join_hot(rows, stored_keys, ["q"], "size")
              .withColumn("blocks", blocks.cast("int"))
              .withColumn("b", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
              .withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
              .select("q", F.least("b", "o").alias("x"), F.greatest("b", "o").alias("y"), "b",
                      "id", "component", "n", "pos"))
-    return (dealt.repartition("q", "x", "y").sortWithinPartitions("q", "x", "y")
+    # rows are few and comparisons many, so the number of tasks follows the rows and not their bytes
+    n_rows = stored_keys.agg(F.sum(F.col("size") * F.ceil(F.col("size") / BLOCK))).first()[0] or 0
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-int(n_rows) // BLOCK_ROWS_PER_TASK))
+    return (dealt.repartition(tasks, "q", "x", "y").sortWithinPartitions("q", "x", "y")
             .mapInArrow(_block_pairs(percent), "a long, c long").distinct())
 
 
