@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 TOP_GENRES = 10
 TOP_TAGS = 20
 
-# Spark SQL text of the distinct-media-per-score report, run on a view.
+# Fixed value: the distinct-media-per-score report as SQL text, run on a view.
 COUNT_SCORES_SQL = (
     "SELECT score, COUNT(DISTINCT media_id) AS count FROM {view} "
     "WHERE score > 0.0 GROUP BY score ORDER BY count DESC, score DESC"

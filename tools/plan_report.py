@@ -72,7 +72,7 @@ def main() -> None:
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     parts.append("## Without broadcasts (dimensions too large to broadcast)\n\n"
                  "The fact x user join stays exchange-free on both sides (bucketed, co-located); "
-                 "the only shuffles carry pre-aggregated rows.\n")
+                 "the reports shuffle pre-aggregated rows, `anime_scores` the joined fact by `media_id`.\n")
     for name in ("count_scores_by_top_genre", "anime_scores"):
         parts.append(summarise(name, QUERIES[name](spark, sf_dir)))
     with open(out, "w") as f:
