@@ -258,6 +258,37 @@ def q_scaled_features(spark, sf_dir):
                                    ["standardized"])
 
 
+def q_genre_scale(spark, sf_dir):
+    return features.category_scale(_genre_features(spark, sf_dir), "genre")
+
+
+def q_tag_scale(spark, sf_dir):
+    """The same encoding, assembling and scaling for the tag."""
+    indexed, _ = features.index_categories(q_tag_genre_pairs(spark, sf_dir))
+    return features.category_scale(features.scaled_features(indexed, "tag", "standardized"), "tag")
+
+
+def q_kmeans_invariants(spark, sf_dir):
+    feats = _genre_features(spark, sf_dir).persist()
+    try:
+        return spark.createDataFrame(features.kmeans_invariants(feats).toArrow())  # one row
+    finally:
+        feats.unpersist()
+
+
+def q_quality_failures(spark, sf_dir):
+    """The checks on tables that break them: a key emptied, rows repeated, a row too many, no rows."""
+    m = _models(spark, sf_dir)
+    fact = m.fact.select(F.when(F.col("id") % 97 != 3, F.col("id")).alias("id"), "user_id")
+    report = quality.quality_report([
+        (fact, quality.TableChecks("emptied", not_null=["id", "user_id"], non_empty=True)),
+        (fact.unionByName(fact), quality.TableChecks("repeated", unique=["id"])),
+        (m.users, quality.TableChecks("counted", expected_rows=1)),
+        (m.users.where("id < 0"), quality.TableChecks("none", non_empty=True)),
+    ])
+    return quality.failed_checks(report)
+
+
 def q_kmeans_cost(spark, sf_dir):
     return features.kmeans_sweep(spark, _genre_features(spark, sf_dir))
 
@@ -322,5 +353,9 @@ QUERIES: dict[str, Query] = {
     "kmeans_assign": q_kmeans_assign,
     "cluster_profile": q_cluster_profile,
     "kmeans_summary": q_kmeans_summary,
+    "genre_scale": q_genre_scale,
+    "tag_scale": q_tag_scale,
+    "kmeans_invariants": q_kmeans_invariants,
+    "quality_failures": q_quality_failures,
     "kmeans_cost": q_kmeans_cost,
 }

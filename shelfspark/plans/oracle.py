@@ -166,6 +166,17 @@ pairs AS (
 )
 """
 
+# One over the sample deviation of each category's 0/1 column; the last index has no column.
+SCALE = "WITH " + BRIDGE.strip() + ",\n" + TAG_GENRE_PAIRS.strip() + """,
+counts AS (SELECT {category} AS value, COUNT(*) AS c FROM pairs GROUP BY {category}),
+indexed AS (
+  SELECT value, c, ROW_NUMBER() OVER (ORDER BY c DESC, value ASC) - 1 AS idx, SUM(c) OVER () AS n,
+         COUNT(*) OVER () AS k
+  FROM counts)
+SELECT value, CAST(idx AS BIGINT) AS idx,
+       CASE WHEN idx < k - 1 THEN ROUND(1 / SQRT((c - CAST(c AS DOUBLE) * c / n) / (n - 1)), 6) END AS scale
+FROM indexed"""
+
 STATEMENTS: dict[str, str] = {
     "fact_anime": with_bridge("SELECT * FROM fact"),
     "dimension_media": with_bridge(FLAT_MEDIA_SELECT.format(
@@ -267,6 +278,20 @@ counts AS (
 SELECT column_name, value, count,
        CAST(ROW_NUMBER() OVER (PARTITION BY column_name ORDER BY count DESC, value ASC) - 1 AS BIGINT) AS idx
 FROM counts""",
+    "genre_scale": SCALE.replace("{category}", "genre"),
+    "tag_scale": SCALE.replace("{category}", "tag"),
+    "kmeans_invariants": "WITH " + BRIDGE.strip() + ",\n" + TAG_GENRE_PAIRS.strip() + """
+SELECT COUNT(*) AS rows, true AS nearest, true AS cost_is_sum, true AS silhouette_in_range FROM pairs""",
+    "quality_failures": with_bridge("""
+SELECT 'emptied' AS model, 'not_null' AS check_name, 'id' AS column_name,
+       COUNT(*) FILTER (WHERE id % 97 = 3) AS failures, COUNT(*) AS rows, false AS passed FROM fact
+UNION ALL
+SELECT 'repeated', 'unique', 'id', COUNT(*) FILTER (WHERE id % 97 <> 3), 2 * COUNT(*), false FROM fact
+UNION ALL
+SELECT 'counted', 'row_count', NULL, COUNT(*) - 1, COUNT(*), false FROM dim_user
+UNION ALL
+SELECT 'none', 'non_empty', NULL, 1, 0, false
+"""),
     "topic_event_ids": with_bridge("""
 SELECT 'raw_user' AS topic, id FROM dim_user
 UNION ALL
