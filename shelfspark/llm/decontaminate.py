@@ -208,7 +208,7 @@ def frequencies(docs: DataFrame, shared) -> tuple[int, np.ndarray]:
     return int(n[term < 0].sum()), counts
 
 
-_BLOCK = 256
+_BLOCK = 32
 
 
 def _gram_times(docs: DataFrame, shared, matrix: np.ndarray) -> np.ndarray:
