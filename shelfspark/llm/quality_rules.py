@@ -2,11 +2,17 @@
 
 A document's base counts give ratios (symbols per word character, characters
 per word, repeated lines, repeated words, words). Per language and source, a
-KLL quantile sketch of each ratio is built; sketches of small groups are merged
-to the language's, and further to the corpus's. A group's cutoffs are its
-quartiles widened by ``spread`` interquartile ranges, where a range counts as at
-least the rule's ``least`` (else a ratio that is nearly constant would reject
-what differs by a hair). Documents are joined with their group's cutoffs.
+KLL quantile sketch of each ratio is built; sketches are merged to the
+language's and the corpus's as well. A group's cutoffs are its quartiles widened
+by ``SPREAD`` ranges. A range is the largest of three that the sketches give: the
+interquartile range, the distance of median and outer tenth on the cutoff's side
+(in units of the interquartile range of a normal distribution), and what one
+event (``STEPS``) makes of the ratio in a document of median size, else a ratio
+that is nearly constant would reject what differs by a hair. Farther tails are
+not asked: they are what the rules are to reject. Cutoffs of groups with fewer
+than ``MIN_GROUP`` rows pass over to the language's in proportion, wholly at
+half as many, and the language's to the corpus's alike. Documents are joined with
+their group's cutoffs.
 
 Defined cases: null and empty texts have all counts 0 and fail the base rules;
 null languages or sources are groups of their own; repeated rows are judged one
@@ -29,17 +35,22 @@ SPACE = b" \t\n\x0b\x0c\r"
 WINDOW = 8
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
-#: Rows from which on a group has cutoffs of its own.
+#: Rows from which on a group has cutoffs wholly of its own.
 MIN_GROUP = 200
 SPREAD = 3.0
 SKETCH_K = 400
-#: ratio -> (numerator, denominator, least interquartile range, lower cutoff too, upper cutoff too)
+#: Interquartile range of a normal distribution over its distance of median and tenth.
+TENTH = 1.349 / 1.2816
+#: ratio -> (numerator, denominator, fixed least range, lower cutoff too, upper cutoff too)
 RULES = {
-    "symbol_ratio": ("n_symbols", "word_chars", 0.01, False, True),
-    "word_length": ("word_chars", "n_words", 0.6, True, True),
-    "dup_line_ratio": ("n_dup_lines", "n_lines", 0.15, False, True),
-    "repeat_ratio": ("n_repeat_words", "n_words", 0.08, False, True),
+    "symbol_ratio": ("n_symbols", "word_chars", 0.0, False, True),
+    "word_length": ("word_chars", "n_words", 0.0, True, True),
+    "dup_line_ratio": ("n_dup_lines", "n_lines", 0.0, False, True),
+    "repeat_ratio": ("n_repeat_words", "n_words", 0.0, False, True),
 }
+#: ratio -> what one event adds to its numerator: a word in markup (**w**), an address among the words,
+#: a line said again, a passage of a window's words said twice
+STEPS = {"symbol_ratio": 4, "word_length": 16, "dup_line_ratio": 1, "repeat_ratio": 2 * WINDOW}
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines"]
 
@@ -93,26 +104,36 @@ def counted(docs: DataFrame) -> DataFrame:
 
 
 def sketches(rows: DataFrame) -> DataFrame:
-    """A row per (lang, source): the number of documents that pass the base rules and a sketch per ratio."""
+    """A row per (lang, source): the number of documents that pass the base rules, sketches per ratio and its step."""
     return rows.filter("not base_failed").groupBy("lang", "source").agg(
         F.count("*").alias("rows"),
-        *[F.kll_sketch_agg_double(name, SKETCH_K).alias(name) for name in RULES])
+        *[F.kll_sketch_agg_double(name, SKETCH_K).alias(name) for name in RULES],
+        *[F.kll_sketch_agg_double(F.lit(float(STEPS[name])) / F.greatest(F.col(below), F.lit(1)), SKETCH_K)
+          .alias(f"{name}_step") for name, (_, below, *_) in RULES.items()])
 
 
 def _cutoffs() -> list:
     out = []
     for name, (_, _, least, low, high) in RULES.items():
         # an empty sketch has no quantiles, and asking for one is an error
-        q1, q3 = (F.when(F.col("rows") > 0, F.kll_sketch_get_quantile_double(name, F.lit(x))) for x in (0.25, 0.75))
-        wide = SPREAD * F.greatest(q3 - q1, F.lit(least))
-        out += [(q1 - wide if low else F.lit(None).cast("double")).alias(f"{name}_low"),
-                (q3 + wide if high else F.lit(None).cast("double")).alias(f"{name}_high")]
+        at = lambda x, c=name: F.when(F.col("rows") > 0, F.kll_sketch_get_quantile_double(c, F.lit(x)))
+        q1, q2, q3, step = at(0.25), at(0.5), at(0.75), at(0.5, f"{name}_step")
+        wide = lambda tail: SPREAD * F.greatest(q3 - q1, TENTH * tail, step, F.lit(least))
+        out += [(q1 - wide(q2 - at(0.1)) if low else F.lit(None).cast("double")).alias(f"{name}_low"),
+                (q3 + wide(at(0.9) - q2) if high else F.lit(None).cast("double")).alias(f"{name}_high")]
     return out
 
 
+def _passing(rows: str, min_group: int, own, larger):
+    """``own`` from ``min_group`` rows on, ``larger`` up to half as many, between them in proportion."""
+    weight = 2 * F.col(rows) / F.lit(min_group) - 1
+    return (F.when(weight >= 1, own).when(weight > 0, weight * own + (1 - weight) * larger).otherwise(larger))
+
+
 def cutoffs(groups: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
-    """lang, source, rows and the cutoffs of each group, from the smallest level with enough rows."""
-    merged = [F.sum("rows").alias("rows"), *[F.kll_merge_agg_double(n).alias(n) for n in RULES]]
+    """lang, source, rows and the cutoffs of each group, of the smallest levels with enough rows."""
+    merged = [F.sum("rows").alias("rows"),
+              *[F.kll_merge_agg_double(c).alias(c) for n in RULES for c in (n, f"{n}_step")]]
     limits = [f"{n}_{side}" for n in RULES for side in ("low", "high")]
     of_lang = groups.groupBy("lang").agg(*merged).select("lang", F.col("rows").alias("lang_rows"), *[
         c.alias(f"lang_{n}") for c, n in zip(_cutoffs(), limits)])
@@ -120,8 +141,8 @@ def cutoffs(groups: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
     own = groups.select("lang", "source", "rows", *_cutoffs())
     levels = (own.alias("o").join(of_lang.alias("l"), F.col("o.lang").eqNullSafe(F.col("l.lang")), "left")
               .drop(F.col("l.lang")).join(F.broadcast(of_all)))  # one row
-    pick = lambda n: (F.when(F.col("rows") >= min_group, F.col(n))
-                      .when(F.col("lang_rows") >= min_group, F.col(f"lang_{n}")).otherwise(F.col(f"all_{n}")))
+    pick = lambda n: _passing("rows", min_group, F.col(n), _passing(
+        "lang_rows", min_group, F.col(f"lang_{n}"), F.col(f"all_{n}")))
     return levels.select("lang", "source", "rows", *[pick(n).alias(n) for n in limits])
 
 

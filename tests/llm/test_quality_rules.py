@@ -85,3 +85,32 @@ def test_small_groups_use_larger_ones(spark):
 def test_empty(spark):
     none = spark.createDataFrame([], "doc_id long, text string, lang string, source string")
     assert q.filtered(none).collect() == []
+
+
+def symbol_docs(first, n, lang, words, marked, symbols, source="a"):
+    """``n`` documents; of each ten, ``marked`` have ``symbols`` symbols more."""
+    return [(first + i, " ".join(f"w{first + i}x{k}" for k in range(words)) + " " + "#" * (symbols * (i % 10 < marked)),
+             lang, source) for i in range(n)]
+
+
+def test_width_is_measured(spark):
+    """The symbol cutoff follows the group's own tail and document size, not a constant."""
+    data = symbol_docs(0, 300, "noisy", 60, 2, 20) + symbol_docs(1000, 300, "clean", 60, 0, 0) \
+        + symbol_docs(2000, 300, "long", 600, 0, 0)
+    data += symbol_docs(5000, 1, "clean", 60, 1, 40) + symbol_docs(6000, 1, "long", 600, 1, 60)
+    df = spark.createDataFrame(data, "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: r for r in q.filtered(df).collect()}
+    assert got[0].symbol_ratio > 0.03 and all(got[i].kept for i in range(300))
+    assert got[6000].symbol_ratio < 0.03 and "symbol_ratio" in got[6000].failed  # 60 symbols where none are
+    assert "symbol_ratio" in got[5000].failed
+    high = {r.lang: r.symbol_ratio_high for r in q.cutoffs(q.sketches(q.counted(df))).collect()}
+    assert high["noisy"] > high["clean"] > 5 * high["long"]
+
+
+def test_small_groups_pass_over_in_proportion(spark):
+    data = symbol_docs(0, 900, "en", 60, 0, 0, "big") + symbol_docs(1000, 100, "en", 30, 0, 0, "half") \
+        + symbol_docs(2000, 150, "en", 30, 0, 0, "more") + symbol_docs(3000, 200, "en", 30, 0, 0, "own")
+    df = spark.createDataFrame(data, "doc_id long, text string, lang string, source string")
+    high = {r.source: r.symbol_ratio_high for r in q.cutoffs(q.sketches(q.counted(df)), 200).collect()}
+    assert high["half"] < high["more"] < high["own"]
+    assert abs(high["more"] - (high["half"] + high["own"]) / 2) < 0.1 * high["own"]
