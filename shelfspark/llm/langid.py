@@ -1,16 +1,21 @@
 """Language identification by compression.
 
-Each language has a zstandard dictionary of raw content: whole texts of a
-bounded sample of its labelled documents, joined. A text is cut into chunks, so
+Each language has a zstandard dictionary of raw content: texts of a bounded
+sample of its labelled documents, joined. What is in a longer dictionary is found
+there more often, so two languages are compared with the first bytes of the
+longer one's, as many as the shorter has; a language with a shorter dictionary
+has to be smaller by ``MIN_MARGIN``, for few bytes tell less. Languages are gone
+through from the longest dictionary on, each against the best so far. A text is cut into chunks, so
 that the dictionary keeps its weight in long texts, and each chunk is
 compressed with every dictionary; the language with the fewest bytes in all is
-chosen. The margin is how much larger, relatively, the second is; a margin
+chosen. The margin is how much larger, relatively, the nearest other is; a margin
 below ``min_margin`` rejects: ``lang`` is ``und`` then and ``lang_guess`` still
 names the smallest.
 
 Bounds of the fit: ``SAMPLE_DOCS`` documents per language, of ``MIN_CHARS`` to
-``MAX_CHARS`` characters, and ``DICTIONARY_BYTES`` per language. Every document
-is classified over its whole text.
+``MAX_CHARS`` characters, and ``DICTIONARY_BYTES`` per language; a
+language with less has a shorter dictionary. Every document is classified over
+its whole text.
 
 Defined cases: a null text or one without a letter is ``und`` with score 0;
 equal sizes go to the language that sorts first; repeated rows are classified
@@ -59,33 +64,53 @@ def fit(labelled: DataFrame) -> dict[str, bytes]:
     texts: dict[str, list[bytes]] = {}
     for lang, text in zip(got["lang"].to_pylist(), got["text"].to_pylist()):
         texts.setdefault(lang, []).append(normal(text))
-    # what is next to the data is cheapest to refer to: no language may gain by length
-    size = min([DICTIONARY_BYTES, *(len(b" ".join(t)) for t in texts.values())])
-    return {lang: b" ".join(t)[:size] for lang, t in sorted(texts.items())}
+    joined = {lang: b" ".join(t)[:DICTIONARY_BYTES] for lang, t in sorted(texts.items())}
+    return {lang: data for lang, data in joined.items() if data.strip()}
 
 
 class Classifier:
     def __init__(self, dictionaries: dict[str, bytes]):
+        # longest first; equal lengths by name
+        self.data = dict(sorted(dictionaries.items(), key=lambda x: (-len(x[1]), x[0])))
+        self.coders: dict[tuple[str, int], object] = {}
+
+    def _coder(self, lang: str, size: int):
+        """Compressor with the first ``size`` bytes of the language's dictionary."""
         import zstandard
-        self.coders = []
-        for lang, data in sorted(dictionaries.items()):
-            d = zstandard.ZstdCompressionDict(data, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        if (lang, size) not in self.coders:
+            d = zstandard.ZstdCompressionDict(self.data[lang][:size], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             d.precompute_compress(level=LEVEL)
-            self.coders.append((lang, zstandard.ZstdCompressor(
-                dict_data=d, level=LEVEL, write_content_size=False, write_dict_id=False)))
+            self.coders[lang, size] = zstandard.ZstdCompressor(
+                dict_data=d, level=LEVEL, write_content_size=False, write_dict_id=False)
+        return self.coders[lang, size]
 
     def __call__(self, text: str | None) -> tuple[str, float, float]:
         """(smallest language, margin, score)."""
-        if not text or not self.coders or not _LETTER.search(text):
+        if not text or not self.data or not _LETTER.search(text):
             return UNKNOWN, 0.0, 0.0
         data = normal(text)
         if len(data) < SHORT_BYTES:
             data = b" ".join([data] * 3)
         chunks = [data[a:a + CHUNK_BYTES] for a in range(0, len(data), CHUNK_BYTES)] or [b""]
-        sizes = sorted((sum(len(c.compress(x)) for x in chunks), lang) for lang, c in self.coders)
-        best = sizes[0][0]
-        margin = (sizes[1][0] - best) / best if len(sizes) > 1 else 1.0
-        return sizes[0][1], margin, 1 / sum(math.exp(-(s - best) / best / SCALE) for s, _ in sizes)
+        sizes: dict[tuple[str, int], int] = {}
+
+        def bytes_of(lang: str, size: int) -> int:
+            if (lang, size) not in sizes:
+                coder = self._coder(lang, size)
+                sizes[lang, size] = sum(len(coder.compress(x)) for x in chunks)
+            return sizes[lang, size]
+
+        def excess(lang: str, other: str) -> float:
+            """How much larger ``lang`` is than ``other``, both at the length of the shorter; it has a handicap."""
+            a, b = len(self.data[lang]), len(self.data[other])
+            handicap = MIN_MARGIN * ((a < b) - (a > b))
+            return bytes_of(lang, min(a, b)) / bytes_of(other, min(a, b)) - 1 + handicap
+        best = next(iter(self.data))
+        for lang in self.data:
+            if excess(lang, best) < 0:
+                best = lang
+        others = [max(0.0, excess(lang, best)) for lang in self.data if lang != best]
+        return best, min(others, default=1.0), 1 / (1 + sum(math.exp(-x / SCALE) for x in others))
 
 
 def classify(docs: DataFrame, dictionaries: dict[str, bytes], min_margin: float = MIN_MARGIN) -> DataFrame:

@@ -133,3 +133,28 @@ def test_gradients():
     up = loss()
     x[1, 2, 3] = old - 1e-2
     assert abs((up - loss()) / 2e-2 - dx[1, 2, 3]) < 1e-2
+
+
+def spoken(letters, n, rng):
+    return " ".join("".join(rng.choice(list(letters), 12)) for _ in range(n))
+
+
+def test_language_of_one_document_harms_no_other(spark):
+    """Every language keeps its own dictionary."""
+    rng = np.random.default_rng(5)
+    words = {lang: [spoken(letters, 1, rng) for _ in range(300)]
+             for lang, letters in (("aa", "abcdefgh"), ("bb", "abcdefgh"))}
+    say = lambda lang, n: " ".join(rng.choice(words[lang], n))
+    learn = [(i, say(lang, 100), lang) for i, lang in enumerate(["aa", "bb"] * 60)]
+    learn += [(700, spoken("stuvwxyz", 16, rng), "rare")]
+    found = langid.fit(spark.createDataFrame(learn, "doc_id long, text string, lang string"))
+    assert len(found["rare"]) < 250 and min(len(found["aa"]), len(found["bb"])) > 30_000
+    judge = langid.Classifier(found)
+    for lang in words:
+        assert sum(judge(say(lang, 60))[0] == lang for _ in range(50)) >= 49
+    assert judge(learn[-1][1])[0] == "rare"
+
+
+def test_tiny_dictionaries():
+    judge = langid.Classifier({"a": b"x", "b": b"the words of a language " * 50})
+    assert judge("the words of a language, and the words of a language")[0] == "b"
