@@ -12,8 +12,8 @@ chosen. The margin is how much larger, relatively, the nearest other is; a margi
 below ``min_margin`` rejects: ``lang`` is ``und`` then and ``lang_guess`` still
 names the smallest.
 
-Bounds of the fit: ``SAMPLE_DOCS`` documents per language, of ``MIN_CHARS`` to
-``MAX_CHARS`` characters, and ``DICTIONARY_BYTES`` per language; a
+Bounds of the fit: ``SAMPLE_DOCS`` documents per language of any length, the
+first ``MAX_CHARS`` characters of each, and ``DICTIONARY_BYTES`` per language; a
 language with less has a shorter dictionary. Every document is classified over
 its whole text.
 
@@ -36,7 +36,7 @@ from shelfspark.llm.common import Shared
 from shelfspark.llm.sampling import bounded_sample
 
 SAMPLE_DOCS = 200
-MIN_CHARS, MAX_CHARS = 200, 4000
+MAX_CHARS = 4000
 DICTIONARY_BYTES = 96 << 10
 CHUNK_BYTES = 4 << 10
 LEVEL = 12
@@ -58,9 +58,9 @@ def normal(text: str) -> bytes:
 
 def fit(labelled: DataFrame) -> dict[str, bytes]:
     """Dictionaries from ``labelled`` (doc_id, text, lang); null languages are skipped."""
-    rows = labelled.filter("lang is not null and text is not null").filter(
-        F.length("text").between(MIN_CHARS, MAX_CHARS))
-    got = bounded_sample(rows.select("doc_id", "lang", "text"), "lang", SAMPLE_DOCS)
+    rows = labelled.filter("lang is not null and text is not null").select(
+        "doc_id", "lang", F.substring("text", 1, MAX_CHARS).alias("text"))
+    got = bounded_sample(rows, "lang", SAMPLE_DOCS)
     texts: dict[str, list[bytes]] = {}
     for lang, text in zip(got["lang"].to_pylist(), got["text"].to_pylist()):
         texts.setdefault(lang, []).append(normal(text))

@@ -140,15 +140,16 @@ def spoken(letters, n, rng):
 
 
 def test_language_of_one_document_harms_no_other(spark):
-    """Every language keeps its own dictionary."""
+    """Every language keeps its own dictionary, and one whose texts are all short has one too."""
     rng = np.random.default_rng(5)
     words = {lang: [spoken(letters, 1, rng) for _ in range(300)]
-             for lang, letters in (("aa", "abcdefgh"), ("bb", "abcdefgh"))}
+             for lang, letters in (("aa", "abcdefgh"), ("bb", "abcdefgh"), ("chat", "klmnopqr"))}
     say = lambda lang, n: " ".join(rng.choice(words[lang], n))
     learn = [(i, say(lang, 100), lang) for i, lang in enumerate(["aa", "bb"] * 60)]
+    learn += [(500 + i, say("chat", 8), "chat") for i in range(100)]
     learn += [(700, spoken("stuvwxyz", 16, rng), "rare")]
     found = langid.fit(spark.createDataFrame(learn, "doc_id long, text string, lang string"))
-    assert len(found["rare"]) < 250 and min(len(found["aa"]), len(found["bb"])) > 30_000
+    assert len(found["rare"]) < 250 and min(len(found["aa"]), len(found["bb"])) > 30_000 and "chat" in found
     judge = langid.Classifier(found)
     for lang in words:
         assert sum(judge(say(lang, 60))[0] == lang for _ in range(50)) >= 49
