@@ -1,5 +1,8 @@
 """Toxicity scores from a bidirectional gated recurrent network, in numpy.
 
+Words stand between white space. A character of a script that is written without
+blanks is a word of its own; a word of more than ``WORD_CHARS`` characters is
+read in pieces that overlap by one character less than the longest n-gram.
 A word's input is the sum of a word embedding (hashed) and the embeddings of
 its character n-grams (hashed, with its start and end marked), so unseen forms
 of a stem are recognised. Two gated recurrent units read a window of words, one
@@ -21,6 +24,8 @@ are ignored.
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -46,11 +51,27 @@ SEED = 3
 #: Words whose inputs a worker remembers.
 CACHED_WORDS = 200_000
 
+#: Longest word; a longer one is cut into pieces of this length.
+WORD_CHARS = 60
+GRAMS = (3, 4, 5)
+# Thai, Lao, Tibetan, Myanmar, Khmer, kana, Chinese characters, and their extensions
+_UNSPACED = "\u0e00-\u0eff\u0f00-\u0fff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u31f0-\u31ff" \
+            "\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9d\U00020000-\U0003ffff"
+_OF_UNSPACED = re.compile(f"[{_UNSPACED}]")
+_RUN = re.compile(f"[{_UNSPACED}]|[^{_UNSPACED}]+")
+
 _EDGE = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~0123456789"
 
 
 def words_of(text: str | None) -> list[str]:
-    return (text or "").lower().split()
+    text = (text or "").lower()
+    words = text.split()
+    unspaced = not text.isascii() and _OF_UNSPACED.search(text)
+    if not unspaced and max(map(len, words), default=0) <= WORD_CHARS:
+        return words
+    runs = [r for w in words for r in _RUN.findall(w)] if unspaced else words
+    step = WORD_CHARS - GRAMS[-1] + 1
+    return [r[a:a + WORD_CHARS] for r in runs for a in range(0, max(1, len(r) - GRAMS[-1] + 1), step)]
 
 
 _GRAM = np.random.default_rng(5).integers(1, 1 << 63, (6, 5)).astype(np.uint64) | np.uint64(1)
@@ -66,7 +87,7 @@ def word_features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _word_features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    bare = [(w.strip(_EDGE) or w[:1])[:60] for w in words]
+    bare = [w.strip(_EDGE) or w[:1] for w in words]
     own = np.fromiter((xxhash.xxh3_64_intdigest(b.encode("utf-8", "surrogatepass")) % WORD_BUCKETS for b in bare),
                       np.int64, len(bare))
     codes = np.frombuffer("".join(f"<{b}>" for b in bare).encode("utf-32-le", "surrogatepass"),
@@ -75,7 +96,7 @@ def _word_features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     end = np.repeat(np.cumsum(length), length)
     word = np.repeat(np.arange(len(bare)), length)
     owners, rows = [np.arange(len(bare))], [own]
-    for n in (3, 4, 5):
+    for n in GRAMS:
         at = np.flatnonzero(np.arange(len(codes)) + n <= end)
         h = np.zeros(len(at), np.uint64)
         for k in range(n):

@@ -159,3 +159,28 @@ def test_language_of_one_document_harms_no_other(spark):
 def test_tiny_dictionaries():
     judge = langid.Classifier({"a": b"x", "b": b"the words of a language " * 50})
     assert judge("the words of a language, and the words of a language")[0] == "b"
+
+
+def test_whole_of_long_words():
+    """What stands after character 60 of a text without blanks is read."""
+    rng = random.Random(6)
+    long = "".join(rng.choice("abcdefgh/") for _ in range(500))
+    pieces = toxicity.words_of(long + " b")
+    assert max(map(len, pieces)) <= 60 and pieces[-1] == "b"
+    assert all(any(long[i:i + 5] in p for p in pieces) for i in range(len(long) - 4))
+    for n in range(1, 300):
+        pieces = toxicity.words_of("x" * n)
+        assert sum(map(len, pieces)) - 4 * (len(pieces) - 1) == n
+    assert toxicity.words_of("A\u4e00\u4e01b \u0e01") == ["a", "\u4e00", "\u4e01", "b", "\u0e01"]
+    clean = [chr(0x4e00 + i) for i in range(300)]
+    texts, labels = [], []
+    for i in range(400):
+        said = rng.choices(clean, k=rng.randrange(80, 200))
+        if i % 4 == 0:
+            said[rng.randrange(60, len(said)):0] = ["\u9f00", "\u9f01"]
+        texts.append("".join(said))
+        labels.append(int(i % 4 == 0))
+    model = toxicity.fit_texts(texts, np.array(labels))
+    said = "".join(rng.choices(clean, k=400))
+    fair, bad = model.scores([said, said + "\u9f00\u9f01"])
+    assert bad > fair + 0.3
