@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfspark.llm import decontaminate, html_extract, langid, minhash_dedup, packing, pii, quality_pu, quality_rules, toxicity, warc
+from shelfspark.llm import (decontaminate, html_extract, langid, lexical, minhash_dedup, nn_descent, packing, pii, quality_pu,
+                            quality_rules, token_alignment, toxicity, warc)
 from shelfspark.llm.common import fold, table
 
 
@@ -64,6 +65,18 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.filtered(table(spark, sf_dir, "documents"))
 
 
+def op11_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nn_descent.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, neighbours=20)
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.link_counts(table(spark, sf_dir, "documents"))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), top=10)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_minhash_dedup,
     op2_best_fit_packing,
@@ -75,11 +88,18 @@ QUERIES = {f.__name__: f for f in (
     op8_quality_classifier,
     op9_warc,
     op10_quality_rules,
+    op11_nn_descent,
+    op12_token_alignment,
+    op13_lexical_search,
 )}
 
 # A word: a run of anything but the six ASCII white-space characters.
 _WORDS = "list_filter(string_split_regex({}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')"
 
+# Terms of the ranked search: all but ASCII characters other than letters and digits.
+_TERMS = ("regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+          "'[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')")
+
 STATEMENTS: dict[str, str] = {
     "op1_minhash_dedup": f"""
 WITH RECURSIVE w AS (
@@ -115,4 +135,17 @@ SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
   CASE WHEN payload_bytes >= 1000 AND page_id <> chosen THEN 'revisit' ELSE 'response' END AS record_type,
   CASE WHEN payload_bytes >= 1000 AND page_id <> chosen THEN chosen END AS refers_to
 FROM c""",
+    "op13_lexical_search": f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS ts FROM documents),
+i AS (SELECT row_number() OVER () AS k, item_id, {_TERMS} AS ts FROM benchmark),
+s AS (SELECT count(*) FILTER (WHERE len(ts) > 0) AS n_docs, CAST(coalesce(sum(len(ts)), 0) AS BIGINT) AS n_terms FROM d),
+m AS (SELECT r, doc_id, 25 + (75 * CAST(len(ts) AS BIGINT) * n_docs) // n_terms AS m FROM d, s WHERE len(ts) > 0),
+tf AS (SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(ts) AS t FROM d) GROUP BY r, t),
+w AS (SELECT t, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM tf, s GROUP BY t, n_docs),
+q AS (SELECT k, item_id, unnest(ts) AS t FROM i),
+h AS (SELECT q.k, q.item_id, tf.r, m.doc_id, sum(w.w * ((1000000000 * tf.tf) // (1000 * tf.tf + 8 * m.m))) AS score
+  FROM q JOIN tf USING (t) JOIN w USING (t) JOIN m USING (r) GROUP BY q.k, q.item_id, tf.r, m.doc_id),
+o AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM h WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, CAST(score AS BIGINT) AS score FROM o WHERE rank <= 10""",
 }
