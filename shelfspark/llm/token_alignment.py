@@ -41,6 +41,13 @@ TEXTS_AT_ONCE = 200
 #: An id pair is one number: A's id times this plus B's id.
 PAIR = 1 << 24
 
+#: Units whose ids a worker remembers; further ones are encoded again when they come.
+KNOWN_UNITS = 300_000
+#: Where texts are cut for encoding, and what a text without has none but the plain blanks between words.
+_CUT = re.compile(r"(?<=\S)(?= )")
+_RUN = re.compile(r"\s | $")
+_PROBE = "It's  a 12,5 -- don't\n\n  x\ty \u3000z!! 'll I'll  \n end 7th?  "
+
 ALIGNED = ("row long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, "
            "pairs array<long>, times array<int>")
 _BYTE_PIECE = re.compile("<0x([0-9A-F]{2})>")
@@ -73,23 +80,91 @@ class Tokenizers:
                         else named.get(i, "").encode() for i in range(max(named) + 1)]
         self.b_bytes = [self._piece(self.b.id_to_piece(i)) for i in range(self.b.get_piece_size())]
         self.a_sizes, self.b_sizes = (np.array([len(x) for x in t]) for t in (self.a_bytes, self.b_bytes))
+        self.known_a: dict[str, bytes] = {}
+        self.known_b: dict[str, bytes] = {}
+        self.odd: set[str] = set()
+        # cut texts only with tokenizers for which units hold: no piece of B goes on after a word's
+        # end, and A's own tokens of a sample of marks, digits and white space are those of its units
+        self.cuts = False
+        self.cuts = (not any(re.search("[^▁]▁", self.b.id_to_piece(i)) for i in range(self.b.get_piece_size()))
+                     and self.whole(_PROBE) == tuple(map(b"".join, zip(*self._of(_CUT.split(" " + _PROBE))))))
 
     @staticmethod
     def _piece(piece: str) -> bytes:
         byte = _BYTE_PIECE.fullmatch(piece)
         return bytes([int(byte[1], 16)]) if byte else piece.replace("▁", " ").encode()
 
-    def encode(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        """Ids of both for each text; both empty where a joined text is not a blank and the text."""
-        a = [e.ids for e in self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
-        b = self.b.encode(texts, num_threads=1)
-        for k, t in enumerate(texts):
-            data = (" " + t).encode("utf-8", "surrogatepass")
-            if (not t or b"".join(map(self.a_bytes.__getitem__, a[k])) != data
-                    or b"".join(map(self.b_bytes.__getitem__, b[k])) != data):
-                a[k], b[k] = [], []
+    def whole(self, text: str) -> tuple[bytes, bytes] | None:
+        """Ids of a blank and the text as little-endian 32-bit integers; None if a side does not give it back."""
+        return self._of([" " + text])[0]
+
+    def _of(self, units: list[str]) -> list[tuple[bytes, bytes] | None]:
+        a = [e.ids for e in self.a.encode_batch_fast(units, add_special_tokens=False)]
+        b = self.b.encode([u[1:] for u in units], num_threads=1)  # which adds the blank
+        out = []
+        for u, x, y in zip(units, a, b):
+            y = y if u != " " else [self.b.piece_to_id("▁")]
+            data = u.encode("utf-8", "surrogatepass")
+            same = (b"".join(map(self.a_bytes.__getitem__, x)) == data
+                    and b"".join(map(self.b_bytes.__getitem__, y)) == data)
+            out.append((np.asarray(x, "<i4").tobytes(), np.asarray(y, "<i4").tobytes()) if same else None)
+        return out
+
+    def _of_units(self, units: list[str]) -> list[tuple[bytes, bytes] | None]:
+        """As ``_of``, for units: many are encoded as one text and parted at their bytes."""
+        if not self.cuts:
+            return self._of(units)
+        out: dict[str, tuple[bytes, bytes] | None] = {}
+        plain = [u for u in units if not u[-1].isspace()]
+        for x in range(0, len(plain), 500):
+            some = plain[x:x + 500]
+            ids = self.whole("".join(some)[1:])
+            if ids is None:  # one of them is not given back
+                out.update(zip(some, self._of(some)))
+                continue
+            ends = np.cumsum([len(u.encode("utf-8", "surrogatepass")) for u in some])
+            parts = []
+            for data, sizes in zip(ids, (self.a_sizes, self.b_sizes)):
+                cuts = [0, *(4 * np.searchsorted(np.cumsum(sizes[np.frombuffer(data, "<i4")]), ends) + 4).tolist()]
+                parts.append([data[i:j] for i, j in zip(cuts, cuts[1:])])
+            out.update(zip(some, zip(*parts)))
+        rest = [u for u in units if u not in out]
+        out.update(zip(rest, self._of(rest) if rest else []))
+        return [out[u] for u in units]
+
+    def encode(self, texts: list[str]) -> tuple[list[bytes], list[bytes]]:
+        """Ids of both for each text; both empty where a joined text is not a blank and the text.
+
+        No token of either tokenizer goes over a blank that follows a character
+        other than white space, so a text's ids are those of its units, cut
+        there, in order; units seen before are looked up.
+        """
+        units = [self._units(" " + t) if t else [] for t in texts]
+        new = list(set().union(*units).difference(self.known_a))
+        for unit, ids in zip(new, self._of_units(new)):
+            if ids is None:
+                self.odd.add(unit)
+                ids = (b"", b"")
+            self.known_a[unit], self.known_b[unit] = ids
+        a, b = ([b"".join(map(known.__getitem__, u)) for u in units] for known in (self.known_a, self.known_b))
+        if self.odd:
+            for k, t in enumerate(texts):
+                if not self.odd.isdisjoint(units[k]):
+                    a[k], b[k] = self.whole(t) or (b"", b"")
+        full = len(self.known_a) > KNOWN_UNITS
+        for u in new:
+            if full or len(u) > 64:
+                del self.known_a[u], self.known_b[u]
+                self.odd.discard(u)
         return a, b
 
+    def _units(self, text: str) -> list[str]:
+        if not self.cuts:
+            return [text]
+        if _RUN.search(text, 1) or text[1] == " ":
+            return _CUT.split(text)
+        return [" " + w for w in text[1:].split(" ")]
+
 
 def coalesce(a_sizes: np.ndarray, b_sizes: np.ndarray):
     """Tokens of the same bytes -> (group of each A token, of each B token, A's and B's token of each link)."""
@@ -130,9 +205,8 @@ class Aligned:
 
     def __init__(self, coders: Tokenizers, texts: list[str]):
         a, b = coders.encode(texts)
-        self.n_a, self.n_b = np.array([len(x) for x in a]), np.array([len(x) for x in b])
-        self.a = np.array([i for x in a for i in x], np.int64)
-        self.b = np.array([i for x in b for i in x], np.int64)
+        self.n_a, self.n_b = (np.array([len(x) // 4 for x in side]) for side in (a, b))
+        self.a, self.b = (np.frombuffer(b"".join(side), "<i4").astype(np.int64) for side in (a, b))
         self.a_group, self.b_group, self.link_a, self.link_b = coalesce(coders.a_sizes[self.a], coders.b_sizes[self.b])
         self.a_text = np.repeat(np.arange(len(texts)), self.n_a)
         self.n_groups = self._of_texts(np.append(True, self.a_group[1:] != self.a_group[:-1])[:len(self.a)])
