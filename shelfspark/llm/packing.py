@@ -19,7 +19,6 @@ columns are ignored; a null id is kept as null.
 from __future__ import annotations
 
 import os
-import re
 import unicodedata
 import zlib
 from collections.abc import Callable, Iterator
@@ -89,7 +88,7 @@ class BestFit:
 # Characters that the tokenizer's normalizer does not take for white space but
 # str.split does, the opening of its special tokens, and the one letter that
 # str.lower treats by its place in the word.
-_WHOLE = re.compile("[\x1c-\x1f\u03a3]|<\\|")
+_WHOLE = ("<|", "\u03a3", "\x1c", "\x1d", "\x1e", "\x1f")
 
 
 def load_tokenizer(path: str | None):
@@ -130,8 +129,8 @@ class WordEncoder:
                 for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _encode_parts(self, parts: list[str]) -> None:
-        for a in range(0, len(parts), 200):
-            some = parts[a:a + 200]
+        for a in range(0, len(parts), 500):
+            some = parts[a:a + 500]
             data = self._encode([" ".join(some)])[0]
             ends = (4 * np.flatnonzero(self.ends[np.frombuffer(data, "<u4")]) + 4).tolist()
             if len(ends) == len(some) and ends[-1] == len(data):
@@ -140,30 +139,32 @@ class WordEncoder:
                 self.parts.update(zip(some, self._encode(some)))
 
     def _encode_words(self, words: list[str]) -> list[bytes]:
-        split = [_PARTS.findall((w if w.isascii() else unicodedata.normalize("NFC", w)).lower()) for w in words]
-        new = list(set().union(*split).difference(self.parts))
+        normal = [(w if w.isascii() else unicodedata.normalize("NFC", w)).lower() for w in words]
+        # letters alone are one pre-token
+        split = [None if n.isalpha() else _PARTS.findall(n) for n in normal]
+        single = {n for n, s in zip(normal, split) if s is None}
+        new = list(single.union(*filter(None, split)).difference(self.parts))
         self._encode_parts(new)
         look = self.parts.__getitem__
-        out = [b"".join(map(look, x)) for x in split]
+        out = [look(n) if s is None else b"".join(map(look, s)) for n, s in zip(normal, split)]
         if len(self.parts) > self.cached:
             for x in new:
                 del self.parts[x]
         return out
 
     def block(self, texts: list[str | None]) -> Iterator[bytes]:
-        words = [None if t and _WHOLE.search(t) else (t or "").split() for t in texts]
-        new = list(set().union(*(w for w in words if w)).difference(self.known))
-        self.known.update(zip(new, self._encode_words(new)))
-        look = self.known.__getitem__
-        for t, w in zip(texts, words):
-            yield self._encode([t])[0] if w is None else b"".join(map(look, w))
-        if len(self.known) > self.cached:
-            for w in new:
-                del self.known[w]
-        else:
-            for w in new:
-                if len(w) > 64:
-                    del self.known[w]
+        get = self.known.get
+        words = [None if t and any(x in t for x in _WHOLE) else (t or "").split() for t in texts]
+        found = [None if w is None else list(map(get, w)) for w in words]
+        gaps = [[] if f is None or None not in f else [k for k, x in enumerate(f) if x is None] for f in found]
+        new = list({w[k] for w, at in zip(words, gaps) for k in at})
+        fresh = dict(zip(new, self._encode_words(new)))
+        for t, w, f, at in zip(texts, words, found, gaps):
+            for k in at:
+                f[k] = fresh[w[k]]
+            yield self._encode([t])[0] if f is None else b"".join(f)
+        if len(self.known) + len(fresh) <= self.cached:
+            self.known.update((w, x) for w, x in fresh.items() if len(w) <= 64)
 
 
 def _pieces_of(path: str | None, length: int, end_id: int) -> Callable:
