@@ -13,10 +13,21 @@ longest common subsequence with the item, as a share of the item, must reach
 ``COPIED``, or ``PARAPHRASED`` where the item's answer (what follows its last
 question mark, else its last sentence) is there too.
 
+An item whose words a text holds all in a row is found whatever its length and
+however frequent they are: at every place of the item's rarest word the sequences
+are compared (``cosine`` is null where no passage around was a candidate). The
+least of ``MIN_TERMS`` terms is asked of passages in the search for paraphrases only.
+
+The texts are split into words once; their numbers (two bytes a word) are written
+to the shared folder for the passes over all texts.
+
 Bounds: items are taken in blocks of ``ITEMS_PER_BLOCK``, all texts against each
 block; words are hashed to ``FEATURES`` places at most, so what the driver and a
 task hold for the SVD is FEATURES * RANK numbers.
 
+The space is that of a block's words, so which paraphrases of an item are found
+depends on the other items of its block; exact copies do not.
+
 Defined cases: null, empty and white-space texts and items match nothing;
 repeated rows are judged one by one; an item that repeats is found under each
 of its ids; words that all passages share stay in for items which have too few
@@ -34,7 +45,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfspark.llm.common import Shared
+from shelfspark.llm.common import Shared, stored
 
 PASSAGE = 32
 STRIDE = 16
@@ -109,6 +120,9 @@ class Benchmark:
                 answer = [self.index.setdefault(w, len(self.index)) for w in answer_of(text)]
                 self.items.append((item_id, words, masks_of(words), masks_of(answer), len(answer)))
         self.n = len(self.index)
+        self.sequences = [np.array(words, np.int64).tobytes() for _, words, *_ in self.items]
+        #: Of stored term numbers.
+        self.kind = "<u2" if self.n < 1 << 16 else "<u4"
 
     def terms(self, text: str | None) -> np.ndarray:
         """Number of each word of a text, ``n`` for a word that no item has."""
@@ -137,6 +151,13 @@ class Space:
         self.feature = np.append(np.arange(n) if n <= FEATURES else np.arange(n) % FEATURES, 0)[:bench.n + 1]
         self.size = min(n, FEATURES)
         self.latent: np.ndarray | None = None
+        # each item's rarest word, for the search of whole word sequences
+        self.anchored: dict[int, list[tuple[int, int]]] = {}
+        for k, (_, words, *_) in enumerate(bench.items):
+            at = min(range(len(words)), key=lambda i: (counts[words[i]], i))
+            self.anchored.setdefault(words[at], []).append((k, at))
+        self.is_anchor = np.zeros(bench.n + 1, bool)
+        self.is_anchor[list(self.anchored)] = True
 
     def rows(self, texts: list[np.ndarray], grid: bool = True, overlap: bool = True):
         """Passages as sparse unit vectors: starts into (feature, weight), and (text, first word) of each."""
@@ -180,13 +201,28 @@ class Space:
 
 
 def _read(batches, bench: Benchmark) -> Iterator[list[np.ndarray]]:
+    """Blocks of the term numbers of texts, as ``numbered`` has them."""
     for batch in batches:
-        texts = batch.column("text")
-        for a in range(0, len(texts), TEXTS_AT_ONCE):
-            yield [bench.terms(t) for t in texts.slice(a, TEXTS_AT_ONCE).to_pylist()]
+        terms = batch.column("terms")
+        for a in range(0, len(terms), TEXTS_AT_ONCE):
+            yield [np.frombuffer(t, bench.kind).astype(np.int64) for t in terms.slice(a, TEXTS_AT_ONCE).to_pylist()]
+
+
+def numbered(docs: DataFrame, shared) -> DataFrame:
+    """(doc_id, terms): the term numbers of every text, written once for the passes over all texts."""
+    def run(batches):
+        bench = shared.value
+        for batch in batches:
+            ids, texts = batch.column("doc_id"), batch.column("text")
+            for a in range(0, len(texts), TEXTS_AT_ONCE):
+                yield pa.RecordBatch.from_arrays(
+                    [ids.slice(a, TEXTS_AT_ONCE),
+                     pa.array([bench.terms(t).astype(bench.kind).tobytes() for t in texts.slice(a, TEXTS_AT_ONCE).to_pylist()],
+                              pa.binary())], ["doc_id", "terms"])
+    return stored(docs.select("doc_id", "text").mapInArrow(run, "doc_id long, terms binary"), "numbered")
 
 
-def frequencies(docs: DataFrame, shared) -> tuple[int, np.ndarray]:
+def frequencies(terms: DataFrame, shared) -> tuple[int, np.ndarray]:
     """Number of passages (that do not overlap) of the corpus, and of those that hold each term."""
     def run(batches):
         bench = shared.value
@@ -201,7 +237,7 @@ def frequencies(docs: DataFrame, shared) -> tuple[int, np.ndarray]:
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.append(at, -1)), pa.array(np.append(counts[at], passages))], ["term", "n"])
     bench = shared.value
-    got = docs.select("text").mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    got = terms.select("terms").mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
     term, n = got["term"].to_numpy(), got["n"].to_numpy()
     counts = np.zeros(bench.n, np.int64)
     counts[term[term >= 0]] = n[term >= 0]
@@ -211,9 +247,9 @@ def frequencies(docs: DataFrame, shared) -> tuple[int, np.ndarray]:
 _BLOCK = 32
 
 
-def _gram_times(docs: DataFrame, shared, matrix: np.ndarray) -> np.ndarray:
+def _gram_times(terms: DataFrame, shared, matrix: np.ndarray) -> np.ndarray:
     """A'(A matrix), each task adding up its share."""
-    factor = Shared(docs.sparkSession, matrix.astype(np.float32))
+    factor = Shared(terms.sparkSession, matrix.astype(np.float32))
 
     def run(batches):
         space, g = shared.value, factor.value
@@ -244,14 +280,14 @@ def _gram_times(docs: DataFrame, shared, matrix: np.ndarray) -> np.ndarray:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(sums), pa.int32()), pa.array([x.tobytes() for x in sums.values()])], ["block", "sums"])
     kind = "block int, sums binary"
-    got = docs.select("text").mapInArrow(run, kind).repartition("block").mapInArrow(add, kind).toArrow()
+    got = terms.select("terms").mapInArrow(run, kind).repartition("block").mapInArrow(add, kind).toArrow()
     y = np.zeros((shared.value.size, matrix.shape[1]))
     for b, data in zip(got["block"].to_pylist(), got["sums"].to_pylist()):
         y[b:b + _BLOCK] = np.frombuffer(data).reshape(-1, matrix.shape[1])
     return y
 
 
-def singular_vectors(docs: DataFrame, shared, rank: int = RANK, passes: int = PASSES) -> tuple[np.ndarray, np.ndarray]:
+def singular_vectors(terms: DataFrame, shared, rank: int = RANK, passes: int = PASSES) -> tuple[np.ndarray, np.ndarray]:
     """Right singular vectors [features, rank] of all passages, and the singular values.
 
     Each pass over the texts multiplies by A'A once; further passes sharpen the leading vectors.
@@ -259,7 +295,7 @@ def singular_vectors(docs: DataFrame, shared, rank: int = RANK, passes: int = PA
     size = shared.value.size
     g = np.linalg.qr(np.random.default_rng(SEED).normal(size=(size, min(rank, size))))[0]
     for left in range(passes - 1, -1, -1):
-        y = _gram_times(docs, shared, g)
+        y = _gram_times(terms, shared, g)
         if left:
             g = np.linalg.qr(y)[0]
     # Nystroem: C ~ Y (G'Y)^-1 Y' for C = A'A, with a small shift for stability
@@ -272,15 +308,32 @@ def singular_vectors(docs: DataFrame, shared, rank: int = RANK, passes: int = PA
     return u, s
 
 
+def sequences_in(space: Space, texts: list[np.ndarray]) -> dict[tuple[int, int], int]:
+    """(text, item) -> first word, where a text holds all words of an item in a row."""
+    found: dict[tuple[int, int], int] = {}
+    for text, terms in enumerate(texts):
+        data = None
+        for at in np.flatnonzero(space.is_anchor[terms]).tolist():
+            for item, before in space.anchored[int(terms[at])]:
+                first = at - before
+                words = space.bench.sequences[item]
+                if first < 0 or first + len(words) // 8 > len(terms) or (text, item) in found:
+                    continue
+                data = terms.tobytes() if data is None else data
+                if data.startswith(words, 8 * first):
+                    found[text, item] = first
+    return found
+
+
 def leaks_in(space: Space, items: np.ndarray, owners: np.ndarray, direct: list[dict[int, float]],
              texts: list[np.ndarray]) -> list[tuple]:
     """(text, item, first word, cosine, share, answered) of the best place of each leak."""
+    best: dict[tuple[int, int], tuple] = {k: (first, None, 1.0, True) for k, first in sequences_in(space, texts).items()}
     starts, feature, weight, owner, first = space.rows(texts)
     if not len(starts) or not len(items):
-        return []
+        return [(t, i, *x) for (t, i), x in best.items()]
     z = space.project(starts, feature, weight, space.latent)
     z /= np.maximum(np.linalg.norm(z, axis=1, keepdims=True), 1e-12)
-    best: dict[tuple[int, int], tuple] = {}
     ends = np.append(starts[1:], len(feature))
     for lo in range(0, len(z), 4096):
         cosine = z[lo:lo + 4096] @ items.T
@@ -293,6 +346,8 @@ def leaks_in(space: Space, items: np.ndarray, owners: np.ndarray, direct: list[d
             text, item = int(owner[p]), int(owners[q])
             found = best.get((text, item))
             if found and found[2] >= 1:
+                if found[1] is None:
+                    best[text, item] = (found[0], c, *found[2:])
                 continue
             _, words, masks, answer, n_answer = space.bench.items[item]
             begin = max(0, int(first[p]) - len(words))
@@ -307,7 +362,7 @@ def leaks_in(space: Space, items: np.ndarray, owners: np.ndarray, direct: list[d
 
 
 def _spaces(docs: DataFrame, benchmark: DataFrame) -> Iterator:
-    """For each block of items: a broadcast (space, item vectors, their items)."""
+    """For each block of items: a broadcast (space, item vectors, their items), and the texts' term numbers."""
     spark = docs.sparkSession
     items = benchmark.filter("text is not null").select(F.col("item_id").cast("long"), "text")
     blocks = -(-items.count() // ITEMS_PER_BLOCK)
@@ -317,8 +372,11 @@ def _spaces(docs: DataFrame, benchmark: DataFrame) -> Iterator:
         bench = Benchmark(list(zip(rows["item_id"].to_pylist(), rows["text"].to_pylist())))
         if not bench.items:
             continue
-        space = Space(bench, *frequencies(docs, Shared(spark, bench)))
-        space.latent = singular_vectors(docs, Shared(spark, space))[0].astype(np.float32)
+        shared = Shared(spark, bench)
+        terms = numbered(docs.select(F.lit(None).cast("long").alias("doc_id") if "doc_id" not in docs.columns
+                                     else F.col("doc_id").cast("long").alias("doc_id"), "text"), shared)
+        space = Space(bench, *frequencies(terms, shared))
+        space.latent = singular_vectors(terms, Shared(spark, space))[0].astype(np.float32)
         parts = [(k, np.array(words[s:s + PASSAGE])) for k, (_, words, *_) in enumerate(bench.items)
                  for s in bench.item_starts(words)]
         starts, feature, weight, owner, _ = space.rows([w for _, w in parts], grid=False)
@@ -326,7 +384,7 @@ def _spaces(docs: DataFrame, benchmark: DataFrame) -> Iterator:
         q /= np.maximum(np.linalg.norm(q, axis=1, keepdims=True), 1e-12)
         direct = [dict(zip(feature[a:b].tolist(), weight[a:b].tolist()))
                   for a, b in zip(starts, np.append(starts[1:], len(feature)))]
-        yield Shared(spark, (space, q, np.array([k for k, _ in parts])[owner], direct))
+        yield Shared(spark, (space, q, np.array([k for k, _ in parts])[owner], direct)), terms
 
 
 LEAK = "doc_id long, item_id long, start long, cosine double, share double, answered boolean"
@@ -338,22 +396,21 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         def run(batches):
             space, q, owners, direct = shared.value
             for batch in batches:
-                ids, texts = batch.column("doc_id"), batch.column("text")
-                for a in range(0, len(texts), TEXTS_AT_ONCE):
-                    part = [space.bench.terms(t) for t in texts.slice(a, TEXTS_AT_ONCE).to_pylist()]
+                ids = batch.column("doc_id")
+                for a, part in zip(range(0, len(ids), TEXTS_AT_ONCE), _read([batch], space.bench)):
                     found = leaks_in(space, q, owners, direct, part)
                     if found:
                         t, i, start, cosine, share, answered = zip(*found)
                         yield pa.RecordBatch.from_arrays(
                             [ids.slice(a, TEXTS_AT_ONCE).take(pa.array(t)),
                              pa.array([space.bench.items[k][0] for k in i], pa.int64()),
-                             pa.array(start, pa.int64()), pa.array(cosine), pa.array(share), pa.array(answered)],
+                             pa.array(start, pa.int64()), pa.array(cosine, pa.float64()), pa.array(share, pa.float64()),
+                             pa.array(answered)],
                             [x.split()[0] for x in LEAK.split(", ")])
         return run
-    rows = docs.select(F.col("doc_id").cast("long"), "text")
     out = docs.sparkSession.createDataFrame([], LEAK)
-    for shared in _spaces(docs, benchmark):
-        out = out.unionByName(rows.mapInArrow(search(shared), LEAK))
+    for shared, terms in _spaces(docs, benchmark):
+        out = out.unionByName(terms.mapInArrow(search(shared), LEAK))
     return out
 
 
@@ -372,6 +429,6 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                     clean[[a + t for t, *_ in leaks_in(space, q, owners, direct, part)]] = False
                 yield batch.filter(pa.array(clean))
         return run
-    for shared in _spaces(docs, benchmark):
+    for shared, _ in _spaces(docs, benchmark):
         docs = docs.mapInArrow(search(shared), docs.schema)
     return docs

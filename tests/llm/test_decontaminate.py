@@ -91,8 +91,9 @@ def test_singular_vectors(spark, tables):
     from shelfspark.llm.common import Shared
     docs, items, _ = tables
     bench = d.Benchmark([(r.item_id, r.text) for r in items.collect() if r.text])
-    space = d.Space(bench, *d.frequencies(docs, Shared(spark, bench)))
-    u, s = d.singular_vectors(docs, Shared(spark, space), rank=60, passes=3)
+    terms = d.numbered(docs, Shared(spark, bench))
+    space = d.Space(bench, *d.frequencies(terms, Shared(spark, bench)))
+    u, s = d.singular_vectors(terms, Shared(spark, space), rank=60, passes=3)
     starts, feature, weight, _, _ = space.rows([bench.terms(r.text) for r in docs.collect()], overlap=False)
     a = np.zeros((len(starts), space.size))
     a[np.repeat(np.arange(len(starts)), np.diff(starts, append=len(feature))), feature] = weight
@@ -106,3 +107,33 @@ def test_empty_tables(spark, tables):
     assert d.leaks(docs.limit(0), items).collect() == []
     assert d.leaks(docs, items.limit(0)).collect() == []
     assert d.decontaminated(docs, items.filter(F.lit(False))).count() == docs.count()
+
+
+def test_short_and_frequent_items_are_found_word_by_word(spark):
+    """Items of one and two words, one of frequent words only, and one that lies over passage borders."""
+    rng = random.Random(11)
+    common = [f"often{k}" for k in range(6)]
+    rare = lambda n: [f"w{rng.randrange(5000)}" for _ in range(n)]
+    def text(n, *inside):
+        out = [rng.choice(common) if rng.random() < 0.6 else rare(1)[0] for _ in range(n)]
+        for k, words in enumerate(inside):
+            out[10 * k + 7:10 * k + 7] = words
+        return " ".join(out)
+    frequent = ["often3", "often3", "often1", "often5", "often5", "often2", "often0", "often4"]
+    long = [*frequent, "often1", *frequent[::-1], "often0", "often1", "often0", "often0", "often2", "often2", "often2"]
+    items = [(1, "Zyx quux!"), (2, " ".join(frequent)), (3, "single"), (4, " ".join(long)), (5, None), (6, "?!")]
+    docs = [(1, text(200, ["zyx", "QUUX"])), (2, text(200, ["quux", "zyx"])), (3, text(400, frequent)),
+            (4, text(90, rare(3), ["Single,"])), (5, "zyx - quux"), (6, text(300, long)), (7, "zyx"), (8, None), (9, ""),
+            *[(k, text(150)) for k in range(20, 60)]]
+
+    def in_a_row(t, i):
+        t, i = d.words_of(t), d.words_of(i)
+        return any(t[k:k + len(i)] == i for k in range(len(t) - len(i) + 1)) if i else False
+    want = {(a, b) for a, t in docs for b, i in items if in_a_row(t, i)}
+    got = d.leaks(spark.createDataFrame(docs, "doc_id long, text string").repartition(3),
+                  spark.createDataFrame(items, "item_id long, text string")).collect()
+    have = {(r.doc_id, r.item_id) for r in got if r.share == 1.0}
+    assert {(1, 1), (5, 1), (3, 2), (4, 3), (6, 4), (6, 2)} <= want and want <= have
+    clean = d.decontaminated(spark.createDataFrame(docs, "doc_id long, text string"),
+                             spark.createDataFrame(items, "item_id long, text string"))
+    assert not {r.doc_id for r in clean.collect()} & {a for a, _ in want}
