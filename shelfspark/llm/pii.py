@@ -18,10 +18,13 @@ pseudonyms in all documents, in any notation.
   ip      four octets, permuted among all addresses
   date    yyyy-mm-dd, dd.mm.yyyy or mm/dd/yyyy of the 400 years from 1700 to 2099
           (146,097 = 189 * 773 days), permuted among these
-  secret  32 and more hexadecimal digits, permuted in blocks, case kept
+  secret  32 and more hexadecimal digits, permuted in blocks of 24 with the block's number in the hash, case kept
   email   names and domains have no numeric format; each gets a keyed name,
           equal domains stay equal
 
+The key is the session setting ``spark.shelfspark.pii.key``; without it only local
+masters (tests) run, with a key that is no secret.
+
 Defined cases: null texts stay null, empty ones empty; candidates that fail
 their rule stay as they are; of overlapping candidates the leftmost counts, at
 one place the kind named first in ``PATTERNS``; repeated rows get equal texts;
@@ -30,16 +33,18 @@ an empty table gives no rows; all other columns are passed on.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ROUNDS = 8
-KEY = "shelfspark"
+KEY_CONF = "spark.shelfspark.pii.key"
+#: Of local sessions that set none: known to all, so what it makes can be turned back by anyone.
+TEST_KEY = "shelfspark"
 
 PATTERNS = {
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)*\.\p{L}{2,24}",
     "iban": r"(?<![\p{L}\p{N}])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
-    "secret": r"(?<![\p{L}\p{N}])[0-9a-fA-F]{32,128}(?![\p{L}\p{N}])",
+    "secret": r"(?<![\p{L}\p{N}])[0-9a-fA-F]{32,}+(?![\p{L}\p{N}])",
     "ip": r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?!\d|\.\d)",
     "date": r"(?<![\d/.-])(?:\d{4}-\d{2}-\d{2}|\d{2}\.\d{2}\.\d{4}|\d{2}/\d{2}/\d{4})(?![\d/-]|\.\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
@@ -50,13 +55,23 @@ PATTERNS = {
 ANY = "|".join(PATTERNS.values())
 
 
-def _hash(key: str, kind: str, turn: Column, value: Column) -> Column:
+def key_of(spark: SparkSession) -> str:
+    """The session's secret key; a cluster must set one."""
+    key = spark.conf.get(KEY_CONF, None)
+    if key:
+        return key
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError(f"{KEY_CONF} must hold a secret key")
+    return TEST_KEY
+
+
+def _hash(key: str, kind: str | Column, turn: Column, value: Column) -> Column:
     """48 keyed bits."""
-    text = F.concat_ws("|", F.lit(key), F.lit(kind), turn.cast("string"), value.cast("string"), F.lit(key))
+    text = F.concat_ws("|", F.lit(key), kind if isinstance(kind, Column) else F.lit(kind), turn.cast("string"), value.cast("string"), F.lit(key))
     return F.conv(F.substring(F.sha2(text, 256), 1, 12), 16, 10).cast("long")
 
 
-def feistel(a: Column, b: Column, size_a: Column, size_b: Column, key: str, kind: str) -> Column:
+def feistel(a: Column, b: Column, size_a: Column, size_b: Column, key: str, kind: str | Column) -> Column:
     """Struct (a, b): the image of (a, b) in [0, size_a) x [0, size_b)."""
     def turn(s, i):
         return F.when(i % 2 == 0, F.struct(
@@ -222,7 +237,8 @@ def _secret(m: Column, key: str) -> Column:
             size = lambda k: F.conv(F.rpad(F.lit("1"), k + 1, "0"), 16, 10).cast("long")
             half = lambda start, k: F.coalesce(F.conv(_part(p, start, k), 16, 10).cast("long"), F.lit(0))
             text = lambda x, k: F.when(k > 0, F.lpad(F.lower(F.conv(x.cast("string"), 10, 16)), k, "0")).otherwise("")
-            return _with(feistel(half(F.lit(1), u), half(u + 1, n - u), size(u), size(n - u), key, "secret"),
+            return _with(feistel(half(F.lit(1), u), half(u + 1, n - u), size(u), size(n - u), key,
+                                 F.concat(F.lit("secret "), i.cast("string"))),
                          lambda s: F.concat(text(s["a"], u), text(s["b"], n - u)))
         return _with(part, image)
     new = F.array_join(F.transform(starts, block), "")
@@ -239,7 +255,7 @@ REPLACE = {"email": _email, "iban": _iban, "secret": _secret, "ip": _ip, "date":
            "phone": _phone, "card": _card}
 
 
-def pseudonym(value: Column, key: str = KEY) -> Column:
+def pseudonym(value: Column, key: str) -> Column:
     """The pseudonym of a text that ``ANY`` matches."""
     whole = {k: f"^(?:{p})$" for k, p in PATTERNS.items()}
     # alone, each pattern counts its groups from 1
@@ -250,7 +266,7 @@ def pseudonym(value: Column, key: str = KEY) -> Column:
     return out
 
 
-def pseudonymised(text: Column, key: str = KEY) -> Column:
+def pseudonymised(text: Column, key: str) -> Column:
     """``text`` with its personal data replaced."""
     between = F.split(text, ANY, -1)
     found = F.regexp_extract_all(text, F.lit(ANY), F.lit(0))
@@ -260,6 +276,6 @@ def pseudonymised(text: Column, key: str = KEY) -> Column:
     return F.when(text.rlike(r"@|\d{2}|\d\.\d|[0-9a-fA-F]{32}"), joined).otherwise(text)
 
 
-def pseudonymise(docs: DataFrame, key: str = KEY, column: str = "text") -> DataFrame:
+def pseudonymise(docs: DataFrame, key: str | None = None, column: str = "text") -> DataFrame:
     """``docs`` with ``column`` pseudonymised; all else is passed on."""
-    return docs.withColumn(column, pseudonymised(F.col(column), key))
+    return docs.withColumn(column, pseudonymised(F.col(column), key or key_of(docs.sparkSession)))

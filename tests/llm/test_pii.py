@@ -93,3 +93,55 @@ def test_plan_has_no_python(spark):
     df = spark.createDataFrame([(1, "x")], "doc_id long, text string")
     plan = pii.pseudonymise(df)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
+
+
+def test_long_secrets_and_repeated_blocks(one):
+    import hashlib
+    text = "".join(hashlib.sha256(str(i).encode()).hexdigest() for i in range(4))[:200]
+    new = one([f"key {text} end", "a" * 96, "A" * 96])
+    out = re.fullmatch("key ([0-9a-f]{200}) end", new[0])[1]
+    assert out != text and sum(a == b for a, b in zip(out, text)) < 60
+    blocks = [new[1][k:k + 24] for k in range(0, 96, 24)]
+    assert len(set(blocks)) == 4 and new[2] == new[1].upper()
+
+
+def plain_feistel(a, b, size_a, size_b, key, kind):
+    """The same network, number by number."""
+    import hashlib
+    for turn in range(pii.ROUNDS):
+        value = b if turn % 2 == 0 else a
+        h = int(hashlib.sha256(f"{key}|{kind}|{turn}|{value}|{key}".encode()).hexdigest()[:12], 16)
+        if turn % 2 == 0:
+            a = (a + h) % size_a
+        else:
+            b = (b + h) % size_b
+    return a, b
+
+
+def test_images_equal_a_plain_network(spark):
+    rows = [(i * 7919 % 773, i * 31 % 189) for i in range(300)]
+    got = spark.createDataFrame(rows, "a long, b long").select(
+        "a", "b", pii.feistel(F.col("a"), F.col("b"), F.lit(773), F.lit(189), "k", "date").alias("s")).collect()
+    assert all((r.s.a, r.s.b) == plain_feistel(r.a, r.b, 773, 189, "k", "date") for r in got)
+    digits = "4929123456781"
+    new = spark.range(1).select(pii.permuted_digits(F.lit(digits), "k", "card")).first()[0]
+    a, b = plain_feistel(int(digits[:6]), int(digits[6:]), 10 ** 6, 10 ** 7, "k", "card")
+    assert new == f"{a:06d}{b:07d}"
+
+
+def test_the_key_is_the_sessions(spark, one):
+    before = one(["4111 1111 1111 1111"])
+    spark.conf.set(pii.KEY_CONF, "another")
+    try:
+        assert one(["4111 1111 1111 1111"]) != before
+    finally:
+        spark.conf.unset(pii.KEY_CONF)
+
+    class Context:
+        master = "yarn"
+
+    class Session:
+        sparkContext = Context()
+        conf = spark.conf
+    with pytest.raises(RuntimeError, match=pii.KEY_CONF):
+        pii.key_of(Session())
