@@ -186,6 +186,12 @@ def q_fact_anime_sql_typed(spark, sf_dir):
     return Models(landing.read_landed(spark, _landed(spark, sf_dir, "dirty")), strict_dates=False).fact
 
 
+def q_cast_faults(spark, sf_dir):
+    """Values that no cast takes, by path, in documents that hold some."""
+    lines = fixtures.build_dirty_documents_text(spark, sf_dir, faults=True)
+    return landing.cast_faults(landing.documents_from_text(lines, faults=True))
+
+
 def q_media_cover_sql_dirty(spark, sf_dir):
     _, ents = _dirty_entries(spark, sf_dir, validate.MEDIA_KEYS)
     return validate.sql_mode_media_cover(ents)
@@ -341,6 +347,7 @@ QUERIES: dict[str, Query] = {
     "anime_scores_wide_validated": q_anime_scores_wide_validated,
     "fact_anime_sql_dirty": q_fact_anime_sql_dirty,
     "fact_anime_sql_typed": q_fact_anime_sql_typed,
+    "cast_faults": q_cast_faults,
     "media_cover_sql_dirty": q_media_cover_sql_dirty,
     "quality_report": q_quality_report,
     "topic_events": q_topic_events,

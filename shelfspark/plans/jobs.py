@@ -3,9 +3,10 @@
 ``build``: landed run -> envelope gate -> raw table (+ row-count gate) ->
 materialized models -> table checks (blocking) -> mart parquet export.
 A failed gate raises before anything downstream is written. Only the tiny
-check reports (one row per check / one count) reach the driver. Dates are cast
-strictly unless told otherwise: an impossible date fails the build, as a cast
-does, and is reported as a failed gate.
+check reports (one row per check / one count) reach the driver. Numbers and
+dates are cast strictly unless told otherwise: a value that is no number where
+one is cast, or an impossible date, fails the build as a failed gate that names
+the paths. Faults are found by the read that writes the raw table.
 
 ``build_validated``: landed run -> envelope gate -> validated fact, media and
 user tables with their rejected rows, and the documents that give no rows.
@@ -61,12 +62,18 @@ def build_validated(spark: SparkSession, landed_root: str, run_id: str, out_root
 
 
 def build(spark: SparkSession, landed_root: str, run_id: str, out_root: str,
-          buckets: int | None = None, database: str | None = None, strict_dates: bool = True) -> dict:
+          buckets: int | None = None, database: str | None = None, strict_dates: bool = True,
+          strict_casts: bool = True) -> dict:
     out_root = out_root.rstrip("/")
     env = _envelope_gate(spark, landed_root, run_id)
     # S1 + Q3: the raw table holds exactly the landed documents
     raw_path = f"{out_root}/raw_anilist"
-    landing.write_raw_table(landing.read_landed(spark, landed_root, run_id), raw_path)
+    landing.write_raw_table(landing.read_landed(spark, landed_root, run_id, faults=strict_casts), raw_path)
+    if strict_casts:  # a row per path of the schema at most
+        lost = landing.cast_faults(spark.read.parquet(raw_path).where(F.col("run_id") == run_id)).orderBy("path").collect()
+        if lost:
+            raise GateFailed("values that cannot be cast; strict_casts=False makes them NULL: "
+                             + ", ".join(f"{r.path} ({r.n})" for r in lost))
     raw = landing.read_raw_table(spark, raw_path, run_id)
     row_check = quality.check_table(raw, quality.TableChecks("raw_anilist", expected_rows=env.docs))
     # models, then the declarative checks on the written tables (blocking)

@@ -250,6 +250,12 @@ SELECT id, user_id, media_id, average_score, mean_score, popularity, trending, f
        CASE WHEN id % 97 IN (4, 5) THEN NULL ELSE started_at END AS started_at,
        completed_at, stats, rankings
 FROM fact
+"""),
+    "cast_faults": with_bridge("""
+SELECT '$.data.MediaListCollection.lists[*].entries[*].' ||
+       CASE id % 97 WHEN 8 THEN 'score' WHEN 9 THEN 'progress' ELSE 'media.episodes' END AS path,
+       COUNT(*) AS n
+FROM entries WHERE id % 97 IN (8, 9, 10) GROUP BY 1
 """),
     "media_cover_sql_dirty": with_bridge("""
 SELECT id AS entry_id, media_id,

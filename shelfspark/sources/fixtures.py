@@ -204,10 +204,12 @@ def nest_documents(entries: DataFrame, users: DataFrame, max_entries: int = DEFA
 #   1 score n + 0.5         2 key "progress" missing     3 "progress": null
 #   4 startedAt 2023-02-30  5 startedAt month 0          6 score as text "n"
 #   7 coverImage with "large" only
+# With ``faults`` also values that no cast takes:
+#   8 score "eight"         9 progress [3]               10 media episodes "twelve"
 DIRTY_MODULUS = 97
 
 
-def dirty_entry_json(entries: DataFrame) -> DataFrame:
+def dirty_entry_json(entries: DataFrame, faults: bool = False) -> DataFrame:
     """``(user_id, entry_id, status, entry)`` with ``entry`` the JSON text carrying the dirty rules."""
     r = F.col("entry_id") % DIRTY_MODULUS
     e = F.col("entry")
@@ -230,6 +232,11 @@ def dirty_entry_json(entries: DataFrame) -> DataFrame:
     entry = F.struct(e["id"].alias("id"), progress.alias("progress"), F.parse_json(score_text).alias("score"),
                      e["status"].alias("status"), e["mediaId"].alias("mediaId"), e["userId"].alias("userId"),
                      started.alias("startedAt"), e["completedAt"].alias("completedAt"), media.alias("media"))
+    if faults:
+        entry = (entry.withField("score", F.when(r == 8, F.parse_json(F.lit('"eight"'))).otherwise(entry["score"]))
+                 .withField("progress", F.when(r == 9, F.parse_json(F.lit("[3]"))).otherwise(entry["progress"]))
+                 .withField("media", media.withField("episodes", F.when(r == 10, F.parse_json(F.lit('"twelve"')))
+                                                     .otherwise(F.parse_json(media["episodes"].cast("string"))))))
     js = F.to_json(entry, {"ignoreNullFields": "false"})
     js = F.when(r == 2, F.regexp_replace(js, '"progress":null,', "")).otherwise(js)
     js = F.when(r == 7, F.regexp_replace(js, r'"coverImage":\{"extraLarge":null,', '"coverImage":{')).otherwise(js)
@@ -251,10 +258,10 @@ def user_json(customer: DataFrame) -> DataFrame:
 
 
 def build_dirty_documents_text(spark: SparkSession, sf_dir: str, max_entries: int = DEFAULT_MAX_ENTRIES,
-                               run_id: str = FIXTURE_RUN_ID) -> DataFrame:
+                               run_id: str = FIXTURE_RUN_ID, faults: bool = False) -> DataFrame:
     """``(run_id, value)``: one JSON document per line, with the dirty rules applied."""
     facts = entry_facts(read_table(spark, sf_dir, "lineitem"), read_table(spark, sf_dir, "orders"))
-    entries = dirty_entry_json(entry_struct(facts, media_struct(read_table(spark, sf_dir, "part"))))
+    entries = dirty_entry_json(entry_struct(facts, media_struct(read_table(spark, sf_dir, "part"))), faults)
     users = user_json(read_table(spark, sf_dir, "customer"))
     sizes = entries.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_user"))
     n_chunks = F.greatest(F.lit(1), F.ceil(F.col("n_user") / F.lit(max_entries))).cast("long")

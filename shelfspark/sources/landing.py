@@ -37,9 +37,12 @@ def land_json(docs: DataFrame, root: str, compression: str = "gzip") -> None:
      .json(root))
 
 
-def read_landed(spark: SparkSession, root: str, run_id: str | None = None) -> DataFrame:
-    """Typed documents. Numbers given as text, or with a fraction, are cast as SQL casts them."""
-    return documents_from_text(read_landed_text(spark, root, run_id))
+def read_landed(spark: SparkSession, root: str, run_id: str | None = None, faults: bool = False) -> DataFrame:
+    """Typed documents. Numbers given as text, or with a fraction, are cast as SQL casts them.
+
+    ``faults``: also the column ``cast_faults``, see ``documents_from_text``.
+    """
+    return documents_from_text(read_landed_text(spark, root, run_id), faults=faults)
 
 
 def read_landed_variant(spark: SparkSession, root: str, run_id: str | None = None) -> DataFrame:
@@ -61,8 +64,9 @@ def read_landed_text(spark: SparkSession, root: str, run_id: str | None = None)
 
 
 def write_raw_table(raw: DataFrame, path: str) -> None:
-    """Replace the raw table (parquet, partitioned by run)."""
-    (raw.select("run_id", "doc_id", "data").write.mode("overwrite")
+    """Replace the raw table (parquet, partitioned by run); ``cast_faults`` is kept if it is there."""
+    faults = [c for c in raw.columns if c == "cast_faults"]
+    (raw.select("run_id", "doc_id", "data", *faults).write.mode("overwrite")
      .partitionBy("run_id").parquet(path))
 
 
@@ -98,12 +102,28 @@ def create_view(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.table(name)
 
 
-def documents_from_text(lines: DataFrame, run_id_col: str = "run_id") -> DataFrame:
-    """Typed documents ``(run_id, doc_id, data)`` from JSON text lines ``(run_id?, value)``."""
+def documents_from_text(lines: DataFrame, run_id_col: str = "run_id", faults: bool = False) -> DataFrame:
+    """Typed documents ``(run_id, doc_id, data)`` from JSON text lines ``(run_id?, value)``.
+
+    ``faults``: also ``cast_faults``, the paths of the numbers that are there but
+    cannot be cast (and so are NULL in ``data``), one per occurrence. Members
+    that the models pass on as JSON (``tags``) are not cast and have none.
+    """
     run = F.col(run_id_col) if run_id_col in lines.columns else F.lit(None).cast("string")
     parsed = lines.select(run.alias("run_id"), F.from_json("value", _loose(schemas.RAW_DOCUMENT)).alias("d"))
     return parsed.select("run_id", _typed(F.col("d.doc_id"), schemas.RAW_DOCUMENT["doc_id"].dataType).alias("doc_id"),
-                         _typed(F.col("d.data"), schemas.DATA).alias("data"))
+                         _typed(F.col("d.data"), schemas.DATA).alias("data"),
+                         *([_faults(F.col("d"), schemas.RAW_DOCUMENT, "$").alias("cast_faults")] if faults else []))
+
+
+def cast_faults(docs: DataFrame) -> DataFrame:
+    """``(path, n)``: how many values of each path could not be cast, from documents read with their faults."""
+    return (docs.where(F.size("cast_faults") > 0).select(F.explode("cast_faults").alias("path"))
+            .groupBy("path").agg(F.count(F.lit(1)).alias("n")))
+
+
+# Members whose numbers the models do not cast.
+UNCAST_MEMBERS = ("tags",)
 
 
 def _loose(kind):
@@ -131,6 +151,20 @@ def _typed(value: Column, kind) -> Column:
     return value
 
 
+def _faults(value: Column, kind, path: str) -> Column:
+    """Paths of the numbers in the loosely read ``value`` that ``_typed`` makes NULL."""
+    none = F.array().cast("array<string>")
+    if isinstance(kind, StructType):
+        inner = [_faults(value[f.name], f.dataType, f"{path}.{f.name}") for f in kind
+                 if f.name not in UNCAST_MEMBERS and _loose(f.dataType) != f.dataType]
+        return F.when(value.isNotNull(), F.concat(*inner)).otherwise(none)
+    if isinstance(kind, ArrayType):
+        lists = F.transform(value, lambda x: _faults(x, kind.elementType, path + "[*]"))
+        return F.coalesce(F.flatten(lists), none)
+    lost = value.isNotNull() & ~F.is_variant_null(value) & _typed(value, kind).isNull()
+    return F.when(lost, F.array(F.lit(path))).otherwise(none)
+
+
 def variant_documents_from_text(lines: DataFrame, run_id_col: str = "run_id") -> DataFrame:
     """VARIANT documents ``(run_id, doc, n_bytes)`` from JSON text lines."""
     run = F.col(run_id_col) if run_id_col in lines.columns else F.lit(None).cast("string")

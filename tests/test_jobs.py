@@ -46,6 +46,26 @@ def test_build_keeps_numbers_given_as_text_or_fraction(spark):
     assert (row.score, row.progress, row.episodes) == (8.0, 3, 24)
 
 
+def test_values_that_cannot_be_cast_fail_the_build_unless_lenient(spark):
+    bad = {entry_path("score"): "eight", entry_path("progress"): [3], media_path("episodes"): "twelve"}
+    landed, out = _landed(spark, [json.dumps(variant(**bad))]), scratch_path(spark, f"build-{uuid.uuid4().hex}")
+    with pytest.raises(jobs.GateFailed) as failed:
+        jobs.build(spark, landed, "r", out)
+    for path in ("entries[*].score (1)", "entries[*].progress (1)", "media.episodes (1)"):
+        assert path in str(failed.value)
+    jobs.build(spark, landed, "r", out + "-lenient", strict_casts=False)
+    row = spark.read.parquet(f"{out}-lenient/models/fact_anime").first()
+    assert (row.score, row.progress, row.episodes) == (None, None, None)
+
+
+def test_no_faults_in_what_can_be_cast(spark):
+    good = {entry_path("score"): "8.5", entry_path("progress"): None, media_path("episodes"): 24.0}
+    docs = landing.documents_from_text(_landed_lines(spark, [
+        json.dumps(variant(**good)), "{}", '{"doc_id": "7"}', '{"doc_id": "x", "data": {"User": {"id": true}}}']), faults=True)
+    got = [(r.path, r.n) for r in landing.cast_faults(docs).collect()]
+    assert ("$.doc_id", 1) in got and all(p in ("$.doc_id", "$.data.User.id") for p, _ in got)
+
+
 def test_impossible_date_is_a_failed_gate_unless_lenient(spark):
     d = variant(**{entry_path("startedAt"): {"year": 2023, "month": 2, "day": 30}})
     landed, out = _landed(spark, [json.dumps(d)]), scratch_path(spark, f"build-{uuid.uuid4().hex}")
