@@ -95,3 +95,10 @@ class Shared:
 
     def __getstate__(self):
         return {"_data": self._data}
+
+
+def byte_level() -> dict[str, int]:
+    """Character -> byte of byte-level vocabularies: printable Latin-1 stands for itself, the rest follows from 256 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(rest)}

@@ -25,16 +25,20 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfspark.llm.common import stored
+from shelfspark.llm.common import byte_level, stored
 
 SEQUENCE_LENGTH = 2048
 END_ID = 0
 #: Distinct words whose ids a worker remembers; further words are encoded again when they come.
 CACHED_WORDS = 300_000
+#: Texts encoded at once, at most.
+BLOCK_TEXTS = 2000
+BLOCK_BYTES = 8 << 20
 
 #: Items are fed in runs of this size, the longest of a run first, so that the short ones fill up
 #: what the long ones leave; the open bins should hold a run.
@@ -85,10 +89,10 @@ class BestFit:
         return {b: self.capacity - free for free, stack in enumerate(self.by_free) for b in stack}
 
 
-# Characters that the tokenizer's normalizer does not take for white space but
+# The mark between pre-tokens, characters that the tokenizer's normalizer does not take for white space but
 # str.split does, the opening of its special tokens, and the one letter that
 # str.lower treats by its place in the word.
-_WHOLE = ("<|", "\u03a3", "\x1c", "\x1d", "\x1e", "\x1f")
+_WHOLE = "[\\x00\x1c-\x1f\u03a3]|<\\|"
 
 
 def load_tokenizer(path: str | None):
@@ -112,7 +116,8 @@ class WordEncoder:
     its words' ids in order, and a word's are those of its pre-tokens. Words
     seen before are looked up; the new pre-tokens of a block of texts go through
     the tokenizer joined by blanks, and the tokens that end a word part them
-    again. Texts with characters for which that does not hold are encoded whole.
+    again, by a faster encoder of the same vocabulary if a sample shows it to
+    give the same ids. Texts with characters for which that does not hold are encoded whole.
     """
 
     def __init__(self, path: str | None, cached: int = CACHED_WORDS):
@@ -123,6 +128,32 @@ class WordEncoder:
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith(_WORD_END)]] = True
+        self.marked = self._marked_encoder(vocabulary)
+
+    def _marked_encoder(self, vocabulary: dict[str, int]):
+        """An encoder of the same vocabulary for many pre-tokens, each closed by a zero byte; None if ids differ.
+
+        Ids are in the order of the merges, so they are the ranks of the byte
+        strings, where a word's end is a zero byte, which joins the last one first.
+        """
+        import tiktoken
+        byte = byte_level()
+        added = {t.content for t in self.tokenizer.get_added_tokens_decoder().values()}
+        ranks, words = {}, []
+        for token, i in vocabulary.items():
+            core = token.removesuffix(_WORD_END)
+            if token not in added and all(c in byte for c in core):
+                ranks[bytes(map(byte.__getitem__, core)) + b"\0" * (core != token)] = i
+                if core != token and core.isascii() and core.isalpha() and core.islower():
+                    words.append(core)
+        if any(bytes([b]) not in ranks for b in range(256)) or len(ranks) + len(added) != len(vocabulary):
+            return None
+        coder = tiktoken.Encoding("marked", pat_str=r"[^\x00]+\x00", mergeable_ranks=ranks, special_tokens={})
+        words.sort()
+        sample = [a + b for a, b in zip(words[::20], words[7::20])]
+        same = coder.encode_ordinary("\0".join(sample) + "\0") == [
+            i for e in self.tokenizer.encode_batch(sample, add_special_tokens=False) for i in e.ids]
+        return coder if same else None
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [np.asarray(e.ids, "<u4").tobytes()
@@ -131,7 +162,8 @@ class WordEncoder:
     def _encode_parts(self, parts: list[str]) -> None:
         for a in range(0, len(parts), 500):
             some = parts[a:a + 500]
-            data = self._encode([" ".join(some)])[0]
+            data = (np.array(self.marked.encode_ordinary("\0".join(some) + "\0"), "<u4").tobytes() if self.marked
+                    else self._encode([" ".join(some)])[0])
             ends = (4 * np.flatnonzero(self.ends[np.frombuffer(data, "<u4")]) + 4).tolist()
             if len(ends) == len(some) and ends[-1] == len(data):
                 self.parts.update(zip(some, [data[x:y] for x, y in zip([0, *ends], ends)]))
@@ -152,19 +184,39 @@ class WordEncoder:
                 del self.parts[x]
         return out
 
-    def block(self, texts: list[str | None]) -> Iterator[bytes]:
-        get = self.known.get
-        words = [None if t and any(x in t for x in _WHOLE) else (t or "").split() for t in texts]
-        found = [None if w is None else list(map(get, w)) for w in words]
-        gaps = [[] if f is None or None not in f else [k for k, x in enumerate(f) if x is None] for f in found]
-        new = list({w[k] for w, at in zip(words, gaps) for k in at})
-        fresh = dict(zip(new, self._encode_words(new)))
-        for t, w, f, at in zip(texts, words, found, gaps):
-            for k in at:
-                f[k] = fresh[w[k]]
-            yield self._encode([t])[0] if f is None else b"".join(f)
-        if len(self.known) + len(fresh) <= self.cached:
-            self.known.update((w, x) for w, x in fresh.items() if len(w) <= 64)
+    def block(self, texts: pa.Array) -> Iterator[bytes]:
+        """The ids of each text of a block; each distinct word of the block is looked up once."""
+        odd = pc.match_substring_regex(texts, _WHOLE).fill_null(False).to_numpy(zero_copy_only=False)
+        lists = pc.ascii_split_whitespace(texts.fill_null(""))
+        coded = lists.flatten().dictionary_encode()
+        words = coded.dictionary.to_pylist()
+        found = list(map(self.known.get, words))
+        gaps = [k for k, x in enumerate(found) if x is None]
+        new = [words[k] for k in gaps]
+        for k, x in zip(gaps, self._encode_words(new)):
+            found[k] = x
+        if len(self.known) + len(new) <= self.cached:
+            self.known.update((words[k], found[k]) for k in gaps if len(words[k]) <= 64)
+        ids = np.frombuffer(b"".join(found), "<u4")
+        size = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        word = coded.indices.to_numpy()
+        each = size[word]
+        upto = np.append(0, np.cumsum(each))
+        out = ids[np.repeat((np.cumsum(size) - size)[word] - upto[:-1], each) + np.arange(upto[-1])]
+        cuts = upto[lists.offsets.to_numpy() - lists.offsets[0].as_py()].tolist()
+        for k, whole in enumerate(odd.tolist()):
+            yield self._encode([texts[k].as_py()])[0] if whole else out[cuts[k]:cuts[k + 1]].tobytes()
+
+
+def text_blocks(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of bounded number and bytes (a longer text is a block of its own)."""
+    upto = np.cumsum(pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
+    a = 0
+    while a < len(texts):
+        most = (upto[a - 1] if a else 0) + BLOCK_BYTES
+        b = min(max(a + 1, int(np.searchsorted(upto, most, side="right"))), a + BLOCK_TEXTS)
+        yield a, min(b, len(texts))
+        a = min(b, len(texts))
 
 
 def _pieces_of(path: str | None, length: int, end_id: int) -> Callable:
@@ -174,9 +226,9 @@ def _pieces_of(path: str | None, length: int, end_id: int) -> Callable:
         coder = WordEncoder(path)
         for batch in batches:
             ids, texts = batch.column("doc_id").to_pylist(), batch.column("text")
-            for a in range(0, len(ids), 200):
+            for a, b in text_blocks(texts):
                 rows = []
-                for doc, data in zip(ids[a:a + 200], coder.block(texts.slice(a, 200).to_pylist())):
+                for doc, data in zip(ids[a:b], coder.block(texts.slice(a, b - a))):
                     data += end
                     for p, at in enumerate(range(0, len(data), 4 * length)):
                         cut = data[at:at + 4 * length]

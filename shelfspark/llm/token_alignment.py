@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfspark.llm.common import Shared, stored
+from shelfspark.llm.common import Shared, byte_level, stored
 
 KNOWN_PAIRS = 1 << 20
 #: Characters of text encoded at once, and texts at most.
@@ -53,13 +53,6 @@ ALIGNED = ("row long, doc_id long, n_a long, n_b long, n_groups long, n_links lo
 _BYTE_PIECE = re.compile("<0x([0-9A-F]{2})>")
 
 
-def _byte_level() -> dict[str, int]:
-    """Character -> byte of byte-level vocabularies: printable Latin-1 stands for itself, the rest follows from 256 on."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    rest = [b for b in range(256) if b not in plain]
-    return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(rest)}
-
-
 class Tokenizers:
     """A (byte-level BPE) and B (sentence pieces), with the bytes of every id."""
 
@@ -74,7 +67,7 @@ class Tokenizers:
         self.a = Tokenizer.from_file(a_path)
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
-        byte = _byte_level()
+        byte = byte_level()
         named = {i: t for t, i in self.a.get_vocab().items()}
         self.a_bytes = [bytes(map(byte.__getitem__, named[i])) if i in named and all(c in byte for c in named[i])
                         else named.get(i, "").encode() for i in range(max(named) + 1)]

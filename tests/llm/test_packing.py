@@ -1,3 +1,4 @@
+import pyarrow as pa
 import zlib
 
 import numpy as np
@@ -72,5 +73,5 @@ def test_words_are_encoded_as_in_context():
     coder = packing.WordEncoder(None, cached=300)
     tokenizer = packing.load_tokenizer(None)
     for a in range(0, len(texts), 50):
-        for t, got in zip(texts[a:a + 50], coder.block(texts[a:a + 50])):
+        for t, got in zip(texts[a:a + 50], coder.block(pa.array(texts[a:a + 50], pa.string()))):
             assert np.frombuffer(got, "<u4").tolist() == tokenizer.encode(t, add_special_tokens=False).ids, repr(t)
