@@ -66,7 +66,7 @@ def test_queries_equal_their_sql(spark):
 
     from shelfspark.llm import catalog
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     for name, sql in catalog.STATEMENTS.items():
         df = catalog.QUERIES[name](spark, SF)
