@@ -10,6 +10,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -258,10 +259,19 @@ def _genre_features(spark, sf_dir):
     return features.genre_features(m.fact, m.users, m.media)
 
 
+def _genre_points(spark, sf_dir):
+    """The rows and their weighted points, which are few."""
+    pairs = q_tag_genre_pairs(spark, sf_dir)
+    return pairs, features.point_features(features.category_points(pairs).persist())
+
+
 def q_scaled_features(spark, sf_dir):
-    f = _genre_features(spark, sf_dir)
-    return features.vector_columns(f.select("media_id", "score", "tag", "genre", "standardized"),
-                                   ["standardized"])
+    """Every row's vector as ``|``-joined text of six decimals."""
+    pairs, points = _genre_points(spark, sf_dir)
+    entries = F.transform(vector_to_array("standardized"), lambda x: F.format_string("%.6f", x))
+    return features.rows_of_points(
+        pairs, points.withColumn("standardized", F.array_join(entries, "|")), ["standardized"]).select(
+        "media_id", "score", "tag", "genre", "standardized")
 
 
 def q_genre_scale(spark, sf_dir):
@@ -275,11 +285,8 @@ def q_tag_scale(spark, sf_dir):
 
 
 def q_kmeans_invariants(spark, sf_dir):
-    feats = _genre_features(spark, sf_dir).persist()
-    try:
-        return spark.createDataFrame(features.kmeans_invariants(feats).toArrow())  # one row
-    finally:
-        feats.unpersist()
+    _, points = _genre_points(spark, sf_dir)
+    return spark.createDataFrame(features.kmeans_invariants(points).toArrow())  # one row
 
 
 def q_quality_failures(spark, sf_dir):
@@ -296,26 +303,30 @@ def q_quality_failures(spark, sf_dir):
 
 
 def q_kmeans_cost(spark, sf_dir):
-    return features.kmeans_sweep(spark, _genre_features(spark, sf_dir))
+    return features.kmeans_sweep(spark, _genre_points(spark, sf_dir)[1])
+
+
+def q_kmeans_cost_checks(spark, sf_dir):
+    """The sweep's costs recomputed from the written centres."""
+    return features.sweep_checks(spark, _genre_points(spark, sf_dir)[1])
 
 
 def q_kmeans_assign(spark, sf_dir):
-    return features.kmeans_assign(_genre_features(spark, sf_dir)).select(
-        "media_id", "score", "tag", "genre", F.col("prediction").cast("long").alias("prediction"))
+    pairs, points = _genre_points(spark, sf_dir)
+    assigned = features.kmeans_assign(points).withColumn("prediction", F.col("prediction").cast("long"))
+    return features.rows_of_points(pairs, assigned, ["prediction"]).select(
+        "media_id", "score", "tag", "genre", "prediction")
 
 
 def q_cluster_profile(spark, sf_dir):
-    return features.cluster_profile(features.kmeans_assign(_genre_features(spark, sf_dir)))
+    return features.cluster_profile(features.kmeans_assign(_genre_points(spark, sf_dir)[1]))
 
 
 def q_kmeans_summary(spark, sf_dir):
-    feats = _genre_features(spark, sf_dir).persist()
-    try:
-        model = features.kmeans_fit(feats, features.CHOSEN_K)
-        sil = features.silhouette(model.transform(feats))
-        cost = float(model.summary.trainingCost)
-    finally:
-        feats.unpersist()
+    _, points = _genre_points(spark, sf_dir)
+    model = features.kmeans_fit(points, features.CHOSEN_K)
+    sil = features.silhouette(model.transform(points))
+    cost = float(model.summary.trainingCost)
     return spark.createDataFrame([(features.CHOSEN_K, cost, float(sil))], "k long, cost double, silhouette double")
 
 
@@ -365,4 +376,5 @@ QUERIES: dict[str, Query] = {
     "kmeans_invariants": q_kmeans_invariants,
     "quality_failures": q_quality_failures,
     "kmeans_cost": q_kmeans_cost,
+    "kmeans_cost_checks": q_kmeans_cost_checks,
 }

@@ -167,15 +167,18 @@ pairs AS (
 """
 
 # One over the sample deviation of each category's 0/1 column; the last index has no column.
-SCALE = "WITH " + BRIDGE.strip() + ",\n" + TAG_GENRE_PAIRS.strip() + """,
+INDEXED = "WITH " + BRIDGE.strip() + ",\n" + TAG_GENRE_PAIRS.strip() + """,
 counts AS (SELECT {category} AS value, COUNT(*) AS c FROM pairs GROUP BY {category}),
-indexed AS (
+ranked AS (
   SELECT value, c, ROW_NUMBER() OVER (ORDER BY c DESC, value ASC) - 1 AS idx, SUM(c) OVER () AS n,
          COUNT(*) OVER () AS k
-  FROM counts)
-SELECT value, CAST(idx AS BIGINT) AS idx,
-       CASE WHEN idx < k - 1 THEN ROUND(1 / SQRT((c - CAST(c AS DOUBLE) * c / n) / (n - 1)), 6) END AS scale
-FROM indexed"""
+  FROM counts),
+indexed AS (
+  SELECT value, CAST(idx AS BIGINT) AS idx, k,
+         CASE WHEN idx < k - 1 THEN 1 / SQRT((c - CAST(c AS DOUBLE) * c / n) / (n - 1)) END AS scale
+  FROM ranked)
+"""
+SCALE = INDEXED + "SELECT value, idx, ROUND(scale, 6) AS scale FROM indexed"
 
 STATEMENTS: dict[str, str] = {
     "fact_anime": with_bridge("SELECT * FROM fact"),
@@ -287,7 +290,19 @@ FROM counts""",
     "genre_scale": SCALE.replace("{category}", "genre"),
     "tag_scale": SCALE.replace("{category}", "tag"),
     "kmeans_invariants": "WITH " + BRIDGE.strip() + ",\n" + TAG_GENRE_PAIRS.strip() + """
-SELECT COUNT(*) AS rows, true AS nearest, true AS cost_is_sum, true AS silhouette_in_range FROM pairs""",
+SELECT COUNT(*) AS rows, true AS nearest, true AS cost_is_sum, true AS half_explained,
+       true AS silhouette_in_range FROM pairs""",
+    # Every scaled column has deviation 1, so the cost around the mean is (n - 1) x columns.
+    "kmeans_cost_checks": "WITH " + BRIDGE.strip() + ",\n" + TAG_GENRE_PAIRS.strip() + """
+SELECT CAST(k AS BIGINT) AS cluster, n AS rows, ROUND(CAST((n - 1) * g AS DOUBLE), 2) AS total,
+       true AS cost_is_sum, true AS at_most_total
+FROM (SELECT COUNT(*) AS n, COUNT(DISTINCT genre) AS g FROM pairs) s, range(2, 100) r(k)""",
+    "scaled_features": INDEXED.replace("{category}", "genre") + """
+SELECT p.media_id, p.score, p.tag, p.genre,
+       printf('%.6f', p.score / s.dev) || list_reduce(list_prepend('', list_transform(range(i.k - 1),
+         lambda j: '|' || CASE WHEN j = i.idx THEN printf('%.6f', i.scale) ELSE '0.000000' END)),
+         lambda a, b: a || b) AS standardized
+FROM pairs p JOIN indexed i ON p.genre = i.value, (SELECT STDDEV_SAMP(score) AS dev FROM pairs) s""",
     "quality_failures": with_bridge("""
 SELECT 'emptied' AS model, 'not_null' AS check_name, 'id' AS column_name,
        COUNT(*) FILTER (WHERE id % 97 = 3) AS failures, COUNT(*) AS rows, false AS passed FROM fact
