@@ -207,13 +207,87 @@ def q_anime_scores_wide_validated(spark, sf_dir):
 
 
 def q_quarantined_entries(spark, sf_dir):
-    _, ents = _dirty_entries(spark, sf_dir)
     return validate.quarantine_summary({
-        "fact_anime": validate.validated_fact(ents)[1],
-        "dimension_media": validate.validated_media(ents)[1],
+        "fact_anime": validate.validated_fact(_dirty_entries(spark, sf_dir, validate.FACT_KEYS)[1])[1],
+        "dimension_media": validate.validated_media(_dirty_entries(spark, sf_dir, validate.MEDIA_KEYS)[1])[1],
     })
 
 
+def q_quarantined_documents(spark, sf_dir):
+    """Documents that give no rows, by user: lines cut short, no user, entries without media."""
+    lines = fixtures.build_dirty_documents_text(spark, sf_dir, document_faults=True)
+    doc_id = F.regexp_extract("value", r'^\{"doc_id":(\d+)', 1).cast("long")
+    return (validate.document_quarantine(lines)
+            .select(F.shiftright(doc_id, fixtures.CHUNK_BITS).alias("user_id"), "reason").distinct())
+
+
+def q_envelope_faults(spark, sf_dir):
+    """The envelope check where it fails; documents without a readable user are one row."""
+    lines = fixtures.build_dirty_documents_text(spark, sf_dir, document_faults=True)
+    return validate.user_envelope_check(validate.raw_envelope_check(landing.variant_documents_from_text(lines)))
+
+
+def q_saved_mart_view(spark, sf_dir):
+    """The three models as named tables and the mart as a view on them, read by name in another session."""
+    m = _models(spark, sf_dir)
+    schema = f"shelfspark_{uuid.uuid4().hex[:12]}"
+    for name, df in (("fact_anime", m.fact), ("dimension_user", m.users), ("dimension_media", m.media)):
+        landing.save_table(df, schema, name, scratch_path(spark, f"{schema}-{name}"))
+    return spark.newSession().table(landing.create_mart_view(spark, schema))
+
+
+def q_fact_preview(spark, sf_dir):
+    return quality.preview(_models(spark, sf_dir).fact)
+
+
+def q_user_preview(spark, sf_dir):
+    return quality.preview(_models(spark, sf_dir).users)
+
+
+def q_media_preview(spark, sf_dir):
+    return quality.preview(_models(spark, sf_dir).media).select("*", "title.*").drop("title")
+
+
+def q_gate_outcomes(spark, sf_dir):
+    """``(gate, passed, message)``: the blocking gate over checks that hold and over checks that do not."""
+    m = _models(spark, sf_dir)
+    reports = {"standard": q_quality_report(spark, sf_dir), "broken": q_quality_failures(spark, sf_dir),
+               "keys": quality.check_table(m.users, quality.TableChecks("dimension_user", unique=["id"]))}
+    rows = []
+    for gate, report in reports.items():  # a row per check reaches the gate
+        try:
+            quality.assert_passed(report)
+            rows.append((gate, True, None))
+        except AssertionError as err:
+            rows.append((gate, False, str(err)))
+    return spark.createDataFrame(rows, "gate string, passed boolean, message string")
+
+
+def q_topic_event_fields(spark, sf_dir):
+    """Every event decoded again, field by field."""
+    d = topics.decode(topics.topic_events(raw_documents(spark, sf_dir)))
+
+    def field(path, kind):
+        return F.try_variant_get("decoded", path, kind)
+
+    def date(name):
+        y, month, day = (field(f"$.{name}.{p}", "int") for p in ("year", "month", "day"))
+        return F.make_date(y, month, day)
+    user = F.col("topic") == topics.RAW_USER_TOPIC
+    return d.select(
+        "topic", field("$.id", "bigint").alias("id"), field("$.userId", "bigint").alias("user_id"),
+        field("$.mediaId", "bigint").alias("media_id"),
+        F.when(user, field("$.name", "string")).otherwise(field("$.media.title.romaji", "string")).alias("name"),
+        F.when(user, field("$.avatar.large", "string")).otherwise(
+            field("$.media.coverImage.extraLarge", "string")).alias("image"),
+        F.when(user, field("$.siteUrl", "string")).otherwise(field("$.media.siteUrl", "string")).alias("site_url"),
+        field("$.status", "string").alias("watch_status"), field("$.score", "double").alias("score"),
+        field("$.progress", "bigint").alias("progress"), field("$.media.episodes", "bigint").alias("episodes"),
+        F.array_join(field("$.media.genres", "array<string>"), "|").alias("genres"),
+        F.array_join(field("$.media.synonyms", "array<string>"), "|").alias("synonyms"),
+        date("startedAt").alias("started_at"), date("completedAt").alias("completed_at"))
+
+
 def q_quality_report(spark, sf_dir):
     return quality.quality_report(quality.standard_checks(_models(spark, sf_dir)))
 
@@ -360,6 +434,14 @@ QUERIES: dict[str, Query] = {
     "fact_anime_sql_typed": q_fact_anime_sql_typed,
     "cast_faults": q_cast_faults,
     "media_cover_sql_dirty": q_media_cover_sql_dirty,
+    "quarantined_documents": q_quarantined_documents,
+    "envelope_faults": q_envelope_faults,
+    "saved_mart_view": q_saved_mart_view,
+    "fact_preview": q_fact_preview,
+    "user_preview": q_user_preview,
+    "media_preview": q_media_preview,
+    "gate_outcomes": q_gate_outcomes,
+    "topic_event_fields": q_topic_event_fields,
     "quality_report": q_quality_report,
     "topic_events": q_topic_events,
     "topic_event_ids": q_topic_event_ids,

@@ -220,23 +220,23 @@ class ValidatedModels:
         self.docs = docs
         self.lines = lines
 
-    @cached_property
-    def _entries(self) -> DataFrame:
+    def _entries(self, keys: tuple[str, ...]) -> DataFrame:
+        """Entries with one model's own members, so that none reads the other's."""
         from ..operators import validate
         if self.lines is not None:
-            return validate.record_entries_from_text(self.lines)
-        return validate.variant_entries(self.docs)
+            return validate.record_entries_from_text(self.lines, keys)
+        return validate.variant_entries(self.docs, keys)
 
     @cached_property
     def _fact_split(self):
         from ..operators import validate
-        return validate.validated_fact(self._entries)
+        return validate.validated_fact(self._entries(validate.FACT_KEYS))
 
     @cached_property
     def _media_split(self):
         from ..operators import validate
         from ..schemas import MEDIA_COLUMNS
-        return validate.split_valid(validate.checked_media(self._entries),
+        return validate.split_valid(validate.checked_media(self._entries(validate.MEDIA_KEYS)),
                                     ["run_id", "doc_id", "entry_id"] + MEDIA_COLUMNS)
 
     @cached_property

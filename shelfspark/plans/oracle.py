@@ -180,6 +180,15 @@ indexed AS (
 """
 SCALE = INDEXED + "SELECT value, idx, ROUND(scale, 6) AS scale FROM indexed"
 
+ANIME_SCORES_WIDE = with_bridge("""
+SELECT f.media_id, f.user_id, f.progress, f.watch_status, f.score, f.average_score,
+       f.mean_score, f.popularity, f.trending, f.favourites,
+       u.id AS id, u.name AS name, m.id AS id_1, m.english_title, m.native_title,
+       m.romaji_title, m.description, m.synonym, m.genre, m.tag, m.source, m.episodes,
+       m.season, m.season_year, m.start_date, m.end_date, m.status
+FROM fact f JOIN dim_user u ON f.user_id = u.id JOIN media_unnested m ON f.media_id = m.id
+""")
+
 STATEMENTS: dict[str, str] = {
     "fact_anime": with_bridge("SELECT * FROM fact"),
     "dimension_media": with_bridge(FLAT_MEDIA_SELECT.format(
@@ -190,14 +199,7 @@ STATEMENTS: dict[str, str] = {
     "dimension_user": with_bridge("SELECT * FROM dim_user"),
     "media_unnested": with_bridge("SELECT * FROM media_unnested"),
     "anime_scores": with_bridge("SELECT * FROM mart"),
-    "anime_scores_wide": with_bridge("""
-SELECT f.media_id, f.user_id, f.progress, f.watch_status, f.score, f.average_score,
-       f.mean_score, f.popularity, f.trending, f.favourites,
-       u.id AS id, u.name AS name, m.id AS id_1, m.english_title, m.native_title,
-       m.romaji_title, m.description, m.synonym, m.genre, m.tag, m.source, m.episodes,
-       m.season, m.season_year, m.start_date, m.end_date, m.status
-FROM fact f JOIN dim_user u ON f.user_id = u.id JOIN media_unnested m ON f.media_id = m.id
-"""),
+    "anime_scores_wide": ANIME_SCORES_WIDE,
     "count_scores": COUNT_SCORES,
     "count_scores_df": COUNT_SCORES,
     "count_scores_sql": COUNT_SCORES,
@@ -275,6 +277,50 @@ FROM fact f
 JOIN dim_user u ON f.user_id = u.id
 JOIN media_unnested m ON f.media_id = m.id
 WHERE f.id % 97 NOT IN (1, 2, 4)
+"""),
+    "quarantined_documents": with_bridge("""
+SELECT DISTINCT user_id, CASE user_id % 23 WHEN 1 THEN 'unparsable' WHEN 2 THEN 'no_user' ELSE 'structure' END AS reason
+FROM entries WHERE user_id % 23 IN (1, 2, 3)
+"""),
+    "envelope_faults": with_bridge("""
+SELECT CASE WHEN user_id % 23 NOT IN (1, 2) THEN user_id END AS user_id,
+       COUNT(DISTINCT CASE user_id % 23 WHEN 1 THEN NULL WHEN 4 THEN 'unnamed' ELSE watch_status END) AS n_lists,
+       COUNT(*) FILTER (WHERE user_id % 23 <> 1) AS n_entries,
+       BOOL_AND(user_id % 23 NOT IN (1, 2, 4)) AS passed
+FROM entries GROUP BY 1
+"""),
+    "saved_mart_view": ANIME_SCORES_WIDE,
+    "fact_preview": with_bridge("SELECT * EXCLUDE (stats, rankings) FROM fact ORDER BY id DESC LIMIT 5"),
+    "user_preview": with_bridge("SELECT * EXCLUDE (statistics) FROM dim_user ORDER BY id DESC LIMIT 5"),
+    "media_preview": with_bridge("""
+SELECT id, description, cover_image, type, episodes, format, season, season_year, start_date, end_date,
+       english_title AS english, native_title AS native, romaji_title AS romaji,
+       source, banner_image, site_url, status
+FROM dim_media ORDER BY id DESC LIMIT 5
+"""),
+    "gate_outcomes": with_bridge("""
+SELECT 'standard' AS gate, true AS passed, CAST(NULL AS VARCHAR) AS message
+UNION ALL
+SELECT 'keys', true, NULL
+UNION ALL
+SELECT 'broken', false, 'no rows processed'
+       || '; emptied.id not_null: ' || COUNT(*) FILTER (WHERE id % 97 = 3) || ' failing of ' || COUNT(*)
+       || '; repeated.id unique: ' || COUNT(*) FILTER (WHERE id % 97 <> 3) || ' failing of ' || 2 * COUNT(*)
+       || '; counted.* row_count: ' || ((SELECT COUNT(*) FROM dim_user) - 1) || ' failing of ' || (SELECT COUNT(*) FROM dim_user)
+       || '; none.* non_empty: 1 failing of 0'
+FROM fact
+"""),
+    "topic_event_fields": with_bridge("""
+SELECT 'raw_user' AS topic, id, CAST(NULL AS BIGINT) AS user_id, CAST(NULL AS BIGINT) AS media_id, name, avatar AS image,
+       site_url, CAST(NULL AS VARCHAR) AS watch_status, CAST(NULL AS DOUBLE) AS score, CAST(NULL AS BIGINT) AS progress,
+       CAST(NULL AS BIGINT) AS episodes, CAST(NULL AS VARCHAR) AS genres, CAST(NULL AS VARCHAR) AS synonyms,
+       CAST(NULL AS DATE) AS started_at, CAST(NULL AS DATE) AS completed_at
+FROM dim_user
+UNION ALL
+SELECT 'raw_media', e.id, e.user_id, e.media_id, m.romaji_title, m.cover_image, m.site_url, e.watch_status, e.score,
+       e.progress, m.episodes, array_to_string(m.genres, '|'), array_to_string(m.synonyms, '|'),
+       e.started_at, e.completed_at
+FROM entries e JOIN all_media m ON e.media_id = m.id
 """),
     "quality_report": QUALITY_REPORT,
     "tag_genre_pairs": "WITH " + BRIDGE.strip() + ",\n" + TAG_GENRE_PAIRS.strip() + "\nSELECT * FROM pairs",

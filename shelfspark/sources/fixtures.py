@@ -22,7 +22,7 @@ from .tables import read_table
 
 FIXTURE_RUN_ID = "fixture"
 DEFAULT_MAX_ENTRIES = 500
-_CHUNK_BITS = 20  # doc_id = user_id << 20 | chunk
+CHUNK_BITS = 20  # doc_id = user_id << 20 | chunk
 
 # Fixed values of the bridge (FIXTURES.md section 3).
 ENTRY_ID_SHIFT = 32  # entry id = customer key << 32 | part key, unique below 2^31 customers and 2^32 parts
@@ -153,7 +153,8 @@ def entry_struct(facts: DataFrame, media: DataFrame) -> DataFrame:
         _parts(F.col("completed"), completed_day).alias("completedAt"),
         F.col("media"),
     )
-    return j.select("user_id", "entry_id", "status", entry.cast(schemas.ENTRY).alias("entry"))
+    return j.select("user_id", "entry_id", "status", entry.cast(schemas.ENTRY).alias("entry"),
+                    *(c for c in facts.columns if c == "chunk"))
 
 
 def build_documents(spark: SparkSession, sf_dir: str, max_entries: int = DEFAULT_MAX_ENTRIES,
@@ -169,22 +170,31 @@ def build_documents(spark: SparkSession, sf_dir: str, max_entries: int = DEFAULT
     if staging_path:
         facts.write.mode("overwrite").parquet(staging_path)
         facts = spark.read.parquet(staging_path)
-    entries = entry_struct(facts, media_struct(read_table(spark, sf_dir, "part")))
-    return nest_documents(entries, user_struct(read_table(spark, sf_dir, "customer")), max_entries, run_id)
+    entries = entry_struct(numbered(facts, max_entries), media_struct(read_table(spark, sf_dir, "part")))
+    return nest_documents(entries, user_struct(read_table(spark, sf_dir, "customer")), run_id)
 
 
-def nest_documents(entries: DataFrame, users: DataFrame, max_entries: int = DEFAULT_MAX_ENTRIES,
-                   run_id: str = FIXTURE_RUN_ID) -> DataFrame:
-    """Nest ``(user_id, entry_id, status, entry)`` rows into bounded documents.
+def numbered(facts: DataFrame, max_entries: int = DEFAULT_MAX_ENTRIES) -> DataFrame:
+    """Entry facts with the number of their document, ``chunk``: ``ceil(n / max_entries)`` documents a user.
 
-    The per-user entry count is a map-side-combined aggregate; joining it back
-    lets each user's entries be spread over ``ceil(n / max_entries)`` chunks.
+    Only users with more entries than one document holds are joined, to the
+    narrow facts: they are few, and a heavy user's rows may be split there, as
+    nothing is grouped by user afterwards.
     """
-    sizes = entries.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_user"))
-    n_chunks = F.greatest(F.lit(1), F.ceil(F.col("n_user") / F.lit(max_entries))).cast("long")
-    chunked = (entries.join(sizes, "user_id")
-               .withColumn("chunk", F.pmod(F.xxhash64("entry_id"), n_chunks)))
-    lists = (chunked.groupBy("user_id", "chunk", "status")
+    many = (facts.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_user")).where(F.col("n_user") > max_entries)
+            .withColumnRenamed("user_id", "many_user"))
+    n_chunks = F.coalesce(F.ceil(F.col("n_user") / F.lit(max_entries)), F.lit(1)).cast("long")
+    return (facts.join(many, F.col("user_id") == F.col("many_user"), "left")
+            .withColumn("chunk", F.pmod(F.xxhash64("entry_id"), n_chunks)).drop("n_user", "many_user"))
+
+
+def nest_documents(entries: DataFrame, users: DataFrame, run_id: str = FIXTURE_RUN_ID) -> DataFrame:
+    """Nest numbered ``(user_id, chunk, status, entry)`` rows into bounded documents.
+
+    One exchange on the document serves both groupings, so a heavy user's
+    documents are built in different tasks.
+    """
+    lists = (entries.repartition("user_id", "chunk").groupBy("user_id", "chunk", "status")
              .agg(F.sort_array(F.collect_list("entry")).alias("entries"))
              .select("user_id", "chunk",
                      F.struct(F.col("status").alias("name"), F.col("status").alias("status"),
@@ -193,7 +203,7 @@ def nest_documents(entries: DataFrame, users: DataFrame, max_entries: int = DEFA
             .agg(F.sort_array(F.collect_list("list")).alias("lists")))
     return docs.join(users, "user_id").select(
         F.lit(run_id).alias("run_id"),
-        (F.shiftleft(F.col("user_id"), _CHUNK_BITS) + F.col("chunk")).alias("doc_id"),
+        (F.shiftleft(F.col("user_id"), CHUNK_BITS) + F.col("chunk")).alias("doc_id"),
         F.struct(F.struct(F.col("lists")).alias("MediaListCollection"),
                  F.col("user").alias("User")).cast(schemas.DATA).alias("data"),
     )
@@ -207,6 +217,10 @@ def nest_documents(entries: DataFrame, users: DataFrame, max_entries: int = DEFA
 # With ``faults`` also values that no cast takes:
 #   8 score "eight"         9 progress [3]               10 media episodes "twelve"
 DIRTY_MODULUS = 97
+# With ``document_faults`` also, by ``user id % 23``:
+#   1 a line cut short      2 no "User"                  3 entries without "media"
+#   4 lists whose name is null
+DOCUMENT_FAULT_MODULUS = 23
 
 
 def dirty_entry_json(entries: DataFrame, faults: bool = False) -> DataFrame:
@@ -240,7 +254,8 @@ def dirty_entry_json(entries: DataFrame, faults: bool = False) -> DataFrame:
     js = F.to_json(entry, {"ignoreNullFields": "false"})
     js = F.when(r == 2, F.regexp_replace(js, '"progress":null,', "")).otherwise(js)
     js = F.when(r == 7, F.regexp_replace(js, r'"coverImage":\{"extraLarge":null,', '"coverImage":{')).otherwise(js)
-    return entries.select("user_id", "entry_id", "status", js.alias("entry"))
+    return entries.select("user_id", "entry_id", "status", js.alias("entry"),
+                          *(c for c in entries.columns if c == "chunk"))
 
 
 def user_json(customer: DataFrame) -> DataFrame:
@@ -258,17 +273,18 @@ def user_json(customer: DataFrame) -> DataFrame:
 
 
 def build_dirty_documents_text(spark: SparkSession, sf_dir: str, max_entries: int = DEFAULT_MAX_ENTRIES,
-                               run_id: str = FIXTURE_RUN_ID, faults: bool = False) -> DataFrame:
+                               run_id: str = FIXTURE_RUN_ID, faults: bool = False,
+                               document_faults: bool = False) -> DataFrame:
     """``(run_id, value)``: one JSON document per line, with the dirty rules applied."""
     facts = entry_facts(read_table(spark, sf_dir, "lineitem"), read_table(spark, sf_dir, "orders"))
-    entries = dirty_entry_json(entry_struct(facts, media_struct(read_table(spark, sf_dir, "part"))), faults)
+    entries = entry_struct(numbered(facts, max_entries), media_struct(read_table(spark, sf_dir, "part")))
+    chunked = dirty_entry_json(entries, faults).repartition("user_id", "chunk")
     users = user_json(read_table(spark, sf_dir, "customer"))
-    sizes = entries.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_user"))
-    n_chunks = F.greatest(F.lit(1), F.ceil(F.col("n_user") / F.lit(max_entries))).cast("long")
-    chunked = entries.join(sizes, "user_id").withColumn("chunk", F.pmod(F.xxhash64("entry_id"), n_chunks))
+    rule = F.col("user_id") % DOCUMENT_FAULT_MODULUS if document_faults else F.lit(0)
     # The entry and user objects are already JSON text: the list and document
     # text is spliced around them (no re-parse and re-render per entry).
-    head = F.to_json(F.struct(F.col("status").alias("name"), F.col("status").alias("status")))
+    head = F.to_json(F.struct(F.when(rule != 4, F.col("status")).alias("name"), F.col("status").alias("status")),
+                     {"ignoreNullFields": "false"})
     list_text = F.concat(F.expr("substring(_head, 1, length(_head) - 1)"), F.lit(',"entries":['),
                          F.array_join(F.col("entries"), ","), F.lit("]}"))
     lists = (chunked.groupBy("user_id", "chunk", "status")
@@ -276,9 +292,11 @@ def build_dirty_documents_text(spark: SparkSession, sf_dir: str, max_entries: in
              .withColumn("_head", head)
              .select("user_id", "chunk", list_text.alias("list")))
     docs = lists.groupBy("user_id", "chunk").agg(F.array_join(F.collect_list("list"), ",").alias("lists"))
-    doc_id = (F.shiftleft(F.col("user_id"), _CHUNK_BITS) + F.col("chunk")).cast("string")
+    doc_id = (F.shiftleft(F.col("user_id"), CHUNK_BITS) + F.col("chunk")).cast("string")
+    listed = F.when(rule == 3, F.regexp_replace("lists", r'"media":\{', '"medium":{')).otherwise(F.col("lists"))
+    member = F.when(rule == 2, F.lit("")).otherwise(F.concat(F.lit(',"User":'), F.col("user")))
     value = F.concat(F.lit('{"doc_id":'), doc_id, F.lit(',"data":{"MediaListCollection":{"lists":['),
-                     F.col("lists"), F.lit(']},"User":'), F.col("user"), F.lit("}}"))
+                     listed, F.lit("]}"), member, F.when(rule == 1, F.lit("}")).otherwise(F.lit("}}")))
     return docs.join(users, "user_id").select(F.lit(run_id).alias("run_id"), value.alias("value"))
 
 

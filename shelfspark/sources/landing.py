@@ -9,7 +9,7 @@
   checks that must tell a missing key from an explicit ``null``.
 * ``write_raw_table``: the replaced raw table (parquet, nested columns
   prunable), the input of every model.
-* ``save_table`` / ``create_view``: named tables in a schema and views.
+* ``save_table`` / ``create_view`` / ``create_mart_view``: named tables in a schema and views.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType, VariantType
 
 from .. import schemas
+from ..operators import mart
 
 
 # A gzip part file is read by one task (gzip is not splittable), so the
@@ -46,13 +47,13 @@ def read_landed(spark: SparkSession, root: str, run_id: str | None = None, fault
 
 
 def read_landed_variant(spark: SparkSession, root: str, run_id: str | None = None) -> DataFrame:
-    """``(run_id, doc, n_bytes)``: each landed line parsed as VARIANT, with its byte size.
+    """``(run_id, doc, n_bytes)``: each landed line parsed as VARIANT, with its ``dumped_size``.
 
     Read as text then ``parse_json`` (the reader's single-variant-column mode
     does not combine with run partition folders in this Spark version).
     """
     return read_landed_text(spark, root, run_id).select(
-        "run_id", F.try_parse_json("value").alias("doc"), F.octet_length("value").alias("n_bytes"))
+        "run_id", F.try_parse_json("value").alias("doc"), dumped_size(F.col("value")).alias("n_bytes"))
 
 
 def read_landed_text(spark: SparkSession, root: str, run_id: str | None = None) -> DataFrame:
@@ -87,12 +88,36 @@ PRESENCE_SCHEMA = ("doc_id bigint, data struct<MediaListCollection: struct<lists
                    "User: struct<id: bigint>>, run_id string")
 
 
-def save_table(df: DataFrame, schema_name: str, table: str) -> str:
-    """Replace ``<schema_name>.<table>`` (the schema name is used verbatim)."""
+def save_table(df: DataFrame, schema_name: str, table: str, path: str | None = None) -> str:
+    """Replace ``<schema_name>.<table>`` (the schema name is used verbatim), at ``path`` if one is given."""
     spark = df.sparkSession
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{schema_name}`")
     name = f"`{schema_name}`.`{table}`"
-    df.write.mode("overwrite").format("parquet").saveAsTable(name)
+    writer = df.write.mode("overwrite").format("parquet")
+    (writer if path is None else writer.option("path", path)).saveAsTable(name)
+    return name
+
+
+def create_mart_view(spark: SparkSession, schema_name: str, view: str = "anime_scores") -> str:
+    """The 27-column mart as a lasting view over the saved tables of a schema.
+
+    Any session of the catalog reads it by name; the tables are read anew each time.
+    """
+    def columns(side: str, names: list[str]) -> str:
+        return ", ".join(f"{side}.{n}" for n in names)
+    media = {"english_title": "title.english", "native_title": "title.native", "romaji_title": "title.romaji"}
+    inner = ", ".join(f"{media[c]} AS {c}" if c in media else c for c in mart.MEDIA_UNNESTED_COLUMNS)
+    name = f"`{schema_name}`.`{view}`"
+    spark.sql(f"""
+        CREATE OR REPLACE VIEW {name} AS
+        SELECT {columns("f", mart.STATS_COLUMNS)}, u.id, u.name, m.id AS id_1,
+               {columns("m", mart.MEDIA_UNNESTED_COLUMNS[1:])}
+        FROM `{schema_name}`.fact_anime f
+        JOIN `{schema_name}`.dimension_user u ON f.user_id = u.id
+        JOIN (SELECT {inner} FROM `{schema_name}`.dimension_media
+              LATERAL VIEW inline(arrays_zip(coalesce(synonyms, array()), coalesce(genres, array()),
+                                             coalesce(tags.name, array()))) z AS synonym, genre, tag) m
+          ON f.media_id = m.id""")
     return name
 
 
@@ -102,6 +127,20 @@ def create_view(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.table(name)
 
 
+def dumped_size(value: Column) -> Column:
+    """Bytes of the JSON text ``value`` written again with a blank after each comma and colon, and ASCII only.
+
+    A character outside blank to tilde takes six bytes as an escape, one beyond
+    the basic plane twelve; short escapes that the text already has stay as they
+    are. Numbers and escapes count as they stand in the text.
+    """
+    structure = F.regexp_replace(value, r'"[^"\\]*+(?:\\.[^"\\]*+)*+"', "")
+    separators = F.length(structure) - F.length(F.translate(structure, ",:", ""))
+    escaped = F.length(F.regexp_replace(value, "[ -~]", ""))
+    wide = F.length(F.regexp_replace(value, r"[^\x{10000}-\x{10FFFF}]", ""))
+    return (F.length(value) + separators + 5 * escaped + 6 * wide).cast("long")
+
+
 def documents_from_text(lines: DataFrame, run_id_col: str = "run_id", faults: bool = False) -> DataFrame:
     """Typed documents ``(run_id, doc_id, data)`` from JSON text lines ``(run_id?, value)``.
 
@@ -169,4 +208,4 @@ def variant_documents_from_text(lines: DataFrame, run_id_col: str = "run_id") ->
     """VARIANT documents ``(run_id, doc, n_bytes)`` from JSON text lines."""
     run = F.col(run_id_col) if run_id_col in lines.columns else F.lit(None).cast("string")
     return lines.select(run.alias("run_id"), F.try_parse_json("value").alias("doc"),
-                        F.octet_length("value").alias("n_bytes"))
+                        dumped_size(F.col("value")).alias("n_bytes"))
