@@ -318,6 +318,13 @@ def q_topic_replay(spark, sf_dir):
     return topics.replay_counts(delivered)
 
 
+def q_topic_stream_counts(spark, sf_dir):
+    """Landed documents fanned out as a stream, the events of its log counted."""
+    log, checkpoint = (scratch_path(spark, f"topic-stream-{x}-{uuid.uuid4().hex}") for x in ("log", "checkpoint"))
+    topics.stream_documents_to_topic_log(spark, _landed(spark, sf_dir, "clean"), log, checkpoint).awaitTermination()
+    return topics.topic_counts(spark.read.format("text").load(log))
+
+
 def q_tag_genre_pairs(spark, sf_dir):
     m = _models(spark, sf_dir)
     return features.tag_genre_pairs(m.fact, m.users, m.media)
@@ -447,6 +454,7 @@ QUERIES: dict[str, Query] = {
     "topic_event_ids": q_topic_event_ids,
     "topic_counts": q_topic_counts,
     "topic_replay": q_topic_replay,
+    "topic_stream_counts": q_topic_stream_counts,
     "tag_genre_pairs": q_tag_genre_pairs,
     "category_index": q_category_index,
     "scaled_features": q_scaled_features,

@@ -189,6 +189,12 @@ SELECT f.media_id, f.user_id, f.progress, f.watch_status, f.score, f.average_sco
 FROM fact f JOIN dim_user u ON f.user_id = u.id JOIN media_unnested m ON f.media_id = m.id
 """)
 
+TOPIC_COUNTS = with_bridge("""
+SELECT 'raw_user' AS topic, COUNT(DISTINCT user_id) AS events FROM entries
+UNION ALL
+SELECT 'raw_media' AS topic, COUNT(*) AS events FROM entries
+""")
+
 STATEMENTS: dict[str, str] = {
     "fact_anime": with_bridge("SELECT * FROM fact"),
     "dimension_media": with_bridge(FLAT_MEDIA_SELECT.format(
@@ -364,11 +370,8 @@ SELECT 'raw_user' AS topic, id FROM dim_user
 UNION ALL
 SELECT 'raw_media' AS topic, id FROM entries
 """),
-    "topic_counts": with_bridge("""
-SELECT 'raw_user' AS topic, COUNT(DISTINCT user_id) AS events FROM entries
-UNION ALL
-SELECT 'raw_media' AS topic, COUNT(*) AS events FROM entries
-"""),
+    "topic_counts": TOPIC_COUNTS,
+    "topic_stream_counts": TOPIC_COUNTS,
     "topic_replay": with_bridge("""
 SELECT 'raw_user' AS topic, COUNT(DISTINCT user_id) AS events, COUNT(DISTINCT user_id) AS decoded FROM entries
 UNION ALL

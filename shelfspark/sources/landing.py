@@ -101,7 +101,8 @@ def save_table(df: DataFrame, schema_name: str, table: str, path: str | None = N
 def create_mart_view(spark: SparkSession, schema_name: str, view: str = "anime_scores") -> str:
     """The 27-column mart as a lasting view over the saved tables of a schema.
 
-    Any session of the catalog reads it by name; the tables are read anew each time.
+    Any session of the catalog reads it by name; one that has read it before lists
+    replaced tables anew after ``REFRESH TABLE``.
     """
     def columns(side: str, names: list[str]) -> str:
         return ", ".join(f"{side}.{n}" for n in names)

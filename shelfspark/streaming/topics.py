@@ -26,18 +26,29 @@ DEFAULT_TOPICS = (RAW_USER_TOPIC, RAW_MEDIA_TOPIC)
 _JSON_OPTS = {"ignoreNullFields": "false"}
 
 
-def topic_events(raw: DataFrame) -> DataFrame:
+# How long a stream remembers a user that it has sent.
+REMEMBER_USERS = "1 day"
+
+
+def topic_events(raw: DataFrame, remember: str = REMEMBER_USERS) -> DataFrame:
     """``(topic, value)``: 1 user event per run and user + 1 media event per entry.
 
     A user's list may be spread over several documents that repeat the user
     object; it is one event all the same. A document without a user id stands
-    for itself.
+    for itself. On a stream a user is remembered for ``remember`` after its
+    arrival, so the state holds the users of that time only; documents of one
+    run and user that arrive further apart give an event each.
     """
+    keys = ["run_id", "user_id", "unnamed"]
     user_id = F.coalesce(F.col("data.User.id"), F.col("doc_id"))
     users = (raw.select("run_id", user_id.alias("user_id"), F.col("data.User.id").isNull().alias("unnamed"),
-                        F.to_json(F.col("data.User"), _JSON_OPTS).alias("value"))
-             .dropDuplicates(["run_id", "user_id", "unnamed"])
-             .select(F.lit(RAW_USER_TOPIC).alias("topic"), "value"))
+                        F.to_json(F.col("data.User"), _JSON_OPTS).alias("value")))
+    if raw.isStreaming:
+        users = (users.withColumn("arrived", F.current_timestamp()).withWatermark("arrived", remember)
+                 .dropDuplicatesWithinWatermark(keys))
+    else:
+        users = users.dropDuplicates(keys)
+    users = users.select(F.lit(RAW_USER_TOPIC).alias("topic"), "value")
     entries = explode_entries(stage_media(raw)).select(
         F.lit(RAW_MEDIA_TOPIC).alias("topic"), F.to_json(F.col("entry"), _JSON_OPTS).alias("value"))
     return users.unionByName(entries)
@@ -70,7 +81,8 @@ def read_kafka(spark: SparkSession, bootstrap_servers: str,
 
 
 def stream_documents_to_topic_log(spark: SparkSession, landed_root: str, log_root: str,
-                                  checkpoint: str, available_now: bool = True):
+                                  checkpoint: str, available_now: bool = True,
+                                  remember: str = REMEMBER_USERS):
     """Fan landed documents out to the topic log as a stream.
 
     New run folders landed under ``landed_root`` are picked up incrementally;
@@ -84,7 +96,7 @@ def stream_documents_to_topic_log(spark: SparkSession, landed_root: str, log_roo
     schema = StructType(RAW_DOCUMENT.fields + [StructField("run_id", StringType(), True)])
     docs = (spark.readStream.schema(schema)
             .option("maxFilesPerTrigger", 64).json(landed_root))
-    writer = (topic_events(docs).writeStream.format("text")
+    writer = (topic_events(docs, remember).writeStream.format("text")
               .option("path", log_root).option("checkpointLocation", checkpoint)
               .partitionBy("topic").outputMode("append"))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
