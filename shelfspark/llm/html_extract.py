@@ -13,8 +13,11 @@ host without so many such pages there has its article lines kept. A check
 follows: what is left outside the article, where the page names one, and what
 stands in menus, headers, footers, sidebars, notices, adverts, forms and reader
 comments by element, role or class, is dropped as well, for a neighbour need not
-repeat it. In an article, the id of a heading, section or paragraph is an anchor
-and says nothing, unless it names reader comments.
+repeat it. A class or id tells only if all its words do (``cookie-notice``, not
+``social-history``). In an article fewer words tell, as it has headers and notes
+of its own, and the id of a heading, section or paragraph is an anchor that says
+nothing, unless it names reader comments. An ``article`` whose class or id names
+reader comments is one of those.
 
 Only hashes of lines travel to the neighbour search. It sorts by ranges, so a
 host with much of all pages is spread; a page at the border of a range gets
@@ -23,8 +26,10 @@ its neighbours from the ranges beside.
 Defined cases: null and empty html give an empty text; a null url or one
 without a host has no neighbour; pages that repeat are each differenced and
 extracted; ties of paths are ordered by id and content; an unclosed element
-ends with its parent or the page; an empty table gives no rows; extra columns
-are ignored.
+ends with its parent or the page; of an unclosed picture, frame or selection
+only the tag is passed over; a quote that nothing closes is a character like
+others, a tag that nothing closes is text; formulas are text, their source
+annotations are not; an empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -34,6 +39,7 @@ import re
 from bisect import bisect_left
 from collections import Counter, deque
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
@@ -48,7 +54,12 @@ BLOCKS = set("address article aside blockquote body center dd details dialog dir
              "optgroup option p pre search section summary table tbody td tfoot th thead title tr ul".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 #: Their content is not markup and not text.
-RAW = set("script style noscript template textarea title iframe svg math object canvas select".split())
+RAW = set("script style noscript template textarea title iframe svg object canvas select annotation "
+          "annotation-xml".split())
+#: Those that stand within a line.
+INLINE = set("svg canvas object annotation annotation-xml".split())
+#: Those without which the page goes on if they are never closed.
+IGNORED_IF_OPEN = INLINE | {"iframe", "select", "noscript"}
 #: Elements that never hold main text.
 APART = set("nav footer aside form dialog button menu head audio video search".split())
 #: Class or id words of such elements.
@@ -63,13 +74,21 @@ APART_ROLES = set("navigation banner contentinfo complementary search dialog ale
 #: In an article, their id is an anchor of the text; only that of reader comments counts.
 ANCHORED = set("h1 h2 h3 h4 h5 h6 section p li dt dd figure table blockquote".split())
 READER_WORDS = set("comment comments respond disqus".split())
+#: Words that an article's own parts bear as well.
+OWN_WORDS = set("header footer masthead side aside legal reply replies copyright search skip alert notices".split())
+#: Words that may stand beside a telling one in a class or id.
+NEUTRAL_WORDS = set(
+    "box boxes block wrapper wrap container area bar section list item items inner outer content site page main "
+    "post posts entry article body button buttons form link links top bottom left right primary secondary slot unit "
+    "panel group row col column icons icon media thread even odd depth parent js id the".split())
 #: A start tag of one of these ends an open one of the others.
 IMPLIED = {t: {"p"} for t in BLOCKS} | {"li": {"li", "p"}, "dt": {"dt", "dd", "p"}, "dd": {"dt", "dd", "p"},
                                          "tr": {"tr", "td", "th", "p"}, "td": {"td", "th", "p"},
                                          "th": {"td", "th", "p"}, "option": {"option"}}
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>",
-                    re.S)
+_OPENING = re.compile(r"<!--|<[!?]|<(/?)([a-zA-Z][^\s/>]*)")
+_STOP = re.compile(r"[\"'>]")
+_END = {tag: re.compile(rf"</{re.escape(tag)}\s*+>", re.I) for tag in RAW}
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _WORD = re.compile(r"[a-z0-9]+")
 
@@ -93,7 +112,9 @@ def _names_article(tag: str, a: dict[str, str]) -> bool:
 def _is_apart(tag: str, a: dict[str, str], in_article: bool) -> bool:
     if tag in APART or tag == "header" and not in_article:
         return True
-    if tag in ("html", "body", "article", "main"):
+    if tag == "article":
+        return _tells(a.get("class", ""), READER_WORDS) or _tells(a.get("id", ""), READER_WORDS)
+    if tag in ("html", "body", "main"):
         return False
     if "hidden" in a or a.get("aria-hidden") == "true" or "display:none" in a.get("style", "").replace(" ", "").lower():
         return True
@@ -101,11 +122,55 @@ def _is_apart(tag: str, a: dict[str, str], in_article: bool) -> bool:
         return True
     if "class" not in a and "id" not in a:
         return False
-    def words(text: str) -> list[str]:
-        return _WORD.findall(re.sub(r"(?<=[a-z])(?=[A-Z])", " ", text).lower())
-    telling = READER_WORDS if in_article and tag in ANCHORED else APART_WORDS
-    found = not APART_WORDS.isdisjoint(words(a.get("class", ""))) or not telling.isdisjoint(words(a.get("id", "")))
-    return found and not (tag == "header" and in_article)
+    telling = APART_WORDS - OWN_WORDS if in_article else APART_WORDS
+    if tag == "header" and in_article:
+        return False
+    return (_tells(a.get("class", ""), telling)
+            or _tells(a.get("id", ""), READER_WORDS if in_article and tag in ANCHORED else telling))
+
+
+def _tells(names: str, telling: set[str]) -> bool:
+    """Is there a name made of telling words, and of neutral ones and numbers beside them?"""
+    for name in names.split():
+        words = _WORD.findall(re.sub(r"(?<=[a-z])(?=[A-Z])", " ", name).lower())
+        if not telling.isdisjoint(words) and all(w in telling or w in NEUTRAL_WORDS or w.isdigit() for w in words):
+            return True
+    return False
+
+
+class _Tags:
+    """The next tag of a page, found in time linear in the page however its quotes and brackets stand."""
+
+    def __init__(self, html: str):
+        self.html = html
+        self.last = html.rfind(">")
+        self.quotes = True  # until a tag's quotes leave it without an end
+
+    def next(self, at: int) -> tuple[int, int, str, str, str] | None:
+        """``(start, end, slash, name, attributes)``; of comments and declarations the name is empty."""
+        html = self.html
+        while m := _OPENING.search(html, at):
+            if m[2] is None:
+                mark = "-->" if m[0] == "<!--" else ">"
+                end = html.find(mark, m.end())
+                return m.start(), len(html) if end < 0 else end + len(mark), "", "", ""
+            if m.end() > self.last:
+                return None
+            end = self._end(m.end())
+            return m.start(), end + 1, m[1], m[2].lower(), html[m.end():end]
+        return None
+
+    def _end(self, at: int) -> int:
+        html, k = self.html, at
+        while self.quotes and (m := _STOP.search(html, k)):
+            if m[0] == ">":
+                return m.start()
+            close = html.find(m[0], m.end())
+            if close < 0:
+                break
+            k = close + 1
+        self.quotes = False
+        return html.index(">", at)
 
 
 def read_lines(html: str | None) -> list[Line]:
@@ -113,70 +178,91 @@ def read_lines(html: str | None) -> list[Line]:
     html = html or ""
     lines: list[Line] = []
     stack: list[tuple[str, bool, bool]] = []  # tag, in an article, apart
-    parts: list[str] = []
+    parts: list[tuple[str, bool, bool]] = []  # text, in an article, apart
     article = apart = False
 
     def flush():
-        if parts:
-            text = " ".join(html_lib.unescape("".join(parts)).split())
-            parts.clear()
-            if text:
-                lines.append(Line(text, article, apart))
-
+        """End a line. What inline elements set apart in it goes, if other text is left."""
+        if not parts:
+            return
+        own = [x for x in parts if not x[2]]
+        if not any(x[0].strip() for x in own):
+            own = parts[:]
+        text = " ".join(html_lib.unescape("".join(x[0] for x in own)).split())
+        if text:
+            lines.append(Line(text, any(x[1] for x in own), all(x[2] for x in own)))
+        parts.clear()
+
+    def close(k: int):
+        """Leave the ``k``-th open element and those in it."""
+        nonlocal article, apart
+        for name, _, _ in stack[k:]:
+            is_open[name] -= 1
+        del stack[k:]
+        _, article, apart = stack[-1] if stack else ("", False, False)
+
+    is_open: Counter[str] = Counter()
+    never_closed: set[str] = set()
+    tags = _Tags(html)
     at = 0
     while at < len(html):
-        m = _TOKEN.search(html, at)
-        if not m:
-            parts.append(html[at:])
+        found = tags.next(at)
+        if not found:
+            parts.append((html[at:], article, apart))
             break
-        parts.append(html[at:m.start()])
-        at = m.end()
-        tag = (m[2] or "").lower()
+        start, end, slash, tag, rest = found
+        if at < start:
+            parts.append((html[at:start], article, apart))
+        at = end
         if not tag:
             continue
         if tag in BLOCKS:
             flush()
-        if m[1]:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == tag:
-                    flush()
-                    del stack[k:]
-                    _, article, apart = stack[-1] if stack else ("", False, False)
-                    break
+        if slash:
+            if is_open[tag]:
+                k = len(stack) - 1
+                while stack[k][0] != tag:
+                    k -= 1
+                if any(name in BLOCKS for name, _, _ in stack[k:]):
+                    flush()  # an inline element's end does not end the line
+                close(k)
             continue
-        if tag in RAW and not m[3].endswith("/"):
-            end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(html, at)
-            at = end.end() if end else len(html)
-            if tag not in ("svg", "math", "canvas", "object"):
+        if tag in RAW and not rest.endswith("/"):
+            stop = None if tag in never_closed else _END[tag].search(html, at)
+            if stop:
+                at = stop.end()
+            elif tag in IGNORED_IF_OPEN:
+                never_closed.add(tag)
+                continue
+            else:
+                at = len(html)
+            if tag not in INLINE:
                 flush()
             continue
         if tag in ("br", "hr"):
-            parts.append(" ")
+            parts.append((" ", article, apart))
         if tag in VOID:
             continue
         closed = IMPLIED.get(tag)
         if closed and stack and stack[-1][0] in closed:
-            while stack and stack[-1][0] in closed:
-                stack.pop()
-            _, article, apart = stack[-1] if stack else ("", False, False)
-        elif closed:  # an open p may lie under inline elements: <p><b>text<p>
+            k = len(stack) - 1
+            while k and stack[k - 1][0] in closed:
+                k -= 1
+            close(k)
+        elif closed and any(is_open[x] for x in closed):  # an open p may lie under inline elements: <p><b>text<p>
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] in closed:
-                    del stack[k:]
-                    _, article, apart = stack[-1] if stack else ("", False, False)
+                    close(k)
                     break
                 if stack[k][0] in BLOCKS:
                     break
-        a = _attributes(m[3]) if m[3].strip(" /\n") else {}
+        a = _attributes(rest) if rest.strip(" /\n") else {}
         was = (article, apart)
         article = article or _names_article(tag, a)
         apart = apart or _is_apart(tag, a, article)
-        if (article, apart) != was and tag not in BLOCKS:
-            now, (article, apart) = (article, apart), was
-            flush()
-            article, apart = now
-        if not m[3].rstrip().endswith("/") or tag in BLOCKS:
+        if not rest.rstrip().endswith("/") or tag in BLOCKS:
             stack.append((tag, article, apart))
+            is_open[tag] += 1
         else:
             article, apart = was
     flush()
@@ -199,28 +285,59 @@ def article_lines(lines: list[Line]) -> list[int]:
 
 # --- alignment ----------------------------------------------------------------
 
-#: Equal pairs of lines up to which all are considered; beyond, the k-th of equal lines meets the k-th.
+#: Equal pairs of lines up to which they are gone through one by one; beyond, the pages are halved first.
 MAX_PAIRS = 4_000_000
 
 
 def shared(a: list[int], b: list[int]) -> set[int]:
-    """Places in ``a`` of a longest common subsequence with ``b`` (Hunt and Szymanski)."""
+    """Places in ``a`` of a longest common subsequence with ``b``.
+
+    By equal pairs (Hunt and Szymanski). Pages with too many of them are halved
+    where a longest one passes (Hirschberg, with lengths by bit vectors), which
+    needs no more memory than the pages.
+    """
+    out: set[int] = set()
+    todo = [(0, len(a), 0, len(b))]
+    while todo:
+        start, end, low, high = todo.pop()
+        x, y = a[start:end], b[low:high]
+        count = Counter(y)
+        if len(x) < 2 or sum(count[v] for v in x) <= MAX_PAIRS:
+            out |= {start + i for i in _by_pairs(x, y)}
+            continue
+        half = len(x) // 2
+        ahead, behind = _prefix_lengths(x[:half], y), _prefix_lengths(x[:half - 1:-1], y[::-1])
+        cut = int(np.argmax(ahead + behind[::-1]))
+        todo += [(start, start + half, low, low + cut), (start + half, end, low + cut, high)]
+    return out
+
+
+def _prefix_lengths(a: list[int], b: list[int]) -> np.ndarray:
+    """Lengths of the longest common subsequences of ``a`` with each prefix of ``b``, the empty one first."""
+    places: dict[int, np.ndarray] = {}
+    for x in set(a) & set(b):
+        places[x] = np.zeros(len(b), np.uint8)
+    for j, x in enumerate(b):
+        if x in places:
+            places[x][j] = 1
+    masks = {x: int.from_bytes(np.packbits(bits, bitorder="little").tobytes(), "little") for x, bits in places.items()}
+    full = v = (1 << len(b)) - 1
+    for x in a:
+        if x in masks:
+            both = v & masks[x]
+            v = ((v + both) | (v - both)) & full
+    bits = np.unpackbits(np.frombuffer((full ^ v).to_bytes(-(-len(b) // 8), "little"), np.uint8), bitorder="little")
+    return np.concatenate([[0], np.cumsum(bits[:len(b)], dtype=np.int64)])
+
+
+def _by_pairs(a: list[int], b: list[int]) -> set[int]:
     places: dict[int, list[int]] = {}
     for j, x in enumerate(b):
         places.setdefault(x, []).append(j)
-    pairs = sum(len(places.get(x, ())) for x in a)
-    seen: dict[int, int] = {}
     tails: list[int] = []
     last: list[tuple] = []
     for i, x in enumerate(a):
-        found = places.get(x)
-        if not found:
-            continue
-        if pairs > MAX_PAIRS:
-            k = seen.get(x, 0)
-            seen[x] = k + 1
-            found = found[k:k + 1]
-        for j in reversed(found):
+        for j in reversed(places.get(x, ())):
             k = bisect_left(tails, j)
             link = (i, last[k - 1] if k else None)
             if k == len(tails):
@@ -364,7 +481,11 @@ def _found(rows: list[tuple[dict, list, list]]) -> pa.RecordBatch:
 
 def _chosen(batches):
     for batch in batches:
-        yield _found([(r["me"], r["before"], r["after"]) for r in batch.to_pylist()])
+        rows = []
+        for r in batch.to_pylist():
+            at = {x["d"]: x["page"] for x in r["around"]}
+            rows.append((at[0], [at.get(-d) for d in range(1, REACH + 1)], [at.get(d) for d in range(1, REACH + 1)]))
+        yield _found(rows)
 
 
 def _keyed(pages: DataFrame) -> DataFrame:
@@ -385,16 +506,18 @@ def neighbours(keyed: DataFrame) -> DataFrame:
     # a stored file keeps a range's order, yet a reader may join files: sort again within the range
     inner = ranged.repartition("part").sortWithinPartitions("part", "pos").mapInArrow(
         _paired_by_range, _FOUND)
-    # borders: the first and last rows of each range, so a number of rows bounded by that of ranges
+    # borders: the first and last rows of each range meet by their place among all rows
     size = ranged.filter("last").select("part", F.col("pos").alias("end"))
-    rim = ranged.join(F.broadcast(size), "part").filter(
-        f"pos < {2 * REACH} or pos > end - {2 * REACH}")
-    w = Window.orderBy("part", "pos")
-    page = F.struct("k", "host", "path", "whole", "lines", "article")
-    border = (rim.select("pos", "end", page.alias("me"),
-                         F.array(*[F.lag(page, d).over(w) for d in range(1, REACH + 1)]).alias("before"),
-                         F.array(*[F.lead(page, d).over(w) for d in range(1, REACH + 1)]).alias("after"))
-              .filter(f"pos < {REACH} or pos > end - {REACH}").select("me", "before", "after"))
+    ends = size.select("part", "end", (F.sum(F.col("end") + 1).over(Window.orderBy("part")) - F.col("end") - 1)
+                       .alias("before"))  # a row a range
+    rim = (ranged.join(F.broadcast(ends), "part").filter(f"pos < {2 * REACH} or pos > end - {2 * REACH}")
+           .select((F.col("before") + F.col("pos")).alias("place"), "pos", "end",
+                   F.struct("k", "host", "path", "whole", "lines", "article").alias("page")))
+    wanted = (rim.filter(f"pos < {REACH} or pos > end - {REACH}")
+              .select(F.col("place").alias("me"), F.explode(F.sequence(F.lit(-REACH), F.lit(REACH))).alias("d"))
+              .withColumn("place", F.col("me") + F.col("d")))
+    border = (wanted.join(rim.select("place", "page"), "place").groupBy("me")
+              .agg(F.collect_list(F.struct("d", "page")).alias("around")).select("around"))
     return inner.unionByName(border.mapInArrow(_chosen, _FOUND))
 
 

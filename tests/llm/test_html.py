@@ -1,5 +1,6 @@
 import itertools
 import random
+import time
 
 from shelfspark.llm import html_extract as h
 
@@ -95,3 +96,72 @@ def test_anchors_in_articles():
     page = "<article><h2 id=related>R</h2><section id=legal><p>L</p></section><section id=comments>C</section>" \
            "<div id=share>S</div><section class=related>T</section></article>"
     assert h.main_text(page, None) == "R\nL"
+
+
+def test_words_tell_as_a_whole():
+    """Classes and ids of an article's own parts keep their text."""
+    page = ("<article><div class='entry-header'><h1>Title</h1></div><p class=legal>L</p><section class='social-history'>"
+            "<p>S</p></section><ul class=reply><li>R</ul><div class='share-buttons'>x</div><div class='ad slot-2'>x</div>"
+            "<div class='postComments'>x</div></article><article class='comment even'><p>x</p></article>")
+    assert h.main_text(page, None) == "Title\nL\nS\nR"
+    assert h.main_text("<div class='side-by-side'><p>x</p></div><div class=side>y</div>", None) == "x"
+    assert h.main_text("<article class='post comments-open'><p>x</p></article>", None) == "x"
+
+
+def test_formulas_and_unclosed_elements():
+    page = "<p>Let <math><mi>x</mi><annotation encoding=tex>\\x</annotation></math> be<svg><text>no</text></svg>.</p>"
+    assert h.main_text(page, None) == "Let x be."
+    assert h.main_text("<p>a<object data=x></p><p>b</p>" + "<svg>" * 3 + "<p>c", None) == "a\nb\nc"
+    assert h.main_text("<p>a</p><p title='b>c</p><p>d</p>", None) == "a\nc\nd"
+    assert h.main_text("<p>x <b>y</b> z <span class=ad>no</span>, <i>w<i></i>!</p>", None) == "x y z , w!"
+    assert h.main_text("<p>a</p><b", None) == "a\n<b"
+
+
+def test_time_grows_with_the_page():
+    for unit in ("<a \"", "<a '", "<a", "<a \"'>", "<object>", "<div>", "</span>", "<b><p>", "<!-", "<p title='\">"):
+        start = time.perf_counter()
+        h.read_lines(unit * (1_000_000 // len(unit)) if len(unit) < 5 else unit * 100_000)
+        assert time.perf_counter() - start < 8, unit
+    start = time.perf_counter()
+    h.read_lines("<div>" * 50_000 + "</span>" * 50_000)
+    assert time.perf_counter() - start < 8
+
+
+def test_alignment_is_longest_at_any_size(monkeypatch):
+    rng = random.Random(3)
+    monkeypatch.setattr(h, "MAX_PAIRS", 3)
+    for _ in range(300):
+        a, b = ([rng.randrange(4) for _ in range(rng.randrange(25))] for _ in range(2))
+        found = sorted(h.shared(a, b))
+        assert len(found) == lcs(a, b)
+        rest = iter(b)
+        assert all(a[i] in rest for i in found)
+    monkeypatch.undo()
+    a, b = ([rng.randrange(3) for _ in range(6000)] for _ in range(2))
+    assert h.shared(a, a) == set(range(6000)) and len(h.shared(a, b)) == int(h._prefix_lengths(a, b)[-1])
+
+
+def test_template_equals_brute_force(spark):
+    """Many short ranges: every page's template lines are those that its nearest pages on either side decide."""
+    rng = random.Random(4)
+    df = spark.createDataFrame(
+        [article_page(i, rng.sample(["App", "Shop", "Club", "Vote"], 3)) for i in range(90)]
+        + [(200 + i, f"https://b.example/{i}", "<article><p>same</p></article>") for i in range(5)],
+        "page_id long, url string, html string").repartition(9)
+    pages = sorted(({"k": r.k, "host": r.host, "path": r.path, "id": r.page_id, "html": r.html,
+                     "lines": h.open_lines(h.read_lines(r.html)), "article": h.article_lines(h.read_lines(r.html)),
+                     "whole": False} for r in h._keyed(df).collect()), key=lambda p: (p["host"], p["path"], p["id"], p["k"]))
+    want = {}
+    for at, p in enumerate(pages):
+        before, after = ([pages[at + s * d] if 0 <= at + s * d < len(pages) else None for d in range(1, h.REACH + 1)]
+                         for s in (-1, 1))
+        want[p["id"]] = h.main_text(p["html"], h.choose(p, before[0], after[0]), h.choose_template(p, before, after))
+    for ranges in (4, 40):
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", ranges)
+        try:
+            assert {r.page_id: r.text for r in h.extract(df).collect()} == want
+        finally:
+            spark.conf.set("spark.sql.adaptive.enabled", "true")
+            spark.conf.set("spark.sql.shuffle.partitions", 8)
+    assert any("App" not in t for i, t in want.items() if i < 90)
