@@ -86,7 +86,7 @@ IMPLIED = {t: {"p"} for t in BLOCKS} | {"li": {"li", "p"}, "dt": {"dt", "dd", "p
                                          "tr": {"tr", "td", "th", "p"}, "td": {"td", "th", "p"},
                                          "th": {"td", "th", "p"}, "option": {"option"}}
 
-_OPENING = re.compile(r"<!--|<[!?]|<(/?)([a-zA-Z][^\s/>]*)")
+_OPENING = re.compile(r"<!--|<[!?]|<(/?)([a-zA-Z][^\s/>]*)([^\"'>]*)(>?)")
 _STOP = re.compile(r"[\"'>]")
 _END = {tag: re.compile(rf"</{re.escape(tag)}\s*+>", re.I) for tag in RAW}
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
@@ -154,10 +154,12 @@ class _Tags:
                 mark = "-->" if m[0] == "<!--" else ">"
                 end = html.find(mark, m.end())
                 return m.start(), len(html) if end < 0 else end + len(mark), "", "", ""
+            if m[4]:  # no quotes
+                return m.start(), m.end(), m[1], m[2].lower(), m[3]
             if m.end() > self.last:
                 return None
             end = self._end(m.end())
-            return m.start(), end + 1, m[1], m[2].lower(), html[m.end():end]
+            return m.start(), end + 1, m[1], m[2].lower(), html[m.end(2):end]
         return None
 
     def _end(self, at: int) -> int:
@@ -185,12 +187,13 @@ def read_lines(html: str | None) -> list[Line]:
         """End a line. What inline elements set apart in it goes, if other text is left."""
         if not parts:
             return
-        own = [x for x in parts if not x[2]]
-        if not any(x[0].strip() for x in own):
-            own = parts[:]
-        text = " ".join(html_lib.unescape("".join(x[0] for x in own)).split())
+        own = parts
+        if len(parts) > 1:
+            own = [x for x in parts if not x[2] and x[0].strip()]
+            own = [x for x in parts if not x[2]] if own else parts
+        text = " ".join(html_lib.unescape("".join([x[0] for x in own])).split())
         if text:
-            lines.append(Line(text, any(x[1] for x in own), all(x[2] for x in own)))
+            lines.append(Line(text, any([x[1] for x in own]), all([x[2] for x in own])))
         parts.clear()
 
     def close(k: int):
