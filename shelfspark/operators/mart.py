@@ -38,6 +38,27 @@ def media_unnested(dim_media: DataFrame) -> DataFrame:
     )
 
 
+def unnested_rows(dim_media: DataFrame) -> DataFrame:
+    """``(id, n)``: how many rows ``media_unnested`` gives a media, 0 included."""
+    lengths = [F.coalesce(F.size(c), F.lit(0)) for c in ("synonyms", "genres", "tags")]
+    return dim_media.select("id", F.greatest(*lengths, F.lit(0)).cast("long").alias("n"))
+
+
+def mart_keys(fact: DataFrame, users: DataFrame, dim_media: DataFrame) -> DataFrame:
+    """``(user_id, media_id, n)``: a row stands for ``n`` rows of the mart.
+
+    All mart rows are counted; ``user_id`` is one of the users of the media,
+    and null in a row of its own if it is null in the mart. Keys only: the
+    entries are summed a media before they meet the array lengths.
+    """
+    entries = (fact.select("user_id", "media_id").join(users.select("id"), F.col("user_id") == F.col("id"))
+               .groupBy(F.col("id").isNull().alias("_missing"), "media_id")
+               .agg(F.max("id").alias("user_id"), F.count(F.lit(1)).alias("entries")))
+    lengths = unnested_rows(dim_media).where(F.col("n") > 0)
+    return (entries.join(lengths, F.col("media_id") == lengths["id"])
+            .select("user_id", lengths["id"].alias("media_id"), (F.col("entries") * F.col("n")).alias("n")))
+
+
 def _joined(fact: DataFrame, users: DataFrame, dim_media: DataFrame):
     stats = fact.select(*STATS_COLUMNS).alias("stats")
     u = users.select("id", "name").alias("users")

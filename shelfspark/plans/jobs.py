@@ -68,15 +68,17 @@ def build(spark: SparkSession, landed_root: str, run_id: str, out_root: str,
     env = _envelope_gate(spark, landed_root, run_id)
     # S1 + Q3: the raw table holds exactly the landed documents
     raw_path = f"{out_root}/raw_anilist"
-    landing.write_raw_table(landing.read_landed(spark, landed_root, run_id, faults=strict_casts), raw_path)
+    landed, seen = quality.observed(landing.read_landed(spark, landed_root, run_id, faults=strict_casts),
+                                    quality.RAW_COUNTS)
+    landing.write_raw_table(landed, raw_path)
     if strict_casts:  # a row per path of the schema at most
         lost = landing.cast_faults(spark.read.parquet(raw_path).where(F.col("run_id") == run_id)).orderBy("path").collect()
         if lost:
             raise GateFailed("values that cannot be cast; strict_casts=False makes them NULL: "
                              + ", ".join(f"{r.path} ({r.n})" for r in lost))
     raw = landing.read_raw_table(spark, raw_path, run_id)
-    row_check = quality.check_table(raw, quality.TableChecks("raw_anilist", expected_rows=env.docs))
-    # models, then the declarative checks on the written tables (blocking)
+    row_checks = quality.raw_checks(seen, raw, env.docs)
+    # models, then the declarative checks on what their writes counted (blocking)
     staged = Models(raw, strict_dates=strict_dates)
     staged.raw_reader = raw_table_reader(spark, raw_path, run_id)
     try:
@@ -85,7 +87,7 @@ def build(spark: SparkSession, landed_root: str, run_id: str, out_root: str,
         if "DATETIME_FIELD_OUT_OF_BOUNDS" in str(err):
             raise GateFailed("an impossible date; strict_dates=False makes such dates NULL") from err
         raise
-    report = quality.quality_report(quality.standard_checks(models)).unionByName(row_check)
+    report = models.quality_report().unionByName(row_checks)
     parquet.write_parquet(report, f"{out_root}/quality_report")
     report = parquet.read_parquet(spark, f"{out_root}/quality_report")
     try:

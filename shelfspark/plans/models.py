@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 import hashlib
-from functools import cached_property
+from functools import cached_property, reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from ..operators import mart as mart_ops
 from ..operators import models as model_ops
-from ..operators import staging
+from ..operators import quality, staging
 from ..sources import fixtures
+from ..sources.parquet import write_parquet
 
 # Session setting naming a landed raw-document table (parquet folder) to use
 # instead of deriving documents from the driver tables on the fly.
@@ -122,28 +123,24 @@ class Models:
         table is bucketed by ``user_id`` and the user table by ``id`` into the
         same number of buckets, so the fact x user join is co-located and the
         fact is never shuffled for it. The tables stay external at ``root``.
+
+        The writes count what the standard checks need (``quality_report``).
         """
-        from ..sources.parquet import write_parquet
-        spark = self.raw.sparkSession
-        if not buckets:
-            write_parquet(self.narrow_fact(), f"{root}/fact_anime")
-            write_parquet(self.media, f"{root}/dimension_media")
-            write_parquet(self.users, f"{root}/dimension_user")
-            out = MaterializedModels(spark, root, self.raw)
-            out.raw_reader = self.raw_reader
-            return out
-        db = database or DEFAULT_DATABASE
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}`")
-        for name, df, key in (("fact_anime", self.narrow_fact(), "user_id"),
-                              ("dimension_user", self.users, "id")):
-            (df.write.mode("overwrite").format("parquet").option("path", f"{root}/{name}")
-             .bucketBy(buckets, key).sortBy(key).saveAsTable(f"`{db}`.`{bucketed_name(root, name)}`"))
-        write_parquet(self.media, f"{root}/dimension_media")
-        out = MaterializedModels(spark, root, self.raw, database=db)
+        out = MaterializedModels(self.raw.sparkSession, root, self.raw,
+                                 database=(database or DEFAULT_DATABASE) if buckets else None)
         out.raw_reader = self.raw_reader
+        if buckets:
+            out._spark.sql(f"CREATE DATABASE IF NOT EXISTS `{out.database}`")
+        for name, df, key in (("fact_anime", self.narrow_fact(), "user_id"),
+                              ("dimension_media", self.media, None), ("dimension_user", self.users, "id")):
+            df, out.observed[name] = quality.observed(df, quality.TABLE_CHECKS[name])
+            if buckets and key:
+                (df.write.mode("overwrite").format("parquet").option("path", f"{root}/{name}")
+                 .bucketBy(buckets, key).sortBy(key).saveAsTable(f"`{out.database}`.`{bucketed_name(root, name)}`"))
+            else:
+                write_parquet(df, f"{root}/{name}")
         return out
 
-
     @cached_property
     def stg_media(self) -> DataFrame:
         return staging.stage_media(self.raw)
@@ -185,6 +182,16 @@ class MaterializedModels(Models):
         self.root = root.rstrip("/")
         self._spark = spark
         self.database = database
+        # table name -> what its write counted, if this session wrote it
+        self.observed: dict[str, Observation] = {}
+
+    def quality_report(self) -> DataFrame:
+        """The checks of the three tables and of the mart on the counts of this session's writes."""
+        parts = [quality.observed_checks(seen, quality.TABLE_CHECKS[name], self._read(name))
+                 for name, seen in self.observed.items()]
+        keys = mart_ops.mart_keys(self.fact, self.users, self.media)
+        parts.append(quality.check_table(keys, quality.MART_CHECKS))
+        return reduce(DataFrame.unionByName, parts)
 
     def _read(self, name: str) -> DataFrame:
         # bucketed tables are read through the catalog so the bucket spec is known

@@ -20,11 +20,12 @@ from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, Stru
 
 from .. import schemas
 from ..operators import mart
+from .fixtures import DEFAULT_MAX_ENTRIES
 
-
-# A gzip part file is read by one task (gzip is not splittable), so the
-# number of documents per file is capped to keep every read task bounded.
-MAX_DOCUMENTS_PER_FILE = 20000
+# A gzip part file is read by one task (gzip is not splittable), so a file
+# holds at most this many entries, for documents of the usual size.
+MAX_ENTRIES_PER_FILE = 1_000_000
+MAX_DOCUMENTS_PER_FILE = MAX_ENTRIES_PER_FILE // DEFAULT_MAX_ENTRIES
 
 
 def land_json(docs: DataFrame, root: str, compression: str = "gzip") -> None:

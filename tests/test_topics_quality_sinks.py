@@ -6,7 +6,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from docs import VALID, text_frame
-from shelfspark.operators import quality
+from shelfspark.operators import mart, quality
 from shelfspark.session import scratch_path
 from shelfspark.sources import fixtures, landing, parquet
 from shelfspark.streaming import topics
@@ -158,3 +158,35 @@ def test_topic_counts_from_narrowed_read(spark, small_models):
     a = sorted(topics.topic_counts(topics.topic_events(narrow)).collect())
     b = sorted(topics.topic_counts(topics.topic_events(small_models.raw)).collect())
     assert a == b
+
+
+def test_write_counts_equal_a_scan(spark):
+    """The checks from a write's counts are those of a scan, on failing, empty and good tables."""
+    rows = [(1, "a"), (1, None), (None, "b"), (None, None), (3, "c")]
+    df = spark.createDataFrame(rows, "id long, name string")
+    spec = quality.TableChecks("t", not_null=["id", "name"], unique=["id"], non_empty=True, expected_rows=5)
+    for table in (df, df.where("id > 5"), df.where("id = 3")):
+        path = scratch_path(spark, f"observed-{uuid.uuid4().hex}")
+        written, seen = quality.observed(table.repartition(3), spec)
+        written.write.parquet(path)
+        got = quality.observed_checks(seen, spec, spark.read.parquet(path))
+        want = quality.check_table(table, spec)
+        assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("ReadSchema: struct<id:bigint>") == plan.count("ReadSchema:") >= 1
+
+
+def test_mart_keys_count_the_mart(spark, small_models):
+    """Every mart row is counted by its keys, also with repeated ids, null keys and media without arrays."""
+    m = small_models
+    for keep in ("true", "id % 3 = 0", "false"):
+        fact, users, media = m.fact, m.users.unionByName(m.users.where("id % 2 = 0")), m.media.where(keep)
+        fact = fact.withColumn("user_id", F.when(F.col("id") % 5 > 0, F.col("user_id")))
+        media = (media.withColumn("genres", F.when(F.col("id") % 2 > 0, F.col("genres")))
+                 .withColumn("tags", F.when(F.col("id") % 4 > 0, F.col("tags")))
+                 .withColumn("synonyms", F.when(F.col("id") % 8 > 0, F.col("synonyms"))))
+        keys = mart.mart_keys(fact, users, media)
+        assert (keys.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+                == mart.anime_scores(fact, users, media).count())
+    plan = mart.mart_keys(m.fact, m.users, m.media)._jdf.queryExecution().optimizedPlan().toString()
+    assert "arrays_zip" not in plan
