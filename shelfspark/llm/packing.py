@@ -35,10 +35,10 @@ from shelfspark.llm.common import byte_level, stored
 SEQUENCE_LENGTH = 2048
 END_ID = 0
 #: Distinct words whose ids a worker remembers; further words are encoded again when they come.
-CACHED_WORDS = 300_000
+CACHED_WORDS = 100_000
 #: Texts encoded at once, at most.
 BLOCK_TEXTS = 2000
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 
 #: Items are fed in runs of this size, the longest of a run first, so that the short ones fill up
 #: what the long ones leave; the open bins should hold a run.
@@ -179,9 +179,8 @@ class WordEncoder:
         self._encode_parts(new)
         look = self.parts.__getitem__
         out = [look(n) if s is None else b"".join(map(look, s)) for n, s in zip(normal, split)]
-        if len(self.parts) > self.cached:
-            for x in new:
-                del self.parts[x]
+        for x in new[:max(0, len(self.parts) - self.cached)]:
+            del self.parts[x]
         return out
 
     def block(self, texts: pa.Array) -> Iterator[bytes]:
@@ -195,8 +194,9 @@ class WordEncoder:
         new = [words[k] for k in gaps]
         for k, x in zip(gaps, self._encode_words(new)):
             found[k] = x
-        if len(self.known) + len(new) <= self.cached:
-            self.known.update((words[k], found[k]) for k in gaps if len(words[k]) <= 64)
+        room = self.cached - len(self.known)
+        if room > 0:  # words in the order in which they come, so the frequent ones are first
+            self.known.update((words[k], found[k]) for k in gaps[:room] if len(words[k]) <= 64)
         ids = np.frombuffer(b"".join(found), "<u4")
         size = np.fromiter(map(len, found), np.int64, len(found)) // 4
         word = coded.indices.to_numpy()
