@@ -88,3 +88,11 @@ def test_dirty_text_is_json_with_its_rules(spark, tmp_path):
     assert '"day":30' in row.r4 and '"month":0' in row.r5 and '"extraLarge"' not in row.r7
     assert '"score":"eight"' in row.r8 and '"episodes":"twelve"' in row.r10
     assert all('"stats":{}' in row[f"r{r}"] and '"rankings":[]' in row[f"r{r}"] for r in range(11))
+
+
+def test_a_media_without_size_is_built(spark):
+    part = spark.createDataFrame([(5, "red p", "B1", "T1", None)],
+                                 "p_partkey long, p_name string, p_brand string, p_type string, p_size int")
+    got = fixtures.media_struct(part).select(
+        F.transform(F.array("media"), fixtures.media_value)[0].alias("m")).select("m.season", "m.id", "m.genres").first()
+    assert tuple(got) == ("FALL", 5, ["T1", "red"])
