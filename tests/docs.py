@@ -90,8 +90,11 @@ def text_frame(spark, *docs):
 
 
 def pairs_of_mart(mart):
-    """(media, score, tag, genre) of a mart: every tag of a media item and score with every genre."""
+    """(media, score, tag, genre) of a mart: every tag of a media item and score with every genre.
+
+    The join it stands for is by (media, score), so rows without a score meet nothing.
+    """
     from pyspark.sql import functions as F
-    of = mart.groupBy("media_id", "score").agg(F.collect_set("tag").alias("tags"), F.collect_set("genre").alias("genres"))
+    of = mart.where(F.col("score").isNotNull()).groupBy("media_id", "score").agg(F.collect_set("tag").alias("tags"), F.collect_set("genre").alias("genres"))
     return (of.select("media_id", "score", F.explode("tags").alias("tag"), "genres")
             .select("media_id", "score", "tag", F.explode("genres").alias("genre")))
