@@ -47,6 +47,41 @@ def test_documents_are_made_after_their_only_exchange(spark, tmp_path, build):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
 
 
+def test_no_key_moves_or_is_stored_twice(spark, tmp_path):
+    """The entry's id, user, media and status are made of what the document and its lists are keyed by."""
+    sf = str(tmp_path)
+    write_tables(spark, sf)
+    staged = str(tmp_path / "staged")
+    docs = fixtures.build_documents(spark, sf, staging_path=staged)
+    assert "entry_id" not in spark.read.parquet(staged).columns
+    narrow = fixtures.entry_struct(fixtures.numbered(spark.read.parquet(staged), 2),
+                                   fixtures.media_struct(spark.read.parquet(f"{sf}/part.parquet")))
+    assert not {"entry_id", "user_id", "media_id", "status", "media"} & set(narrow.schema["entry"].dataType.names)
+    entries = docs.select(F.col("data.User.id").alias("u"), F.explode("data.MediaListCollection.lists").alias("l"))
+    got = entries.select("u", "l.status", F.explode("l.entries").alias("e")).collect()
+    assert len(got) > 5
+    for r in got:
+        assert (r.e.id, r.e.userId, r.e.status) == ((r.u << 32) + r.e.media.id, r.u, r.status)
+        assert r.e.mediaId == r.e.media.id
+
+
+def test_days_and_ranks_move_to_the_entries(spark, tmp_path):
+    write_tables(spark, str(tmp_path))
+    plan = plan_of(fixtures.entry_facts(*(spark.read.parquet(f"{tmp_path}/{t}.parquet") for t in ("lineitem", "orders"))))
+    below = plan.split("HashAggregate")[2]  # the partial aggregate's input
+    assert "bool_or" not in plan and "cast(o_orderdate" in below and "cast(l_shipdate" in below
+    rows = [(1, "F", 3, 9), (1, "A", 1, 5), (2, "F", 2, 2), (2, "G", 5, 1), (3, "O", 1, 1), (3, "F", 4, 8), (4, None, 6, 6),
+            (5, "O", 1, 1), (5, "P", 2, 2), (6, None, 1, 1), (6, "O", 1, 1), (7, "A", 1, 1)]
+    day = lambda d: dt.datetime(2020, 1, d, 23, 59)
+    orders = spark.createDataFrame([(k, c, s, day(d)) for k, (c, s, d, _) in enumerate(rows)],
+                                   "o_orderkey long, o_custkey long, o_orderstatus string, o_orderdate timestamp")
+    lines = spark.createDataFrame([(k, 1, 2.0, day(d)) for k, (_, _, _, d) in enumerate(rows)],
+                                  "l_orderkey long, l_partkey long, l_quantity double, l_shipdate timestamp")
+    got = {r.user_id: (r.status, r.started.day, r.completed.day) for r in fixtures.entry_facts(lines, orders).collect()}
+    assert got == {1: ("COMPLETED", 1, 9), 2: ("PLANNING", 2, 2), 3: ("CURRENT", 1, 8), 4: ("PLANNING", 6, 6),
+                   5: ("PLANNING", 1, 2), 6: ("CURRENT", 1, 1), 7: ("PLANNING", 1, 1)}
+
+
 def test_whole_rows_of_winners_only(spark):
     rows = [(k % 7 if k % 11 else None, "r", k * 37 % 1000, k, "x" * 50 + str(k)) for k in range(2000)]
     df = spark.createDataFrame(rows, "id long, run_id string, doc_id long, entry_id long, text string").repartition(5)
