@@ -131,3 +131,17 @@ def test_a_media_without_size_is_built(spark):
     got = fixtures.media_struct(part).select(
         F.transform(F.array("media"), fixtures.media_value)[0].alias("m")).select("m.season", "m.id", "m.genres").first()
     assert tuple(got) == ("FALL", 5, ["T1", "red"])
+
+
+def test_the_typed_read_parses_the_members_of_its_schema_only(spark):
+    from docs import entry_path, media_path, text_frame, variant
+    from shelfspark import schemas
+    from shelfspark.plans.models import Models
+    from shelfspark.sources import landing
+    lines = text_frame(spark, variant(), variant(**{"doc_id": 2, media_path("averageScore"): "71.5"}),
+                       variant(**{"doc_id": 3, entry_path("score"): "7", media_path("episodes"): 2.5}))
+    narrow = landing.documents_from_text(lines, schema=schemas.FACT_RAW_SCHEMA)
+    assert "genres" not in narrow.schema.simpleString() and "run_id" in narrow.columns
+    whole = landing.documents_from_text(lines)
+    rows = [sorted(map(str, Models(d, strict_dates=False).fact.collect())) for d in (narrow, whole)]
+    assert rows[0] == rows[1] and len(rows[0]) == 3
