@@ -145,3 +145,14 @@ def test_the_typed_read_parses_the_members_of_its_schema_only(spark):
     whole = landing.documents_from_text(lines)
     rows = [sorted(map(str, Models(d, strict_dates=False).fact.collect())) for d in (narrow, whole)]
     assert rows[0] == rows[1] and len(rows[0]) == 3
+
+
+def test_checked_users_are_parsed_once(spark):
+    from docs import text_frame, variant
+    from shelfspark.plans.models import ValidatedModels
+    from shelfspark.sources import landing
+    lines = text_frame(spark, variant(), variant(doc_id=2, data__User__name="later"), variant(doc_id=3, data__User__name=5))
+    users = ValidatedModels(landing.variant_documents_from_text(lines), lines).users
+    read = users.inputFiles()
+    assert read and all("/checked-users-" in f for f in read)
+    assert [(r.id, r.name) for r in users.collect()] == [(7, "later")]
