@@ -156,3 +156,41 @@ def test_checked_users_are_parsed_once(spark):
     read = users.inputFiles()
     assert read and all("/checked-users-" in f for f in read)
     assert [(r.id, r.name) for r in users.collect()] == [(7, "later")]
+
+
+def test_documents_of_many_entries_are_dealt_to_enough_tasks(spark, tmp_path, monkeypatch):
+    """Tasks follow the entries, not the session's partitions; each document is gathered in one grouping."""
+    write_tables(spark, str(tmp_path))
+    whole = sorted(map(str, fixtures.build_documents(spark, str(tmp_path), max_entries=2).collect()))
+    monkeypatch.setattr(fixtures, "ENTRIES_PER_TASK", 1)
+    docs = fixtures.build_documents(spark, str(tmp_path), max_entries=2, staging_path=str(tmp_path / "staged"))
+    n = spark.read.parquet(str(tmp_path / "staged")).count()
+    plan = plan_of(docs)
+    assert n > 8 and docs.rdd.getNumPartitions() == n
+    assert "REPARTITION_BY_NUM" in plan and plan.count("collect_list") == 2  # partial and final
+    assert sorted(map(str, docs.collect())) == whole
+
+
+def test_the_few_users_of_many_documents_are_broadcast(spark, tmp_path):
+    """They are written, so their size is known: the facts do not move to them."""
+    write_tables(spark, str(tmp_path))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "4k")
+    try:
+        plan = plan_of(fixtures.build_documents(spark, str(tmp_path), max_entries=2, staging_path=str(tmp_path / "staged")))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    joins = [line for line in plan.splitlines() if "Join" in line and "many_user" in line]
+    assert len(joins) == 2 and all("BroadcastHashJoin" in line for line in joins)
+
+
+def test_shuffles_are_sized_by_rows_and_the_session_is_left_as_it_was(spark):
+    from shelfspark import session
+    keys = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    before = [spark.conf.get(k, None) for k in keys]
+    with pytest.raises(ZeroDivisionError), session.shuffles_for(spark, 40 * session.ROWS_PER_TASK + 1):
+        assert spark.conf.get(keys[0]) == "41"
+        1 / 0
+    assert [spark.conf.get(k, None) for k in keys] == before
+    with session.shuffles_for(spark, 10):
+        assert [spark.conf.get(k, None) for k in keys] == before
