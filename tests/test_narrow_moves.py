@@ -194,3 +194,19 @@ def test_shuffles_are_sized_by_rows_and_the_session_is_left_as_it_was(spark):
     assert [spark.conf.get(k, None) for k in keys] == before
     with session.shuffles_for(spark, 10):
         assert [spark.conf.get(k, None) for k in keys] == before
+
+
+def test_the_rows_of_the_fits_are_joined_once(spark, tmp_path):
+    from shelfspark.plans import catalog
+    write_tables(spark, str(tmp_path))
+    for name in ("category_index", "genre_scale", "tag_scale"):
+        df = catalog.QUERIES[name](spark, str(tmp_path))
+        assert all("/tag-genre-pairs-" in f for f in df.inputFiles()) and "Join" not in plan_of(df), name
+
+
+def test_media_move_to_their_scores_before_they_are_multiplied(spark, tmp_path):
+    from shelfspark.plans import catalog
+    write_tables(spark, str(tmp_path))
+    plan = plan_of(catalog.QUERIES["tag_genre_pairs"](spark, str(tmp_path)))
+    above, below = plan.split("Join", 1)
+    assert "Generate explode" in above and "transform(_tags" in above and "flatten" in above
