@@ -177,11 +177,21 @@ def test_the_few_users_of_many_documents_are_broadcast(spark, tmp_path):
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "4k")
     try:
-        plan = plan_of(fixtures.build_documents(spark, str(tmp_path), max_entries=2, staging_path=str(tmp_path / "staged")))
+        docs = fixtures.build_documents(spark, str(tmp_path), max_entries=2, staging_path=str(tmp_path / "staged"))
+        plan = plan_of(docs)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     joins = [line for line in plan.splitlines() if "Join" in line and "many_user" in line]
     assert len(joins) == 2 and all("BroadcastHashJoin" in line for line in joins)
+    assert any("/staged-many/" in f for f in docs.inputFiles())
+
+
+def test_the_written_users_of_many_documents_are_right(spark, tmp_path):
+    write_tables(spark, str(tmp_path))
+    _, many, _ = fixtures._numbered_entries(spark, str(tmp_path), 2, str(tmp_path / "staged"))
+    assert {(r.many_user, r.n_chunks) for r in many.collect()} == {
+        (r.user_id, -(-r["count"] // 2)) for r in spark.read.parquet(str(tmp_path / "staged")).groupBy("user_id").count()
+        .collect() if r["count"] > 2}
 
 
 def test_shuffles_are_sized_by_rows_and_the_session_is_left_as_it_was(spark):
@@ -189,7 +199,7 @@ def test_shuffles_are_sized_by_rows_and_the_session_is_left_as_it_was(spark):
     keys = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes")
     before = [spark.conf.get(k, None) for k in keys]
     with pytest.raises(ZeroDivisionError), session.shuffles_for(spark, 40 * session.ROWS_PER_TASK + 1):
-        assert spark.conf.get(keys[0]) == "41"
+        assert spark.conf.get(keys[0]) == "41" and spark.conf.get(keys[1]) == str(before[1] or session.BYTES_PER_TASK)
         1 / 0
     assert [spark.conf.get(k, None) for k in keys] == before
     with session.shuffles_for(spark, 10):
