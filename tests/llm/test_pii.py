@@ -145,3 +145,22 @@ def test_the_key_is_the_sessions(spark, one):
         conf = spark.conf
     with pytest.raises(RuntimeError, match=pii.KEY_CONF):
         pii.key_of(Session())
+
+
+def test_addresses_of_many_labels(spark, one):
+    long = ".".join(["ab"] * 100_000)
+    out = one([f"to x@{long} now", f"x@{'.'.join(['1'] * 100_000)}.com", f"x@{'.'.join(['1'] * 100_000)}"])
+    assert re.fullmatch(r"to p\w{14}@d\w{10}\.example now", out[0])
+    assert re.fullmatch(r"p\w{14}@d\w{10}\.example", out[1]) and out[2].startswith("x@1.1.")
+
+
+def test_addresses_end_where_a_plain_pattern_ends(spark):
+    import random
+    plain = (r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)*\.\p{L}{2,24}")
+    rng = random.Random(5)
+    texts = ["".join(rng.choices("ab1-.é@ ", (6, 2, 3, 1, 6, 1, 3, 1), k=rng.randrange(4, 60))) for _ in range(4000)]
+    texts += [f"{n}@{'a' * n}.{'b' * n}.{d}" for n in (1, 2, 23, 24, 25, 60) for d in ("", "1", "c1", "cd1", "cd.", ".cd")]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    found = lambda p: F.regexp_extract_all("text", F.lit(p), F.lit(0))
+    rows = df.select(found(plain).alias("a"), found(pii.PATTERNS["email"]).alias("b")).collect()
+    assert sum(len(r.a) for r in rows) > 500 and all(r.a == r.b for r in rows)
