@@ -58,3 +58,10 @@ def test_numbers_alone_have_the_faults_of_whole_documents(spark):
     assert dict(whole) == {
         f"{entries}.score": 1, f"{entries}.progress": 1, f"{entries}.mediaId": 1, f"{entries}.userId": 1,
         f"{entries}.media.episodes": 1, f"{entries}.media.startDate.year": 1, "$.data.User.id": 1, "$.doc_id": 1}
+
+
+# ---------------------------------------------------------------- landed documents
+
+def test_the_roundtrip_parses_landed_lines_once(spark):
+    plan = plan_of(catalog.q_raw_json_roundtrip(spark, SF_SMALL))
+    assert "from_json(" not in plan and "raw-landed-" in catalog.q_raw_json_roundtrip(spark, SF_SMALL).inputFiles()[0]
