@@ -65,3 +65,13 @@ def test_numbers_alone_have_the_faults_of_whole_documents(spark):
 def test_the_roundtrip_parses_landed_lines_once(spark):
     plan = plan_of(catalog.q_raw_json_roundtrip(spark, SF_SMALL))
     assert "from_json(" not in plan and "raw-landed-" in catalog.q_raw_json_roundtrip(spark, SF_SMALL).inputFiles()[0]
+
+
+def test_only_texts_with_escapes_are_searched_for_them(spark):
+    texts = ['{"a": 1}', '{"a":"x,y:z","b":[1,2]}', '{"a":"caf\u00e9 \U0001f600","b":"\\"q,"}', '\t{"a":\t1}', "", None]
+    df = spark.createDataFrame([(t,) for t in texts], "value string").select(
+        landing.dumped_size(F.col("value")).alias("n"))
+    assert re.search(r"CASE WHEN (RLIKE\(value|value#\d+ RLIKE)", plan_of(df))
+    # a byte a separator, five more for an escaped character, eleven beyond the basic plane
+    assert [r.n for r in df.collect()] == [9, 27, 25 + 3 + 5 + 11, 9 + 1 + 5 + 5, 0, None]
+    assert json.dumps(json.loads(texts[2])) == '{"a": "caf\\u00e9 \\ud83d\\ude00", "b": "\\"q,"}' and len(json.dumps(json.loads(texts[2]))) == 44
