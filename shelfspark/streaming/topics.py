@@ -5,7 +5,7 @@ run and user (the ``User`` object) and one ``raw_media`` event per list entry,
 JSON-encoded. The same functions work on batch and streaming DataFrames, and
 the per-row ``topic`` column routes rows (no per-topic jobs).
 
-Sinks: a file-backed topic log (``<root>/topic=<name>/part-*.txt``, one JSON
+Sinks: a file-backed topic log (``<root>/topic=<name>/part-*.txt.gz``, one JSON
 value per line) that always works, and Kafka when its connector is on the
 classpath. Replay reads every topic from the start as a bounded stream
 (``trigger(availableNow=True)``) and stops when the log is drained.
@@ -25,6 +25,10 @@ DEFAULT_TOPICS = (RAW_USER_TOPIC, RAW_MEDIA_TOPIC)
 
 _JSON_OPTS = {"ignoreNullFields": "false"}
 
+# A log's files are gzip, so a file is read by one task and its events are limited.
+MAX_EVENTS_PER_FILE = 500_000
+_LOG_FILES = {"compression": "gzip", "maxRecordsPerFile": str(MAX_EVENTS_PER_FILE)}
+
 
 # How long a stream remembers a user that it has sent.
 REMEMBER_USERS = "1 day"
@@ -61,7 +65,8 @@ def topic_counts(events: DataFrame) -> DataFrame:
 
 def write_topic_log(events: DataFrame, root: str, mode: str = "append") -> None:
     """Append events to the file topic log, one folder per topic."""
-    events.select("topic", "value").write.mode(mode).partitionBy("topic").text(root)
+    (events.select("topic", "value").write.mode(mode).options(**_LOG_FILES)
+     .partitionBy("topic").text(root))
 
 
 def write_kafka(events: DataFrame, bootstrap_servers: str) -> None:
@@ -97,7 +102,7 @@ def stream_documents_to_topic_log(spark: SparkSession, landed_root: str, log_roo
     docs = (spark.readStream.schema(schema)
             .option("maxFilesPerTrigger", 64).json(landed_root))
     writer = (topic_events(docs, remember).writeStream.format("text")
-              .option("path", log_root).option("checkpointLocation", checkpoint)
+              .options(**_LOG_FILES).option("path", log_root).option("checkpointLocation", checkpoint)
               .partitionBy("topic").outputMode("append"))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
     return writer.start()
@@ -119,7 +124,7 @@ def replay_topic_log(spark: SparkSession, root: str, out_path: str, checkpoint:
               .where(F.col("topic").isin(*topics)))
     delivered = decode(stream).select("topic", "value", F.col("decoded").isNotNull().alias("valid"))
     q = (delivered.writeStream.format("parquet")
-         .option("path", out_path).option("checkpointLocation", checkpoint)
+         .option("compression", "zstd").option("path", out_path).option("checkpointLocation", checkpoint)
          .partitionBy("topic").outputMode("append")
          .trigger(availableNow=True).start())
     q.awaitTermination()

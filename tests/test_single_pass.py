@@ -75,3 +75,40 @@ def test_only_texts_with_escapes_are_searched_for_them(spark):
     # a byte a separator, five more for an escaped character, eleven beyond the basic plane
     assert [r.n for r in df.collect()] == [9, 27, 25 + 3 + 5 + 11, 9 + 1 + 5 + 5, 0, None]
     assert json.dumps(json.loads(texts[2])) == '{"a": "caf\\u00e9 \\ud83d\\ude00", "b": "\\"q,"}' and len(json.dumps(json.loads(texts[2]))) == 44
+
+
+# ---------------------------------------------------------------- topic log
+
+EVENTS = [("raw_user", "{}"), ("raw_media", '{"id":1}'), ("raw_media", "no json")]
+
+
+def names(spark, path, ending):
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return [r.path for r in files.where(F.col("path").endswith(ending)).select("path").collect()]
+
+
+def test_log_and_replay_are_compressed(spark, tmp_path):
+    log, out = str(tmp_path / "log"), str(tmp_path / "out")
+    topics.write_topic_log(spark.createDataFrame(EVENTS, "topic string, value string").coalesce(1), log)
+    assert len(names(spark, log, ".txt.gz")) == 2 and not names(spark, log, ".txt")
+    delivered = topics.replay_topic_log(spark, log, out, str(tmp_path / "checkpoint"))
+    assert sorted(map(tuple, topics.replay_counts(delivered).collect())) == [("raw_media", 2, 1), ("raw_user", 1, 1)]
+    assert names(spark, out, ".zstd.parquet") and not names(spark, out, ".snappy.parquet")
+
+
+def test_a_file_of_the_log_holds_a_bounded_number_of_events(spark, tmp_path, monkeypatch):
+    monkeypatch.setitem(topics._LOG_FILES, "maxRecordsPerFile", "10")
+    log = str(tmp_path / "log")
+    topics.write_topic_log(spark.range(35).coalesce(1).select(
+        F.lit("raw_media").alias("topic"), F.col("id").cast("string").alias("value")), log)
+    assert len(names(spark, log, ".txt.gz")) == 4 and spark.read.text(log).count() == 35
+
+
+def test_streamed_logs_are_compressed(spark, tmp_path):
+    landed, log = str(tmp_path / "landed"), str(tmp_path / "log")
+    docs = landing.documents_from_text(spark.createDataFrame([("r", line(entry(score=7.0)))], "run_id string, value string"))
+    landing.land_json(docs, landed)
+    topics.stream_documents_to_topic_log(spark, landed, log, str(tmp_path / "checkpoint")).awaitTermination()
+    assert names(spark, log, ".txt.gz") and not names(spark, log, ".txt")
+    got = {tuple(r) for r in topics.topic_counts(spark.read.format("text").load(log)).collect()}
+    assert got == {("raw_user", 1), ("raw_media", 1)}
