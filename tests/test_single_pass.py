@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfspark import schemas
+from shelfspark.operators import validate
 from shelfspark.plans import catalog
 from shelfspark.sources import landing
 from shelfspark.streaming import topics
@@ -77,6 +78,29 @@ def test_only_texts_with_escapes_are_searched_for_them(spark):
     assert json.dumps(json.loads(texts[2])) == '{"a": "caf\\u00e9 \\ud83d\\ude00", "b": "\\"q,"}' and len(json.dumps(json.loads(texts[2]))) == 44
 
 
+# ---------------------------------------------------------------- validated media
+
+TITLES = [({"english": "e", "native": None, "romaji": "r"}, None), ({"english": "e", "native": None}, "bad_title"),
+          ({"english": 1, "native": None, "romaji": "r"}, "bad_title"), (["e"], "bad_title"), ("e", "bad_title"),
+          (None, "bad_title"), ({}, "bad_title")]
+RANKS = [(3, None), (None, None), (3.0, None), ("3", None), (3.5, "bad_tag"), ("x", "bad_tag"), ([3], "bad_tag"),
+         (10 ** 30, "bad_tag")]
+
+
+def test_titles_and_tags_are_checked_without_the_text_of_their_type(spark):
+    def media(title, rank):
+        tag = {"category": "c", "description": None, "name": "n", "rank": rank}
+        return entry(status="s", media={"title": title, "tags": [tag], "status": "s"})
+    wanted = [(t, 3, f"title:{e}" if e else None) for t, e in TITLES]
+    wanted += [(TITLES[0][0], r, f"tags:{e}" if e else None) for r, e in RANKS]
+    lines = spark.createDataFrame([("r", json.dumps({"doc_id": i, "data": {"MediaListCollection": {"lists": [
+        {"entries": [media(t, r)]}]}}})) for i, (t, r, _) in enumerate(wanted)], "run_id string, value string")
+    checked = validate.checked_media(validate.record_entries_from_text(lines, validate.MEDIA_KEYS))
+    assert "OBJECT" not in plan_of(checked)
+    got = {r.doc_id: {e for e in r.errors if e.startswith(("title:", "tags:"))} for r in checked.collect()}
+    assert got == {i: {e} if e else set() for i, (_, _, e) in enumerate(wanted)}
+
+
 # ---------------------------------------------------------------- topic log
 
 EVENTS = [("raw_user", "{}"), ("raw_media", '{"id":1}'), ("raw_media", "no json")]
